@@ -1,0 +1,87 @@
+"""An append-only table folder with a numbered manifest per step.
+
+Every step writes one new folder and then publishes a manifest that lists the folders which make up
+the table. Readers take the highest manifest, so they never see half a step; a step that is run again
+overwrites its own unpublished folder, so replays change nothing. Nothing is renamed or modified,
+which is all an object store guarantees.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.operators.common import col
+from tidemark.sinks.paths import child_files, create_text, read_text
+from tidemark.sources.schemas import evolve_schema
+
+STEP = "_step"
+BUCKET = "_bucket"
+
+
+class DeltaLog:
+    """Folders of parquet rows, each tagged by the step that wrote it and bucketed by key."""
+
+    def __init__(self, spark: SparkSession, root: str, tables: Sequence[str], merge_width: int = 8):
+        self.spark, self.root, self.tables, self.merge_width = spark, root.rstrip("/"), tuple(tables), merge_width
+        self.schemas: dict[str, T.StructType] = {}
+
+    # ---- manifests
+
+    def last_step(self) -> int:
+        """Number of the last published step; -1 before the first."""
+        return max((int(n.split(".")[0]) for n in child_files(self.spark, f"{self.root}/manifests")), default=-1)
+
+    def folders(self) -> dict[str, list[str]]:
+        """The folders of every table as of the last step, oldest first. Also loads their schemas."""
+        step = self.last_step()
+        if step < 0:
+            return {table: [] for table in self.tables}
+        known = json.loads(read_text(self.spark, f"{self.root}/manifests/{step:010d}.json"))
+        self.schemas = {table: T.StructType.fromJson(json.loads(text)) for table, text in known["schemas"].items()}
+        return known["folders"]
+
+    def publish(self, step: int, folders: dict[str, list[str]]) -> None:
+        schemas = {table: schema.json() for table, schema in self.schemas.items()}
+        text = json.dumps({"folders": folders, "schemas": schemas})
+        create_text(self.spark, f"{self.root}/manifests/{step:010d}.json", text)
+
+    # ---- rows
+
+    def write(self, rows: DataFrame, table: str, step: int, level: int = 0) -> str:
+        """Write one folder. Rebalancing gives few files per bucket, and several for a big bucket.
+        Columns that are new to the table are added to its schema; older rows read as NULL there."""
+        path = f"{self.root}/{table}/{STEP}={step:010d}-{level}"
+        rows.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        self.schemas[table] = evolve_schema(self.schemas.get(table, T.StructType()), rows.drop(STEP).schema)
+        return path
+
+    def read(self, table: str, folders: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """Rows of the folders with their step; only the given buckets are listed and read."""
+        if not folders:
+            return None
+        schema = T.StructType([*self.schemas[table].fields, T.StructField(STEP, T.StringType())])
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*folders)
+        return rows if buckets is None else rows.where(F.col(BUCKET).isin(list(buckets)))
+
+    def merge_levels(
+        self, table: str, folders: list[str], step: int, merge: Callable[[DataFrame, bool], DataFrame]
+    ) -> list[str]:
+        """Merge the newest folders once `merge_width` of one level pile up, like the levels of an LSM
+        tree: a row is rewritten once per level, not once per step. `merge` gets the rows and whether
+        they reach back to the oldest folder."""
+        level = 0
+        while True:
+            same = [f for f in folders if f.endswith(f"-{level}")]
+            if len(same) < self.merge_width:
+                return folders
+            older = folders[: len(folders) - len(same)]
+            merged = self.write(merge(self.read(table, same), not older), table, step, level + 1)
+            folders = [*older, merged]
+            level += 1
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*map(col, keys)), F.lit(buckets)).cast("int").alias(BUCKET)
