@@ -262,9 +262,9 @@ VIEWS = {
         SELECT customer_id, last(status ORDER BY snapshot_year) AS status,
                last(priority ORDER BY snapshot_year) AS priority,
                last(last_price ORDER BY snapshot_year) AS last_price,
-               min(snapshot_year) AS "__START_AT",
-               CASE WHEN max(snapshot_year) < (SELECT max(snapshot_year) FROM {yearly})
-                    THEN max(snapshot_year) + 1 END AS "__END_AT"
+               CAST(min(snapshot_year) AS INTEGER) AS "__START_AT",
+               CAST(CASE WHEN max(snapshot_year) < (SELECT max(snapshot_year) FROM {yearly})
+                         THEN max(snapshot_year) + 1 END AS INTEGER) AS "__END_AT"
         FROM (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY snapshot_year) AS island
               FROM (SELECT *, CASE WHEN lag(snapshot_year) OVER w = snapshot_year - 1 AND lag(status) OVER w = status
                                    THEN 0 ELSE 1 END AS opens

@@ -56,7 +56,8 @@ _CUSTOMER_HISTORY = """
     FROM {customer_history}"""
 
 _MATCH = """
-    SELECT customer_id, priority, coalesce(b.n, 0) AS expected_rows, coalesce(a.n, 0) AS found_rows,
+    SELECT customer_id, priority, CAST(coalesce(b.n, 0) AS BIGINT) AS expected_rows,
+           CAST(coalesce(a.n, 0) AS BIGINT) AS found_rows,
            CASE WHEN a.n IS NULL THEN 'missing' WHEN b.n IS NULL THEN 'unexpected'
                 WHEN b.status IS DISTINCT FROM a.status OR b.orders IS DISTINCT FROM a.orders THEN 'different'
                 ELSE 'matched' END AS status
@@ -176,15 +177,15 @@ ORACLES = {
         SELECT 'main' || '.' || 'landing' || '.' || o_orderpriority AS path, count(*) AS orders
         FROM orders GROUP BY o_orderpriority""",
     "cdc_family": f"""
-        WITH o AS (SELECT o_custkey AS id, o_orderstatus, o_orderdate AS at, o_orderpriority = '1-URGENT' AS gone
+        WITH o AS (SELECT o_custkey AS id, o_orderstatus, o_orderdate AS moment, o_orderpriority = '1-URGENT' AS gone
                    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate
                                 ORDER BY o_orderpriority = '1-URGENT' DESC, o_orderstatus DESC) AS rn FROM orders)
                    WHERE rn = 1),
         m AS (SELECT *, CASE WHEN lag(gone) OVER w IS NULL OR lag(gone) OVER w OR gone
                              OR lag(o_orderstatus) OVER w <> o_orderstatus THEN 1 ELSE 0 END AS opens,
-                     lead(at) OVER w AS ended FROM o WINDOW w AS (PARTITION BY id ORDER BY at)),
-        h AS (SELECT id, min(at) AS valid_from, last(ended ORDER BY at) AS valid_to
-              FROM (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY at) AS island FROM m)
+                     lead(moment) OVER w AS ended FROM o WINDOW w AS (PARTITION BY id ORDER BY moment)),
+        h AS (SELECT id, min(moment) AS valid_from, last(ended ORDER BY moment) AS valid_to
+              FROM (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY moment) AS island FROM m)
               WHERE NOT gone GROUP BY id, island)
         SELECT 'orders.scd2' AS target, id, valid_from, valid_to FROM h UNION ALL
         SELECT 'orders.scd1', id, NULL, NULL FROM h WHERE valid_to IS NULL UNION ALL

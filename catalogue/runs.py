@@ -17,12 +17,13 @@ from tidemark.operators.pairing import reconcile_summary as reconcile_summary_of
 from tidemark.operators.position import zip_rows as zip_rows_of
 from tidemark.operators.quality import expect_or_drop, expectation_metrics, rejected_rows
 from tidemark.operators.scd import current_dimension, fold_scd1, fold_scd2
-from tidemark.operators.snapshots import apply_snapshot_scd2, fold_snapshots_scd2, open_history
+from tidemark.operators.snapshots import fold_snapshots_scd2
 from tidemark.plans import changes as feed_plan
 from tidemark.plans import customers as customer_plan
 from tidemark.plans import trips as trip_plan
 from tidemark.session import new_work_folder
 from tidemark.sinks.layout import DatasetSpec, write_dataset, write_json
+from tidemark.sinks.snapshot_table import SnapshotTable
 from tidemark.sources import synthetic
 from tidemark.sources.files import ingest_csv, ingest_json, read_json, stream_table
 from tidemark.sources.schemas import RESCUED, evolve_schema, infer_schema, merge_schema_hints
@@ -171,10 +172,10 @@ def scd2_snapshot(spark, folder):
     snapshots = fx.yearly_snapshots(spark, folder)
     years = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
     one = {year: snapshots.where(F.col("snapshot_year") == year).drop("snapshot_year") for year in years}
-    history = open_history(one[years[0]], F.lit(years[0]))
-    for year in years[1:]:
-        history = apply_snapshot_scd2(history, one[year], F.lit(year), ["customer_id"], track_history=["status"])
-    return history
+    history = SnapshotTable(spark, new_work_folder(spark, "snapshots"), ["customer_id"], track_history=["status"])
+    for step, year in enumerate(years):
+        history.apply(one[year], F.lit(year), step)
+    return history.read()
 
 
 @query
@@ -496,18 +497,21 @@ def csv_ingest(spark, folder):
 
 @query
 def schema_evolution(spark, folder):
-    """A later delivery brings a new column; earlier records read as NULL in it."""
+    """A later delivery brings a new column; the stream goes on with it, and earlier records read as
+    NULL in it."""
     work = new_work_folder(spark, "evolution")
     events = fx.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
     later = F.col("event_type").isin("click", "view")
-    events.where(~later).drop("props").write.json(f"{work}/landing/one")
-    known = infer_schema(spark, f"{work}/landing/one", "json")
-    events.where(later).write.json(f"{work}/landing/two")
-    schema = evolve_schema(known, infer_schema(spark, f"{work}/landing/two", "json"))
-    for delivery in ("one", "two"):
-        files = ingest_json(spark, f"{work}/landing/{delivery}", schema, rescue=False)
-        run_append(files, f"{work}/table", f"{work}/checkpoints/{delivery}")
-    return spark.read.schema(schema).parquet(f"{work}/table")
+
+    def deliver(rows: DataFrame, known: T.StructType) -> T.StructType:
+        rows.write.mode("append").json(f"{work}/landing")
+        schema = evolve_schema(known, infer_schema(spark, f"{work}/landing", "json"))
+        files = ingest_json(spark, f"{work}/landing", schema, rescue=False)
+        run_append(files, f"{work}/table", f"{work}/checkpoint")
+        return schema
+
+    first = deliver(events.where(~later).drop("props"), T.StructType())
+    return spark.read.schema(deliver(events.where(later), first)).parquet(f"{work}/table")
 
 
 @query

@@ -1,8 +1,8 @@
 """Type 1 and type 2 folds: hand-checked fixture, and agreement with a plain Python fold."""
 
-import random
-
 import pytest
+from helpers import COLUMNS as SCHEMA
+from helpers import COMMON, random_events, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.common import END_AT, START_AT
@@ -23,15 +23,6 @@ EVENTS = [
     (5, "Flo", "y", "UPDATE", 2),
     (5, None, "z", "UPDATE", 3),
 ]
-SCHEMA = "id int, name string, note string, operation string, seq int"
-DELETE = "operation = 'DELETE'"
-DROPPED = ["operation", "seq"]
-COMMON = dict(keys=["id"], sequence_by="seq", delete_when=DELETE, except_columns=DROPPED)
-
-
-def rows(df):
-    return sorted([tuple(r) for r in df.collect()], key=repr)
-
 
 def test_scd1_fixture(spark):
     df = spark.createDataFrame(EVENTS, SCHEMA)
@@ -96,26 +87,6 @@ def expected_fold(events, tracked, ignore_nulls):
     return sorted([(key, *v) for key, vs in versions.items() for v in vs], key=repr)
 
 
-def random_events(seed, count=400, keys=6, hot_share=0.5):
-    """One key holds `hot_share` of the events, some of them exact copies; ties, NULLs and deletes occur."""
-    draw = random.Random(seed)
-    events = []
-    for _ in range(count):
-        key = 0 if draw.random() < hot_share else draw.randrange(1, keys)
-        events.append(
-            (
-                key,
-                draw.choice(["a", "b", None]),
-                draw.choice(["x", "y", "z", None]),
-                draw.choice(["APPEND", "UPDATE", "UPDATE", "UPDATE", "DELETE"]),
-                draw.randrange(count // 3),
-            )
-        )
-    events += [events[0]] * 50
-    draw.shuffle(events)
-    return events
-
-
 @pytest.mark.parametrize("hot_rows", [10, 1_000_000], ids=["segmented", "whole"])
 @pytest.mark.parametrize("ignore_nulls", [False, True])
 @pytest.mark.parametrize("tracked", [None, ["name"], ["name", "note"], []], ids=str)

@@ -13,9 +13,7 @@ from tidemark.operators.scd import fold_versions, tracked_columns
 
 def open_history(snapshot: DataFrame, version: Column) -> DataFrame:
     """The history after the first snapshot: every row is current."""
-    return snapshot.withColumns({START_AT: version, END_AT: F.lit(None)}).withColumn(
-        END_AT, F.when(F.lit(False), F.col(START_AT))
-    )
+    return snapshot.withColumns({START_AT: version, END_AT: F.when(F.lit(False), version)})
 
 
 def apply_snapshot_scd2(

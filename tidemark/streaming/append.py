@@ -10,6 +10,8 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, name: str | Non
     """Start writing what is new at the source to a parquet folder, and stop when it is caught up.
 
     Exactly once per source row: the folder's own log lists the files of each completed micro-batch.
+    That log is kept by batch number, so a folder takes one stream with one checkpoint. Restart it with
+    a wider schema to take in new columns.
     """
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     if name:

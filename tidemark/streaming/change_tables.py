@@ -216,7 +216,11 @@ class Scd2Table(_ChangeTable):
 
     def read(self) -> DataFrame | None:
         """All versions; None before the first batch."""
-        return self._live(self.log.folders()["versions"])
+        versions = self._live(self.log.folders()["versions"])
+        if versions is None:
+            return None
+        dates = [START_AT, END_AT]
+        return versions.select(*map(col, [c for c in versions.columns if c not in dates]), *dates)
 
 
 def run_changes(stream: DataFrame, tables: Sequence[_ChangeTable], checkpoint: str) -> None:
