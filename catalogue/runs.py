@@ -48,6 +48,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def _files(spark: SparkSession) -> int:
+    """Landing files to write: enough to keep every core busy in each of two micro-batches."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
     return feed_plan.clean_changes(fx.feed(spark, folder), rescued=False)
 
@@ -98,14 +103,14 @@ def trip_stream_medallion(spark, folder):
     """CSV files -> streamed bronze -> streamed silver -> batch gold."""
     work = new_work_folder(spark, "trips")
     raw = fx.trips(spark, folder)
-    raw.write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
+    raw.repartition(_files(spark)).write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
     schema = merge_schema_hints(
         T.StructType([T.StructField(name, T.StringType()) for name, _, _ in trip_plan.TRIP_COLUMNS]),
         "tpep_pickup_datetime TIMESTAMP_NTZ, tpep_dropoff_datetime TIMESTAMP_NTZ, trip_distance DOUBLE, "
         "fare_amount DOUBLE, total_amount DOUBLE",
     )
     schema = T.StructType([schema[name] for name in raw.columns])
-    files = ingest_csv(spark, f"{work}/landing", schema, glob="*.csv.gz", max_files_per_trigger=4)
+    files = ingest_csv(spark, f"{work}/landing", schema, glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2)
     run_append(trip_plan.raw_trips(files), f"{work}/bronze", f"{work}/checkpoints/bronze")
     silver = trip_plan.clean_trips(stream_table(spark, f"{work}/bronze"))
     run_append(silver, f"{work}/silver", f"{work}/checkpoints/silver")
@@ -485,11 +490,11 @@ def csv_ingest(spark, folder):
     """Inferred types with hints; compressed files chosen by name; streamed to a table."""
     work = new_work_folder(spark, "csv")
     lineitem = fx.table(spark, folder, "lineitem")
-    lineitem.write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
+    lineitem.repartition(_files(spark)).write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
     inferred = infer_schema(spark, f"{work}/landing", "csv", pathGlobFilter="*.csv.gz")
     hints = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_shipdate TIMESTAMP_NTZ"
     files = ingest_csv(
-        spark, f"{work}/landing", merge_schema_hints(inferred, hints), glob="*.csv.gz", max_files_per_trigger=2
+        spark, f"{work}/landing", merge_schema_hints(inferred, hints), glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2
     )
     run_append(files.drop(RESCUED), f"{work}/table", f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/table")

@@ -28,7 +28,17 @@ from tidemark.operators.common import (
     col,
     require_columns,
 )
-from tidemark.operators.skew import HOT, HOT_ROWS, SEGMENT, add_segments, hot_keys, order_number, split_hot
+from tidemark.operators.skew import (
+    HOT,
+    HOT_ROWS,
+    SEGMENT,
+    add_segments,
+    hot_keys,
+    order_number,
+    restore_keys,
+    segment_splits,
+    split_hot,
+)
 
 TOP = "_top"
 
@@ -165,8 +175,9 @@ def fold_versions(
     if hot is None:
         return _versions_by_key(events, keys, tracked, ignore_null_updates)
     cold, numbered = split_hot(events, keys, hot)
+    segmented = _versions_by_segment(numbered, tracked, ignore_null_updates)
     return _versions_by_key(cold, keys, tracked, ignore_null_updates).unionByName(
-        _versions_by_segment(numbered, keys, tracked, ignore_null_updates)
+        restore_keys(segmented, keys, hot)
     )
 
 
@@ -176,7 +187,7 @@ def _versions_by_key(
     """All windows share one partitioning and one sort: (keys, sequence, ...)."""
     payload = payload_of(events, keys)
     if ignore_null_updates:
-        events = _merge_ties(events, keys, keys, payload)
+        events = _merge_ties(events, keys, payload)
         window = Window.partitionBy(*map(col, keys)).orderBy(SEQ)
         events = events.select(
             *map(col, keys), SEQ, DEL, *[_filled(c, window).getField("value").alias(c) for c in payload]
@@ -193,19 +204,19 @@ def _versions_by_key(
 
 
 def _versions_by_segment(
-    numbered: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None, ignore_null_updates: bool
+    numbered: DataFrame, tracked: Sequence[str] | None, ignore_null_updates: bool
 ) -> DataFrame:
-    """The same history for hot keys. Windows run inside (key, segment); what they need from outside
-    the segment - the event before its first, the event after its last, the latest opening before it -
-    comes from a window over one summary row per segment."""
-    payload = payload_of(numbered, keys)
+    """The same history for hot keys, by key number. Windows run inside (key, segment); what they need from
+    outside the segment - the event before its first, the event after its last, the latest opening before
+    it - comes from a window over one summary row per segment."""
+    payload = payload_of(numbered, [])
+    splits = segment_splits(numbered)
     if ignore_null_updates:
-        rows = add_segments(_merge_ties(numbered, [HOT], keys, payload))
-        rows = _fill_by_segment(rows, keys, payload)
+        rows = _fill_by_segment(add_segments(_merge_ties(numbered, [HOT], payload), splits), payload)
     else:
         # exact copies and other ties collapse before the shuffle
-        top = numbered.groupBy(HOT, SEQ).agg(F.max(F.struct(DEL, *map(col, [*payload, *keys]))).alias(TOP))
-        rows = add_segments(top.select(HOT, SEQ, f"{TOP}.*"))
+        top = numbered.groupBy(HOT, SEQ).agg(F.max(F.struct(DEL, *map(col, payload))).alias(TOP))
+        rows = add_segments(top.select(HOT, SEQ, f"{TOP}.*"), splits)
 
     part = [HOT, SEGMENT]
     rows = _with_neighbours(rows, part, tracked)
@@ -213,9 +224,11 @@ def _versions_by_segment(
     running = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn(START_AT, F.max(F.when(inner, F.col(SEQ))).over(running))
 
-    event = _event(tracked)
+    # the summary reads the same columns as the rows it is joined to, so both share one shuffle
+    untracked = [c for c in payload if c not in (tracked or [])]
+    whole = F.struct(SEQ, DEL, *map(col, [*(tracked or []), *untracked]))
     edges = rows.groupBy(*part).agg(
-        F.min(event).alias("_first"), F.max(event).alias("_last"), F.max(START_AT).alias("_opened")
+        F.min(_event(tracked)).alias("_first"), F.max(whole).alias("_last"), F.max(START_AT).alias("_opened")
     )
     by_segment = Window.partitionBy(HOT).orderBy(SEGMENT)
     edges = edges.withColumn("_before", F.lag("_last").over(by_segment)).withColumn(
@@ -231,7 +244,7 @@ def _versions_by_segment(
         .withColumn("_next", F.coalesce("_next", "_after"))
         .withColumn(START_AT, F.coalesce(START_AT, "_carried"))
     )
-    return _closing_rows(rows, keys, payload, tracked)
+    return _closing_rows(rows, [HOT], payload, tracked)
 
 
 def _event(tracked: Sequence[str] | None) -> Column:
@@ -271,11 +284,10 @@ def _closing_rows(
     )
 
 
-def _merge_ties(events: DataFrame, part: Sequence[str], keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
+def _merge_ties(events: DataFrame, part: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One event per (key, sequence), merged column by column; a delete blanks the payload."""
-    extra = [k for k in keys if k not in part]
     merged = events.groupBy(*map(col, part), SEQ).agg(
-        F.max(DEL).alias(DEL), *[F.max(col(c)).alias(c) for c in [*payload, *extra]]
+        F.max(DEL).alias(DEL), *[F.max(col(c)).alias(c) for c in payload]
     )
     return merged.withColumns({c: F.when(~F.col(DEL), col(c)) for c in payload})
 
@@ -289,7 +301,7 @@ def _filled(name: str, window) -> Column:
     return F.last(_set_value(name), ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _fill_by_segment(rows: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
+def _fill_by_segment(rows: DataFrame, payload: Sequence[str]) -> DataFrame:
     """Running last non-NULL value per column, reset at deletes, across the segments of a hot key."""
     part = [HOT, SEGMENT]
     carried = {c: f"_carried_{i}" for i, c in enumerate(payload)}
@@ -301,7 +313,7 @@ def _fill_by_segment(rows: DataFrame, keys: Sequence[str], payload: Sequence[str
     window = Window.partitionBy(*part).orderBy(SEQ)
     local = rows.withColumns({c: _filled(c, window) for c in payload})
     values = [F.coalesce(col(c), F.col(carried[c])).getField("value").alias(c) for c in payload]
-    return local.join(ends, part).select(HOT, SEGMENT, *map(col, keys), SEQ, DEL, *values)
+    return local.join(ends, part).select(HOT, SEGMENT, SEQ, DEL, *values)
 
 
 # -------------------------------------------------------------------------------------- readers

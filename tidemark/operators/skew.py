@@ -44,11 +44,17 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys numbered in `_hot`)."""
+    """(rows of ordinary keys, rows of hot keys with the key's number `_hot` in place of the key)."""
     match = same_keys(df, hot, keys)
     cold = df.join(F.broadcast(hot), match, "left_anti")
-    numbered = df.join(F.broadcast(hot), match, "inner").select(*[df[f"`{c}`"] for c in df.columns], hot[HOT])
-    return cold, numbered
+    numbered = df.join(F.broadcast(hot), match, "inner")
+    return cold, numbered.select(hot[HOT], *[df[f"`{c}`"] for c in df.columns if c not in keys])
+
+
+def restore_keys(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The key in place of its number again."""
+    rest = [c for c in rows.columns if c != HOT]
+    return rows.join(F.broadcast(hot), HOT).select(*map(col, keys), *map(col, rest))
 
 
 def order_number(column: Column, dtype: T.DataType) -> Column:
@@ -69,19 +75,23 @@ def order_number(column: Column, dtype: T.DataType) -> Column:
     )
 
 
-def add_segments(hot: DataFrame) -> DataFrame:
-    """Number the segments of hot rows: equal-depth ranges of the sequence over all hot rows.
+def segment_splits(numbered: DataFrame) -> list[float]:
+    """Boundaries that cut the hot rows into equal-depth ranges of their sequence, one per shuffle partition.
 
-    No (key, segment) group exceeds about one shuffle partition's share of the hot rows, because
-    (key, sequence) is unique here. The boundaries are fixed on the driver (one number per shuffle
-    partition), so recomputing a lost partition gives the same segments.
+    A range holds about an even share of the hot rows, or rows of one single sequence value. The boundaries
+    are fixed on the driver, so recomputing a lost partition gives the same segments.
     """
-    number = order_number(F.col(SEQ), hot.schema[SEQ].dataType)
-    width = shuffle_width(hot)
+    number = order_number(F.col(SEQ), numbered.schema[SEQ].dataType)
+    width = shuffle_width(numbered)
     steps = [i / width for i in range(1, width)]
-    cuts = hot.agg(F.percentile_approx(number, steps, max(10_000, 10 * width))).first()[0] or []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    cuts = numbered.agg(F.percentile_approx(number, steps, max(10_000, 10 * width))).first()[0] or []
+    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+
+
+def add_segments(rows: DataFrame, splits: list[float]) -> DataFrame:
+    """Number each row's segment. Once (key, sequence) is unique, no (key, segment) is big."""
     if len(splits) < 3:
-        return hot.withColumn(SEGMENT, F.lit(0.0))
+        return rows.withColumn(SEGMENT, F.lit(0.0))
+    number = order_number(F.col(SEQ), rows.schema[SEQ].dataType)
     bucketizer = Bucketizer(splits=splits, inputCol="_number", outputCol=SEGMENT)
-    return bucketizer.transform(hot.withColumn("_number", number)).drop("_number")
+    return bucketizer.transform(rows.withColumn("_number", number)).drop("_number")
