@@ -13,8 +13,9 @@ def spark():
     session = build_session(
         "tests",
         "local[4]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")

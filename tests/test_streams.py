@@ -19,7 +19,7 @@ from tidemark.streaming.family import TableSpec, list_tables, run_cdc_family
 def batches_of(events, seed, in_order):
     draw = random.Random(seed)
     events = sorted(events, key=lambda e: e[4]) if in_order else list(events)
-    cuts = sorted(draw.sample(range(1, len(events)), 4))
+    cuts = sorted(draw.sample(range(1, len(events)), 3))
     return [events[a:b] for a, b in zip([0, *cuts], [*cuts, len(events)])]
 
 
@@ -38,7 +38,7 @@ def test_scd1_table(spark, tmp_path, ignore_nulls):
         spark, f"{tmp_path}/t", buckets=3, merge_width=2, ignore_null_updates=ignore_nulls, **COMMON
     )
     fill(spark, table, batches_of(events, 1, in_order=False))
-    assert len(table.log.folders()["state"]) < 5
+    assert len(table.log.folders()["state"]) < 4
     expected = fold_scd1(spark.createDataFrame(events, COLUMNS), ignore_null_updates=ignore_nulls, **COMMON)
     assert rows(table.read()) == rows(expected)
 
@@ -101,6 +101,45 @@ def test_new_columns_and_empty_batches(spark, tmp_path):
     table.apply(wider, 3)
     got = table.read().select("id", "name", "extra", "__START_AT", "__END_AT")
     assert rows(got) == [(1, "a", 7, 2, None), (1, "a", None, 1, 2)]
+    one = Scd1Table(spark, f"{tmp_path}/one", buckets=2, **COMMON)
+    one.apply(spark.createDataFrame([(1, "a", "x", "APPEND", 1), (2, "b", "y", "APPEND", 1)], COLUMNS), 0)
+    one.apply(wider, 1)
+    assert rows(one.read()) == [(1, "a", "x", 7), (2, "b", "y", None)]
+
+
+def test_in_order_batches_do_not_read_the_log(spark, tmp_path):
+    """Late keys alone go back to the event log and the stored versions."""
+    table = Scd2Table(spark, f"{tmp_path}/t", buckets=2, track_history=["name"], **COMMON)
+    read, seen = table.log.read, []
+
+    def watched(part, folders, buckets=None):
+        seen.append((part, len(folders)))
+        return read(part, folders, buckets)
+
+    table.log.read = watched
+    table.apply(spark.createDataFrame([(k, "a", "x", "APPEND", 1) for k in range(5)], COLUMNS), 0)
+    table.apply(spark.createDataFrame([(k, "a", "y", "UPDATE", 5) for k in range(5)], COLUMNS), 1)
+    table.apply(spark.createDataFrame([(1, None, None, "DELETE", 6), (7, "n", "n", "DELETE", 9)], COLUMNS), 2)
+    assert {count for part, count in seen if part in ("events", "versions")} == {1}
+    seen.clear()
+    late = [(2, "b", "z", "UPDATE", 3), (7, "n", "n", "APPEND", 8), (1, "c", "w", "APPEND", 7)]
+    table.apply(spark.createDataFrame(late, COLUMNS), 3)
+    assert ("events", 4) in seen and ("versions", 3) in seen
+    table.log.read = read
+    assert rows(table.read()) == sorted(
+        [
+            (0, "a", "y", 1, None),
+            (1, "a", "y", 1, 6),
+            (1, "c", "w", 7, None),
+            (2, "a", "x", 1, 3),
+            (2, "b", "z", 3, 5),
+            (2, "a", "y", 5, None),
+            (3, "a", "y", 1, None),
+            (4, "a", "y", 1, None),
+            (7, "n", "n", 8, 9),
+        ],
+        key=repr,
+    )
 
 
 def test_history_streamed_from_files(spark, tmp_path):

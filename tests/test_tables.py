@@ -69,6 +69,8 @@ def test_single_snapshot_and_bad_input(spark):
         apply_snapshot_scd2(history, df, F.lit(1), ["id"]).collect()
     with pytest.raises(Exception, match="de-duplicate"):
         apply_snapshot_scd2(history, df.union(df), F.lit(2), ["id"]).collect()
+    with pytest.raises(Exception, match="repeat inside"):
+        fold_snapshots_scd2(df.union(df).withColumn("v", F.lit(1)), ["id"], "v").collect()
     with pytest.raises(ValueError, match="not in the payload"):
         apply_snapshot_scd2(history, df, F.lit(2), ["id"], track_history=["nope"])
 

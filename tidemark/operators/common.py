@@ -49,6 +49,16 @@ def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe key equality for a join of two frames with equal key names."""
-    return all_of([left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
+def join_on(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", take: Sequence[str] = ()
+) -> DataFrame:
+    """Null-safe join on the keys both sides have; adds the columns `take` of `right` to those of `left`.
+
+    The right side is renamed first, so the sides may derive from each other.
+    """
+    aliases = [f"_key_{i}" for i in range(len(keys))]
+    renamed = right.select(
+        *[col(k).alias(a) for k, a in zip(keys, aliases, strict=True)], *[col(c).alias(c) for c in take]
+    )
+    match = all_of([col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, aliases, strict=True)])
+    return left.join(renamed, match, how).drop(*aliases)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.common import SEQ, col, same_keys
+from tidemark.operators.common import SEQ, col, join_on
 
 HOT = "_hot"
 SEGMENT = "_segment"
@@ -45,10 +45,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys with the key's number `_hot` in place of the key)."""
-    match = same_keys(df, hot, keys)
-    cold = df.join(F.broadcast(hot), match, "left_anti")
-    numbered = df.join(F.broadcast(hot), match, "inner")
-    return cold, numbered.select(hot[HOT], *[df[f"`{c}`"] for c in df.columns if c not in keys])
+    cold = join_on(df, F.broadcast(hot), keys, "left_anti")
+    numbered = join_on(df, F.broadcast(hot), keys, "inner", [HOT])
+    return cold, numbered.select(HOT, *[col(c) for c in df.columns if c not in keys])
 
 
 def restore_keys(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:

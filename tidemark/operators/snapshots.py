@@ -76,6 +76,11 @@ def fold_snapshots_scd2(
     )
     seen_again = F.lead(col(version)).over(Window.partitionBy(*map(col, keys)).orderBy(col(version)))
     rows = snapshots.join(following, version).withColumn("_seen_again", seen_again)
+    single = F.assert_true(
+        ~F.col("_seen_again").eqNullSafe(col(version)),
+        F.lit(f"fold_snapshots_scd2: the keys {list(keys)} repeat inside a snapshot; de-duplicate first"),
+    )
+    rows = rows.where(single.isNull())
     vanishes = F.col("_following").isNotNull() & ~F.col("_seen_again").eqNullSafe(F.col("_following"))
 
     def event(sequence: Column, delete: bool) -> Column:

@@ -33,11 +33,16 @@ def merge_schema_hints(inferred: T.StructType, hints: str) -> T.StructType:
 
 
 def evolve_schema(known: T.StructType, seen: T.StructType) -> T.StructType:
-    """`known` with the columns only `seen` has appended as nullable. Known types stay as they are: a
-    value that no longer fits goes to the rescued column."""
-    names = {f.name.lower() for f in known.fields}
-    added = [T.StructField(f.name, f.dataType, True) for f in seen.fields if f.name.lower() not in names]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in known.fields] + added)
+    """`known` with the columns (or fields of structs) only `seen` has appended as nullable. Known types
+    stay as they are: a value that no longer fits goes to the rescued column."""
+    fresh = {f.name.lower(): f for f in seen.fields}
+    fields = []
+    for field in known.fields:
+        other = fresh.pop(field.name.lower(), field).dataType
+        nested = isinstance(field.dataType, T.StructType) and isinstance(other, T.StructType)
+        kind = evolve_schema(field.dataType, other) if nested else field.dataType
+        fields.append(T.StructField(field.name, kind, True))
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in fresh.values()])
 
 
 def with_rescue(schema: T.StructType) -> T.StructType:

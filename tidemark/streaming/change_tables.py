@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.common import DEL, END_AT, SEQ, START_AT, col, same_keys
+from tidemark.operators.common import DEL, END_AT, SEQ, START_AT, col, join_on
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.scd import (
     finish_scd1,
@@ -25,6 +25,8 @@ from tidemark.operators.skew import HOT_ROWS
 from tidemark.sinks.delta_log import BUCKET, STEP, DeltaLog, bucket_of
 
 GONE = "_gone"
+HEAD = "_head"
+FIRST, LAST = "_first", "_last"
 LOW, HIGH = "_low", "_high"
 
 
@@ -94,15 +96,19 @@ class Scd1Table(_ChangeTable):
 
 
 class Scd2Table(_ChangeTable):
-    """Version history. A batch appends its events to a log, folds only the stretch of history its events
-    touch, and appends the versions of that stretch. A version is identified by (key, `__START_AT`):
-    the newest row with that identity counts, and may say that the version is gone.
+    """Version history, kept in three append-only parts:
 
-    For events that arrive in order the stretch is the key's last two versions, so a key with a long
-    history costs no more to fold than any other.
+    * `events`, the log of all events, read again only for keys with late events;
+    * `versions`: a version is identified by (key, `__START_AT`); the newest row with that identity counts,
+      and may say that the version is gone;
+    * `heads`, one row per key: its last sequence and its open version.
+
+    Events later than their key's head are folded onto the open version alone: the cost of a batch in order
+    is that of the batch and the heads of its buckets, however long the histories are. For late events the
+    stretch of history they can change is taken from the log and folded again.
     """
 
-    tables = ("events", "versions")
+    tables = ("events", "versions", "heads")
 
     def __init__(
         self,
@@ -119,37 +125,97 @@ class Scd2Table(_ChangeTable):
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         events = self._distinct_events(events).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        written = self.log.write(events, "events", batch_id)
-        new = self.log.read("events", [written]).drop(STEP)
+        written = {"events": self.log.write(events, "events", batch_id)}
+        new = self.log.read("events", [written["events"]]).drop(STEP)
         touched = [row[0] for row in new.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
-        payload = payload_of(new.drop(BUCKET), self.keys)
-        tracked = tracked_columns(payload, *self.tracking)
+        kept: list[DataFrame] = []
 
-        old = self.log.read("events", folders["events"], touched)
-        live = self._live(folders["versions"], touched, [END_AT])
-        everything = new if old is None else old.drop(STEP).unionByName(new)
-        stretch = self._stretches(new, live)
-        if old is None:
-            inside = everything.withColumn(HIGH, F.when(F.lit(False), F.col(SEQ)))
-        else:
-            inside = self._within(everything, stretch, F.col(SEQ), closed=True).drop(LOW)
-        # `_high` rides along as a constant of the key: the version that starts there lies outside the stretch
-        versions = fold_versions(inside.drop(BUCKET), self.keys, tracked, self.ignore_null_updates, self.hot_rows)
-        versions = versions.where(F.col(HIGH).isNull() | (F.col(START_AT) < F.col(HIGH))).drop(HIGH)
-        delta = versions.withColumn(GONE, F.lit(False))
-        if live is not None:
-            replaced = self._within(live, stretch, F.col(START_AT), closed=False)
-            gone = replaced.select(*map(col, self.keys), START_AT, F.lit(True).alias(GONE))
-            delta = self._newest(delta.unionByName(gone, allowMissingColumns=True), [])
-        delta = delta.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        written_versions = self.log.write(delta, "versions", batch_id)
+        def keep(df: DataFrame) -> DataFrame:
+            """Hold on to an intermediate result of this batch that several of its steps read."""
+            kept.append(df.persist())
+            return kept[-1]
+
+        placed = keep(self._placed(new.drop(BUCKET), folders["heads"], touched))
+        try:
+            is_late = F.coalesce(F.col(FIRST) <= F.col(HEAD), F.lit(False))
+            late = placed.where(is_late).select(*self._named(), FIRST, LAST)
+            stretch = None
+            if not late.isEmpty():
+                live = self._live(folders["versions"], touched, late, [END_AT])
+                stretch = keep(self._stretches(late, live))
+            inside = self._events_in_order(new.drop(BUCKET), placed.where(~is_late), stretch is None)
+            if stretch is not None:
+                log = self.log.read("events", [*folders["events"], written["events"]], touched).drop(STEP, BUCKET)
+                inside = keep(inside.unionByName(self._within(log, stretch, F.col(SEQ), closed=True).drop(LOW)))
+            delta = self._versions(inside, payload_of(new.drop(BUCKET), self.keys))
+            if stretch is not None:
+                replaced = self._within(live, stretch, F.col(START_AT), closed=False)
+                gone = replaced.select(*self._named(), START_AT, F.lit(True).alias(GONE))
+                delta = self._newest(delta.unionByName(gone, allowMissingColumns=True), [])
+            delta = delta.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+            written["versions"] = self.log.write(delta, "versions", batch_id)
+            heads = self._new_heads(placed, self.log.read("versions", [written["versions"]]), stretch)
+            written["heads"] = self.log.write(heads, "heads", batch_id)
+        finally:
+            for df in kept:
+                df.unpersist()
+        merges = {"events": self._merge_events, "versions": self._merge_versions, "heads": self._merge_heads}
         return {
-            "events": self.log.merge_levels("events", [*folders["events"], written], batch_id, self._merge_events),
-            "versions": self.log.merge_levels(
-                "versions", [*folders["versions"], written_versions], batch_id, self._merge_versions
-            ),
+            part: self.log.merge_levels(part, [*folders[part], written[part]], batch_id, merge)
+            for part, merge in merges.items()
         }
 
+    def _named(self) -> list:
+        return list(map(col, self.keys))
+
+    def _placed(self, new: DataFrame, heads: Sequence[str], touched: Sequence[int]) -> DataFrame:
+        """Per key of the batch: its first and last new sequence, and its head so far."""
+        spans = new.groupBy(*self._named()).agg(F.min(SEQ).alias(FIRST), F.max(SEQ).alias(LAST))
+        known = self.log.read("heads", heads, touched)
+        payload = payload_of(new, self.keys)
+        stored = [] if known is None else [c for c in payload if c in known.columns]
+        blank = {c: F.lit(None).cast(new.schema[c].dataType) for c in payload if c not in stored}
+        if known is None:
+            nothing = F.when(F.lit(False), F.col(FIRST))
+            return spans.withColumns({HEAD: nothing, START_AT: nothing, **blank})
+        known = join_on(known, spans, self.keys, "left_semi").drop(BUCKET)
+        known = self._merge_heads(known, True) if len(heads) > 1 else known.drop(STEP)
+        placed = join_on(spans, known, self.keys, "left", [HEAD, START_AT, *stored])
+        return placed.withColumns(blank) if blank else placed
+
+    def _events_in_order(self, new: DataFrame, ordered: DataFrame, all_ordered: bool) -> DataFrame:
+        """New events of keys without late ones. A key's open version stands for its history: as an event at
+        its start with its latest values, it is all that the fold of later events can depend on."""
+        if not all_ordered:
+            new = join_on(new, ordered, self.keys, "left_semi")
+        stand_in = ordered.where(F.col(START_AT).isNotNull()).select(
+            *self._named(), F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL), *map(col, payload_of(new, self.keys))
+        )
+        return new.unionByName(stand_in).withColumn(HIGH, F.when(F.lit(False), F.col(SEQ)))
+
+    def _versions(self, inside: DataFrame, payload: Sequence[str]) -> DataFrame:
+        """Versions of the stretches. `_high` rides along as a constant of the key: the version that starts
+        there lies outside."""
+        tracked = tracked_columns(payload, *self.tracking)
+        versions = fold_versions(inside, self.keys, tracked, self.ignore_null_updates, self.hot_rows)
+        inner = F.col(HIGH).isNull() | (F.col(START_AT) < F.col(HIGH))
+        return versions.where(inner).drop(HIGH).withColumn(GONE, F.lit(False))
+
+    def _new_heads(self, placed: DataFrame, delta: DataFrame, stretch: DataFrame | None) -> DataFrame:
+        """Heads after the batch: the version the batch left open, or the old one where the batch changed
+        only history before it."""
+        values = [START_AT, *[c for c in placed.columns if c not in (*self.keys, FIRST, LAST, HEAD, START_AT)]]
+        left_open = {c: f"_opened_{i}" for i, c in enumerate(values)}
+        opened = delta.where(F.col(END_AT).isNull() & ~F.col(GONE)).withColumnsRenamed(left_open)
+        joined = join_on(placed, opened, self.keys, "left", list(left_open.values()))
+        kept = F.lit(False)
+        if stretch is not None:
+            joined = join_on(joined, stretch, self.keys, "left", [HIGH])
+            kept = F.col(HIGH).isNotNull()
+        chosen = [F.when(kept, col(c)).otherwise(F.col(left_open[c])).alias(c) for c in values]
+        heads = joined.select(*self._named(), F.greatest(HEAD, LAST).alias(HEAD), *chosen)
+        return heads.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+
     def _distinct_events(self, events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         """Fewer rows, same fold: ties collapse to the one that counts, or only exact copies where ties
         are merged by column."""
@@ -157,34 +223,26 @@ class Scd2Table(_ChangeTable):
             return events.distinct()
         return latest_by_key(events, [*self.keys, SEQ, *extra], [DEL, *payload_of(events, [*self.keys, *extra])])
 
-    def _stretches(self, new: DataFrame, live: DataFrame | None) -> DataFrame:
-        """Per key of the batch, the part of its history (`_low` to `_high`) that its new events can change.
+    def _stretches(self, late: DataFrame, live: DataFrame) -> DataFrame:
+        """Per key with late events, the part of its history (`_low` to `_high`) that its new events can change.
 
         From the last version that starts before the first of them - that start stays one - up to the end of
         the first version that starts after the last: the event there follows one that is not new. NULL
         means no limit, as for values carried forward by `ignore_null_updates`.
         """
-        named = list(map(col, self.keys))
-        spans = new.groupBy(*named).agg(F.min(SEQ).alias("_first"), F.max(SEQ).alias("_last"))
-        nothing = F.when(F.lit(False), F.col("_first"))
-        if live is None or self.ignore_null_updates:
-            return spans.select(*named, nothing.alias(LOW), nothing.alias(HIGH))
-        pairs = live.join(spans, same_keys(live, spans, self.keys)).select(
-            *[live[f"`{c}`"] for c in live.columns], spans["_first"], spans["_last"]
-        )
-        start, later = F.col(START_AT), F.col(START_AT) > F.col("_last")
-        limits = pairs.groupBy(*named).agg(
-            F.max(F.when(start < F.col("_first"), start)).alias(LOW),
+        nothing = F.when(F.lit(False), F.col(FIRST))
+        if self.ignore_null_updates:
+            return late.select(*self._named(), nothing.alias(LOW), nothing.alias(HIGH))
+        pairs = join_on(live, late, self.keys, "inner", [FIRST, LAST])
+        start, later = F.col(START_AT), F.col(START_AT) > F.col(LAST)
+        limits = pairs.groupBy(*self._named()).agg(
+            F.max(F.when(start < F.col(FIRST), start)).alias(LOW),
             F.min(F.when(later, F.struct(START_AT, END_AT))).getField(END_AT).alias(HIGH),
         )
-        return spans.join(limits, same_keys(spans, limits, self.keys), "left").select(
-            *[spans[f"`{k}`"] for k in self.keys], limits[LOW], limits[HIGH]
-        )
+        return join_on(late.select(*self._named()), limits, self.keys, "left", [LOW, HIGH])
 
     def _within(self, rows: DataFrame, stretch: DataFrame, place, closed: bool) -> DataFrame:
-        joined = rows.join(stretch, same_keys(rows, stretch, self.keys)).select(
-            *[rows[f"`{c}`"] for c in rows.columns], stretch[LOW], stretch[HIGH]
-        )
+        joined = join_on(rows, stretch, self.keys, "inner", [LOW, HIGH])
         below = (place <= F.col(HIGH)) if closed else (place < F.col(HIGH))
         return joined.where((F.col(LOW).isNull() | (place >= F.col(LOW))) & (F.col(HIGH).isNull() | below))
 
@@ -196,14 +254,20 @@ class Scd2Table(_ChangeTable):
         return top.select(*map(col, self.keys), START_AT, *[F.col("_top").getField(c).alias(c) for c in rest])
 
     def _live(
-        self, folders: Sequence[str], touched: Sequence[int] | None = None, columns: Sequence[str] | None = None
+        self,
+        folders: Sequence[str],
+        touched: Sequence[int] | None = None,
+        only: DataFrame | None = None,
+        columns: Sequence[str] | None = None,
     ) -> DataFrame | None:
-        """Versions that count, with all columns or only the given ones beside (keys, start)."""
+        """Versions that count; of some keys only, and with some columns beside (keys, start), if so asked."""
         rows = self.log.read("versions", folders, touched)
         if rows is None:
             return None
+        if only is not None:
+            rows = join_on(rows, only, self.keys, "left_semi")
         if columns is not None:
-            rows = rows.select(*map(col, self.keys), START_AT, *map(col, columns), GONE, STEP, BUCKET)
+            rows = rows.select(*self._named(), START_AT, *map(col, columns), GONE, STEP, BUCKET)
         rows = self._newest(rows.drop(BUCKET), [F.col(STEP)]) if len(folders) > 1 else rows.drop(BUCKET)
         return rows.where(~F.col(GONE)).drop(GONE, STEP)
 
@@ -214,6 +278,10 @@ class Scd2Table(_ChangeTable):
         newest = self._newest(rows, [F.col(STEP)]).drop(STEP)
         return newest.where(~F.col(GONE)) if oldest else newest
 
+    def _merge_heads(self, rows: DataFrame, oldest: bool) -> DataFrame:
+        by = [c for c in (*self.keys, BUCKET) if c in rows.columns]
+        return latest_by_key(rows, by, [STEP]).drop(STEP)
+
     def read(self) -> DataFrame | None:
         """All versions; None before the first batch."""
         versions = self._live(self.log.folders()["versions"])
