@@ -19,7 +19,7 @@ from tidemark.streaming.family import TableSpec, list_tables, run_cdc_family
 def batches_of(events, seed, in_order):
     draw = random.Random(seed)
     events = sorted(events, key=lambda e: e[4]) if in_order else list(events)
-    cuts = sorted(draw.sample(range(1, len(events)), 3))
+    cuts = sorted(draw.sample(range(1, len(events)), 2))
     return [events[a:b] for a, b in zip([0, *cuts], [*cuts, len(events)])]
 
 
@@ -38,7 +38,7 @@ def test_scd1_table(spark, tmp_path, ignore_nulls):
         spark, f"{tmp_path}/t", buckets=3, merge_width=2, ignore_null_updates=ignore_nulls, **COMMON
     )
     fill(spark, table, batches_of(events, 1, in_order=False))
-    assert len(table.log.folders()["state"]) < 4
+    assert len(table.log.folders()["state"]) < 3
     expected = fold_scd1(spark.createDataFrame(events, COLUMNS), ignore_null_updates=ignore_nulls, **COMMON)
     assert rows(table.read()) == rows(expected)
 
