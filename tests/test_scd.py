@@ -6,7 +6,8 @@ from helpers import COMMON, random_events, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.common import END_AT, START_AT
-from tidemark.operators.scd import fold_scd1, fold_scd2
+from tidemark.operators.scd import fold_scd1, fold_scd2, prepare_events
+from tidemark.operators.skew import add_segments, hot_keys, segment_splits, split_hot
 
 EVENTS = [
     (1, "Ann", "n1", "APPEND", 10),
@@ -136,6 +137,25 @@ def test_null_keys_and_null_sequences(spark):
     assert rows(fold_scd2(df, track_history=["name"], hot_rows=5, **COMMON)) == [(None, "a", "x", 0, None)]
 
 
+def test_segments_bound_the_rows_of_a_hot_key(spark):
+    """Half of the rows have one key and a burst of close sequences; copies of one row do not matter."""
+    df = spark.range(0, 20_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN NULL ELSE id END AS id",
+        "CASE WHEN id < 18000 THEN 1000.0 + id / 1e6 ELSE id * 1e6 END AS seq",
+        "'v' AS name",
+    )
+    df = df.unionByName(spark.range(0, 9_000).selectExpr("NULL AS id", "5.0 AS seq", "'copy' AS name"))
+    events = prepare_events(df, ["id"], "seq")
+    hot = hot_keys(events, ["id"], hot_rows=100)
+    assert [tuple(r) for r in hot.collect()] == [(None, 0)]
+    cold, numbered = split_hot(events, ["id"], hot)
+    assert cold.count() == 10_000 and numbered.count() == 19_000
+    sizes = add_segments(numbered.distinct(), segment_splits(numbered)).groupBy("_segment").count().collect()
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in sizes) <= 19_000 / width * 1.1
+    assert hot_keys(cold, ["id"], hot_rows=1) is None
+
+
 def exchanges(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return sum(1 for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line), plan

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.common import SEQ, col, join_on
@@ -89,6 +88,8 @@ def segment_splits(numbered: DataFrame) -> list[float]:
 
 def add_segments(rows: DataFrame, splits: list[float]) -> DataFrame:
     """Number each row's segment. Once (key, sequence) is unique, no (key, segment) is big."""
+    from pyspark.ml.feature import Bucketizer  # needs numpy, and only tables with hot keys need it
+
     if len(splits) < 3:
         return rows.withColumn(SEGMENT, F.lit(0.0))
     number = order_number(F.col(SEQ), rows.schema[SEQ].dataType)

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.common import col
-from tidemark.sinks.paths import child_files, create_text, read_text
+from tidemark.sinks.paths import child_files, child_folders, create_text, read_text
 from tidemark.sources.schemas import evolve_schema
 
 STEP = "_step"
@@ -54,10 +54,17 @@ class DeltaLog:
         """Write one folder. Rebalancing gives few files per bucket, and several for a big bucket.
         Columns that are new to the table are added to its schema; older rows read as NULL there."""
         path = f"{self.root}/{table}/{STEP}={step:010d}-{level}"
-        rows.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        balanced = rows.hint("rebalance", F.col(BUCKET))
+        # "static": whatever a failed attempt left in the folder goes, whichever buckets this one has
+        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(BUCKET).parquet(path)
         self.schemas[table] = evolve_schema(self.schemas.get(table, T.StructType()), rows.drop(STEP).schema)
         return path
 
+    def buckets_in(self, folder: str) -> list[int]:
+        """Numbers of the buckets a written folder has rows in."""
+        return [int(name.split("=")[1]) for name in child_folders(self.spark, folder) if "=" in name]
+
     def read(self, table: str, folders: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame | None:
         """Rows of the folders with their step; only the given buckets are listed and read."""
         if not folders:

@@ -16,7 +16,7 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     found = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-    return sorted(name for name in found if not name.startswith(("_", ".")))
+    return sorted(name for name in found if not name.startswith(("_temporary", ".")))
 
 
 def child_files(spark: SparkSession, path: str) -> list[str]:

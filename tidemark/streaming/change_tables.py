@@ -62,11 +62,7 @@ class _ChangeTable:
                 "this stream's checkpoint does not belong to the table"
             )
         if batch_id > last:
-            folders = self.log.folders()
-            events = self._events(batch)
-            if not events.isEmpty():
-                folders = self._apply(events, batch_id, folders)
-            self.log.publish(batch_id, folders)
+            self.log.publish(batch_id, self._apply(self._events(batch), batch_id, self.log.folders()))
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         raise NotImplementedError
@@ -81,6 +77,8 @@ class Scd1Table(_ChangeTable):
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         state = scd1_state(events, self.keys, self.ignore_null_updates)
         written = self.log.write(state.withColumn(BUCKET, bucket_of(self.keys, self.buckets)), "state", batch_id)
+        if not self.log.buckets_in(written):
+            return folders
         return {"state": self.log.merge_levels("state", [*folders["state"], written], batch_id, self._merge)}
 
     def _merge(self, rows: DataFrame, oldest: bool) -> DataFrame:
@@ -126,8 +124,10 @@ class Scd2Table(_ChangeTable):
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         events = self._distinct_events(events).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         written = {"events": self.log.write(events, "events", batch_id)}
+        touched = self.log.buckets_in(written["events"])
+        if not touched:
+            return folders
         new = self.log.read("events", [written["events"]]).drop(STEP)
-        touched = [row[0] for row in new.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
         kept: list[DataFrame] = []
 
         def keep(df: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ class TableSpec:
 
 def list_tables(spark: SparkSession, landing: str) -> list[str]:
     """Names of the tables that have a landing folder."""
-    return child_folders(spark, landing)
+    return [name for name in child_folders(spark, landing) if not name.startswith("_")]
 
 
 def run_cdc_family(
