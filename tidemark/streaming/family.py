@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession, types as T
@@ -44,14 +45,16 @@ def run_cdc_family(
     target: str,
     specs: Sequence[TableSpec],
     max_files_per_trigger: int | None = None,
+    chains_at_once: int = 4,
 ) -> dict[str, dict[str, Scd1Table | Scd2Table]]:
     """Bring every table up to date with its landing folder and return the tables.
 
     Each chain: new JSON files are appended to a raw table as they are (records that do not parse kept in
     `_rescued_data`); rows that pass the rules are applied to a type 1 and, if wanted, a type 2 table.
+    The chains share nothing, so several run side by side and fill the cluster between them.
     """
-    applied: dict[str, dict[str, Scd1Table | Scd2Table]] = {}
-    for spec in specs:
+
+    def chain(spec: TableSpec) -> dict[str, Scd1Table | Scd2Table]:
         source, base = f"{landing}/{spec.name}", f"{target}/{spec.name}"
         schema = spec.schema or infer_schema(spark, source, "json")
         if spec.schema_hints:
@@ -59,8 +62,7 @@ def run_cdc_family(
         raw = ingest_json(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
         run_append(raw, f"{base}/raw", f"{base}/checkpoints/raw")
 
-        rules = spec.rules
-        clean = expect_or_drop(stream_table(spark, f"{base}/raw", raw.schema, max_files_per_trigger), rules)
+        stored = stream_table(spark, f"{base}/raw", raw.schema, max_files_per_trigger)
         common = dict(
             keys=spec.keys,
             sequence_by=spec.sequence_by,
@@ -74,6 +76,8 @@ def run_cdc_family(
             tables["scd2"] = Scd2Table(
                 spark, f"{base}/scd2", track_history_except=spec.track_history_except, **common
             )
-        run_changes(clean, list(tables.values()), f"{base}/checkpoints/changes")
-        applied[spec.name] = tables
-    return applied
+        run_changes(expect_or_drop(stored, spec.rules), list(tables.values()), f"{base}/checkpoints/changes")
+        return tables
+
+    with ThreadPoolExecutor(chains_at_once) as pool:
+        return dict(zip([spec.name for spec in specs], pool.map(chain, specs), strict=True))
