@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from tidemark.llm.byte_bpe import op9_byte_bpe
 from tidemark.llm.near_dedup import op10_near_duplicates
+from tidemark.llm.token_planes import op5_token_planes
 
 QUERIES = {
+    "op5_token_planes": op5_token_planes,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
