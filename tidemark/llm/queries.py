@@ -5,8 +5,10 @@ from __future__ import annotations
 from tidemark.llm.byte_bpe import op9_byte_bpe
 from tidemark.llm.near_dedup import op10_near_duplicates
 from tidemark.llm.token_planes import op5_token_planes
+from tidemark.llm.winnowing import op2_winnowing
 
 QUERIES = {
+    "op2_winnowing": op2_winnowing,
     "op5_token_planes": op5_token_planes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_near_duplicates": op10_near_duplicates,
