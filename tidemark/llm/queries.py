@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from tidemark.llm import chat_format, mixing
 from tidemark.llm.byte_bpe import op9_byte_bpe
 from tidemark.llm.near_dedup import op10_near_duplicates
 from tidemark.llm.token_planes import op5_token_planes
 from tidemark.llm.winnowing import op2_winnowing
 
 QUERIES = {
+    "op3_chat_format": chat_format.op3_chat_format,
+    "op8_mixing": mixing.op8_mixing,
     "op2_winnowing": op2_winnowing,
     "op5_token_planes": op5_token_planes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_chat_format": chat_format.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+}
