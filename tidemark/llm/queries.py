@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from tidemark.llm import chat_format, mixing
 from tidemark.llm.byte_bpe import op9_byte_bpe
+from tidemark.llm.importance import op4_importance
 from tidemark.llm.near_dedup import op10_near_duplicates
+from tidemark.llm.private_terms import op6_private_terms
+from tidemark.llm.quality_rules import op7_quality_rules
 from tidemark.llm.token_planes import op5_token_planes
 from tidemark.llm.winnowing import op2_winnowing
 
 QUERIES = {
-    "op3_chat_format": chat_format.op3_chat_format,
-    "op8_mixing": mixing.op8_mixing,
     "op2_winnowing": op2_winnowing,
+    "op3_chat_format": chat_format.op3_chat_format,
+    "op4_importance": op4_importance,
     "op5_token_planes": op5_token_planes,
+    "op6_private_terms": op6_private_terms,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_mixing": mixing.op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_near_duplicates": op10_near_duplicates,
 }
