@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat_format, mixing
+from tidemark.llm import chat_format, mixing, warc
 from tidemark.llm.byte_bpe import op9_byte_bpe
 from tidemark.llm.importance import op4_importance
 from tidemark.llm.near_dedup import op10_near_duplicates
@@ -12,6 +12,7 @@ from tidemark.llm.token_planes import op5_token_planes
 from tidemark.llm.winnowing import op2_winnowing
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_winnowing": op2_winnowing,
     "op3_chat_format": chat_format.op3_chat_format,
     "op4_importance": op4_importance,
@@ -23,6 +24,7 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES = {
+    "op1_warc": warc.ORACLE,
     "op3_chat_format": chat_format.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
