@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import public_tokenizers
 import regex
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm.shipping import ship
 
@@ -202,7 +202,7 @@ def encode(
             column = pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*kept.columns, ids])
 
-    schema = kept.schema.add(ids, "array<int>")
+    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return kept.mapInArrow(work, schema)
 
 
@@ -218,7 +218,7 @@ def decode(df: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, i
             found = [None if not row.is_valid else encoder.decode(row.values.to_pylist()) for row in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*kept.columns, into])
 
-    return kept.mapInArrow(work, kept.schema.add(into, "binary"))
+    return kept.mapInArrow(work, T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())]))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:

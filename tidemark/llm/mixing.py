@@ -44,8 +44,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most_repeats: int)
     shared = weighted.withColumn("level", left / F.sum("weight").over(after)).withColumn(
         "capped", F.col("level") * F.col("weight") > F.col("limit")
     )
-    level = F.min(F.when(~F.col("capped"), F.col("level"))).over(everything)
-    target = F.when(F.col("capped"), F.col("limit").cast("double")).otherwise(level * F.col("weight"))
+    # behind the first source under its limit, levels only fall, as they count sources at a limit they do not reach
+    level = F.coalesce(F.max(F.when(~F.col("capped"), F.col("level"))).over(everything), F.lit(0.0))
+    target = F.least(F.col("limit").cast("double"), level * F.col("weight"))
     return shared.withColumn("target", target).select("source", "source_size", "target")
 
 
@@ -98,8 +99,8 @@ WITH sized AS (
     / sum(weight) OVER (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighted
 ), targets AS (
-  SELECT source, source_size, CASE WHEN level * weight > cap THEN cap::DOUBLE
-    ELSE min(CASE WHEN level * weight > cap THEN NULL ELSE level END) OVER () * weight END AS target
+  SELECT source, source_size,
+    least(cap::DOUBLE, coalesce(max(CASE WHEN level * weight > cap THEN NULL ELSE level END) OVER (), 0.0) * weight) AS target
   FROM shared
 ), rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
