@@ -191,7 +191,7 @@ def encode(
     """
     ship(docs.sparkSession)
     kept = docs.drop(ids)
-    place = kept.columns.index(text)
+    place, names = kept.columns.index(text), [*kept.columns, ids]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary(path, pattern)
@@ -200,7 +200,7 @@ def encode(
             lengths = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
             column = pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*kept.columns, ids])
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=names)
 
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return kept.mapInArrow(work, schema)
@@ -210,13 +210,13 @@ def decode(df: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, i
     """Add `into` (binary), the bytes that `ids` stand for; null ids give null. A column `into` is replaced."""
     ship(df.sparkSession)
     kept = df.drop(into)
-    place = kept.columns.index(ids)
+    place, names = kept.columns.index(ids), [*kept.columns, into]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary(path, pattern)
         for batch in batches:
             found = [None if not row.is_valid else encoder.decode(row.values.to_pylist()) for row in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*kept.columns, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=names)
 
     return kept.mapInArrow(work, T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())]))
 
