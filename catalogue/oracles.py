@@ -196,9 +196,14 @@ ORACLES = {
                CASE WHEN event_type NOT IN ('view', 'error') THEN user_id END AS user_id,
                CASE WHEN event_type <> 'view' THEN event_type END AS event_type,
                CASE WHEN event_type <> 'view' THEN value END AS value,
-               event_type IN ('view', 'error') AS rescued
+               CASE event_type WHEN 'view' THEN '{"event_id":'
+                   WHEN 'error' THEN '{"event_id":' || event_id || ',"user_id":"u' || user_id || '"' END AS rescued
+        FROM events""",
+    "csv_ingest": "SELECT *, NULL::VARCHAR AS _rescued_data FROM lineitem",
+    "late_columns": """
+        SELECT event_id, user_id,
+               CASE WHEN event_type IN ('click', 'view') THEN '{"event_type":"' || event_type || '"}' END AS _rescued_data
         FROM events""",
-    "csv_ingest": "SELECT * FROM lineitem",
     "schema_evolution": """
         SELECT event_id, user_id, event_type, value, CASE WHEN event_type IN ('click', 'view') THEN props END AS props
         FROM events""",

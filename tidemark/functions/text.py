@@ -1,29 +1,8 @@
-"""Standard forms of text columns. `trim` removes spaces only, not tabs or line ends."""
+"""Standard forms of columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-
-def trimmed(value: Column) -> Column:
-    return F.trim(value)
-
-
-def lowered(value: Column) -> Column:
-    return F.lower(F.trim(value))
-
-
-def uppered(value: Column) -> Column:
-    return F.upper(F.trim(value))
-
-
-def titled(value: Column) -> Column:
-    return F.initcap(F.trim(value))
-
-
-def joined(*values: Column) -> Column:
-    """Parts with a space between; NULL parts are skipped."""
-    return F.concat_ws(" ", *values)
+from pyspark.sql import Column
 
 
 def whole_number(value: Column, dtype: str = "int") -> Column:

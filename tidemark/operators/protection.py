@@ -86,6 +86,8 @@ def apply_row_filter(df: DataFrame, column: str, allowed: DataFrame | Collection
     a semi join, whose strategy Spark picks by the size of the grants.
     """
     require_columns(df, [column], "apply_row_filter")
+    if isinstance(allowed, str):
+        raise TypeError("apply_row_filter: give a collection of allowed values, not one string")
     if not isinstance(allowed, DataFrame):
         return df.where(col(column).isin(list(allowed))) if allowed else df.where(F.lit(False))
     grants = allowed.select(col(allowed.columns[0]).alias("_allowed"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 MOST_RANGES = 1 << 14
@@ -28,15 +30,15 @@ def range_cuts(df: DataFrame, column: str, rows_per_range: int = 50_000) -> list
     return sorted(set(cuts))
 
 
-def range_index(column: Column, cuts: list[int]) -> Column:
-    """The number of cuts at or below the value, by binary search; NULL counts as below all."""
+def range_index(column: Column, cuts: Sequence[float], kind: str = "bigint") -> Column:
+    """The number of (ascending) cuts at or below the value, by binary search; NULL counts as below all."""
     if not cuts:
         return F.lit(0)
-    table = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(repr, cuts)).replace("inf", "Infinity")), ",").cast(f"array<{kind}>")
     steps = F.lit([1 << bit for bit in reversed(range(len(cuts).bit_length()))])
 
     def step(at: Column, width: Column) -> Column:
-        beyond = (at + width <= len(cuts)) & (F.get(table, at + width - 1) <= column.cast("long"))
+        beyond = (at + width <= len(cuts)) & (F.get(table, at + width - 1) <= column.cast(kind))
         return F.when(beyond, at + width).otherwise(at)
 
     return F.aggregate(steps, F.lit(0), step)

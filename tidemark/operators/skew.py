@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.common import SEQ, col, join_on
+from tidemark.operators.ranges import range_index
 
 HOT = "_hot"
 SEGMENT = "_segment"
@@ -59,6 +60,9 @@ def order_number(column: Column, dtype: T.DataType) -> Column:
     """A double that never decreases as `column` increases (equal values stay equal)."""
     if isinstance(dtype, T.StructType):
         return order_number(column.getField(dtype[0].name), dtype[0].dataType)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # NaN sorts behind every number, infinity included; it shares infinity's segment
+        return F.when(F.isnan(column), F.lit(float("inf"))).otherwise(column.cast("double"))
     if isinstance(dtype, (T.NumericType, T.TimestampType)):
         return column.cast("double")
     if isinstance(dtype, T.DateType):
@@ -83,15 +87,10 @@ def segment_splits(numbered: DataFrame) -> list[float]:
     width = shuffle_width(numbered)
     steps = [i / width for i in range(1, width)]
     cuts = numbered.agg(F.percentile_approx(number, steps, max(10_000, 10 * width))).first()[0] or []
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+    return sorted(set(cuts))
 
 
 def add_segments(rows: DataFrame, splits: list[float]) -> DataFrame:
     """Number each row's segment. Once (key, sequence) is unique, no (key, segment) is big."""
-    from pyspark.ml.feature import Bucketizer  # needs numpy, and only tables with hot keys need it
-
-    if len(splits) < 3:
-        return rows.withColumn(SEGMENT, F.lit(0.0))
     number = order_number(F.col(SEQ), rows.schema[SEQ].dataType)
-    bucketizer = Bucketizer(splits=splits, inputCol="_number", outputCol=SEGMENT)
-    return bucketizer.transform(rows.withColumn("_number", number)).drop("_number")
+    return rows.withColumn(SEGMENT, range_index(number, splits, "double"))

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.hashing import record_hash
-from tidemark.functions.text import joined, lowered, titled, trimmed, uppered
 from tidemark.operators.common import col
 from tidemark.operators.latest import dedupe_by_key
 from tidemark.operators.protection import MaskedColumn, Policy
@@ -113,18 +112,19 @@ def bronze_customers(source: DataFrame, environment: str, source_table: str, ext
 
 
 def _standard_columns() -> list[Column]:
+    lower = lambda value: F.lower(F.trim(value))
     rules = {
-        "first_name": trimmed,
-        "last_name": trimmed,
-        "email_address": lowered,
-        "phone_number": trimmed,
-        "address": trimmed,
-        "city": titled,
-        "state": uppered,
-        "country": trimmed,
-        "continent": trimmed,
+        "first_name": F.trim,
+        "last_name": F.trim,
+        "email_address": lower,
+        "phone_number": F.trim,
+        "address": F.trim,
+        "city": lambda value: F.initcap(F.trim(value)),
+        "state": lambda value: F.upper(F.trim(value)),
+        "country": F.trim,
+        "continent": F.trim,
         "postal_zip_code": lambda value: value.cast("string"),
-        "gender": lowered,
+        "gender": lower,
     }
     return [col("customerID").cast("bigint").alias("customer_id")] + [
         rule(col(name)).alias(name) for name, rule in rules.items()
@@ -137,7 +137,7 @@ def standardize_customers(bronze: DataFrame, carry: Sequence[str] = ()) -> DataF
 
 
 def with_full_name_and_hash(customers: DataFrame) -> DataFrame:
-    named = customers.withColumn("full_name", joined(F.col("first_name"), F.col("last_name")))
+    named = customers.withColumn("full_name", F.concat_ws(" ", "first_name", "last_name"))
     return named.withColumn("record_hash", record_hash(BUSINESS_COLUMNS))
 
 

@@ -68,19 +68,25 @@ def clean_trips(raw: DataFrame) -> DataFrame:
     return expect_or_drop(conform_trips(raw), TRIP_RULES).withColumn("_processed_at", F.current_timestamp())
 
 
-def stable_average(name: str, digits: int) -> Column:
-    """Rounded mean that does not depend on the order of addition: sums exactly, in decimals of six
-    places, where adding doubles would give a different last digit from run to run."""
-    exact = col(name).try_cast("decimal(28,6)")
-    mean = F.sum(exact).cast("double") / F.count(exact)
-    return F.round(mean.cast("decimal(20,6)"), digits).cast("double")
+def rounded_average(name: str, digits: int) -> Column:
+    """Rounded mean of every value there is.
+
+    Where all values of the group are decimals of six places, as amounts are, they are summed exactly, so that
+    the last digit does not change with the order of addition. A group with any other value (NaN, infinity,
+    1e22 and more, finer fractions) has the plain mean; no value is left out of either.
+    """
+    value = col(name).cast("double")
+    exact = value.try_cast("decimal(28,6)")
+    all_exact = F.count_if(exact.cast("double") == value) == F.count(value)
+    mean = F.round((F.sum(exact).cast("double") / F.count(exact)).try_cast("decimal(28,6)"), digits).cast("double")
+    return F.when(all_exact, mean).otherwise(F.round(F.avg(value), digits))
 
 
 def daily_summary(trips: DataFrame) -> DataFrame:
     """Gold: trips per pickup day with average fare, distance and passengers."""
     return trips.groupBy(F.to_date("tpep_pickup_datetime").alias("trip_date")).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        stable_average("fare_amount", 2).alias("avg_fare_amount"),
-        stable_average("trip_distance", 3).alias("avg_trip_distance"),
-        stable_average("passenger_count", 2).alias("avg_passenger_count"),
+        rounded_average("fare_amount", 2).alias("avg_fare_amount"),
+        rounded_average("trip_distance", 3).alias("avg_trip_distance"),
+        rounded_average("passenger_count", 2).alias("avg_passenger_count"),
     )

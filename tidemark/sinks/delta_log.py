@@ -19,14 +19,38 @@ from tidemark.sources.schemas import evolve_schema
 
 STEP = "_step"
 BUCKET = "_bucket"
+#: Types whose every value the other type holds.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+WIDENING = {
+    *((a, b) for i, a in enumerate(_WHOLE) for b in _WHOLE[i + 1 :]),
+    *((a, T.DoubleType) for a in (T.FloatType, *_WHOLE[:3])),
+    (T.NullType, T.StringType),
+}
+
+
+def as_type(value: Column, kind: T.DataType, wanted: T.DataType) -> Column:
+    """The value as `wanted`, inside structs too; fields that `wanted` lacks stay. TypeError where it may not fit."""
+    if isinstance(kind, T.StructType) and isinstance(wanted, T.StructType):
+        have = {f.name: f.dataType for f in wanted.fields}
+        if all(f.dataType == have.get(f.name, f.dataType) for f in kind.fields):
+            return value
+        parts = [as_type(value.getField(f.name), f.dataType, have.get(f.name, f.dataType)).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if kind.simpleString() == wanted.simpleString():
+        return value
+    if (type(kind), type(wanted)) in WIDENING:
+        return value.cast(wanted)
+    raise TypeError(f"{value} comes as {kind.simpleString()}, but the table has {wanted.simpleString()}")
 
 
 class DeltaLog:
     """Folders of parquet rows, each tagged by the step that wrote it and bucketed by key."""
 
-    def __init__(self, spark: SparkSession, root: str, tables: Sequence[str], merge_width: int = 8):
+    def __init__(self, spark: SparkSession, root: str, tables: Sequence[str], merge_width: int = 8, settings=None):
         self.spark, self.root, self.tables, self.merge_width = spark, root.rstrip("/"), tuple(tables), merge_width
         self.schemas: dict[str, T.StructType] = {}
+        #: What every writer of the table must agree on; kept in the manifests.
+        self.settings: dict[str, object] = settings or {}
 
     # ---- manifests
 
@@ -41,12 +65,17 @@ class DeltaLog:
             return {table: [] for table in self.tables}
         known = json.loads(read_text(self.spark, f"{self.root}/manifests/{step:010d}.json"))
         self.schemas = {table: T.StructType.fromJson(json.loads(text)) for table, text in known["schemas"].items()}
+        stored = known.get("settings", self.settings)
+        if stored != self.settings:
+            changed = sorted(k for k in {*stored, *self.settings} if stored.get(k) != self.settings.get(k))
+            raise ValueError(f"{self.root} was written with other {', '.join(changed)}: {stored} against {self.settings}")
         return known["folders"]
 
     def publish(self, step: int, folders: dict[str, list[str]]) -> None:
         schemas = {table: schema.json() for table, schema in self.schemas.items()}
-        text = json.dumps({"folders": folders, "schemas": schemas})
-        create_text(self.spark, f"{self.root}/manifests/{step:010d}.json", text)
+        text = json.dumps({"folders": folders, "schemas": schemas, "settings": self.settings})
+        if not create_text(self.spark, f"{self.root}/manifests/{step:010d}.json", text):
+            raise RuntimeError(f"{self.root}: step {step} was published by another writer; this one's rows are not in the table")
 
     # ---- rows
 
@@ -54,6 +83,7 @@ class DeltaLog:
         """Write one folder. Rebalancing gives few files per bucket, and several for a big bucket.
         Columns that are new to the table are added to its schema; older rows read as NULL there."""
         path = f"{self.root}/{table}/{STEP}={step:010d}-{level}"
+        rows = self._as_stored(rows, table)
         balanced = rows.hint("rebalance", F.col(BUCKET))
         # "static": whatever a failed attempt left in the folder goes, whichever buckets this one has
         writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -61,6 +91,19 @@ class DeltaLog:
         self.schemas[table] = evolve_schema(self.schemas.get(table, T.StructType()), rows.drop(STEP).schema)
         return path
 
+    def _as_stored(self, rows: DataFrame, table: str) -> DataFrame:
+        """The rows with the types that the table has; a type that could lose a value is refused."""
+        have = {f.name: f.dataType for f in self.schemas.get(table, T.StructType()).fields}
+        try:
+            return rows.select(
+                *[
+                    as_type(col(f.name), f.dataType, have.get(f.name, f.dataType)).alias(f.name)
+                    for f in rows.schema.fields
+                ]
+            )
+        except TypeError as error:
+            raise ValueError(f"{self.root}, {table}: {error}") from error
+
     def buckets_in(self, folder: str) -> list[int]:
         """Numbers of the buckets a written folder has rows in."""
         return [int(name.split("=")[1]) for name in child_folders(self.spark, folder) if "=" in name]

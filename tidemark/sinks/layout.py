@@ -45,9 +45,10 @@ def write_dataset(df: DataFrame, spec: DatasetSpec, mode: str = "overwrite") ->
     spark = df.sparkSession
     properties = {"quality": spec.layer, **spec.properties}
     pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {spec.name} SET TBLPROPERTIES ({pairs})")
+    table = ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in spec.name.split("."))
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
     if spec.comment:
-        spark.sql(f"COMMENT ON TABLE {spec.name} IS {_quoted(spec.comment)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(spec.comment)}")
 
 
 def _quoted(text: str) -> str:

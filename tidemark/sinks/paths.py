@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -23,17 +26,33 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     hadoop_path, fs = _at(spark, path)
     if not fs.exists(hadoop_path):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile())
+    found = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return sorted(name for name in found if not name.startswith("_"))
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file unless it is there already; False if it was."""
+    """Write a small file unless it is there already; False if it was.
+
+    The text is written aside and renamed without overwriting, so readers never see part of it and of two
+    writers one is told that it lost, as far as the store's rename allows.
+    """
     hadoop_path, fs = _at(spark, path)
     if fs.exists(hadoop_path):
         return False
-    out = fs.create(hadoop_path, False)
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f"_{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     out.write(bytearray(text.encode()))
     out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(aside), fs.makeQualified(hadoop_path), options)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
     return True
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.schemas import RESCUED, with_rescue
 
@@ -17,6 +17,30 @@ def _reader(reader, schema: T.StructType, rescue: bool, glob: str | None, option
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
+def _whole_files(options: Mapping[str, object]) -> bool:
+    """Whether records may span lines, so that lines cannot be taken one by one."""
+    return str(options.get("multiLine", options.get("multiline", "false"))).lower() == "true"
+
+
+def _lines(reader, path: str, glob: str | None) -> DataFrame:
+    return (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
+
+
+def _rescued(lines: DataFrame, schema: T.StructType, options: Mapping[str, object]) -> DataFrame:
+    """Records of JSON lines, with the text of everything that `schema` does not take."""
+    wanted, line = with_rescue(schema), F.col("value")
+    given = {name: str(value) for name, value in options.items()}
+    record = F.from_json(line, wanted, {**given, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED})
+    known = [name for name in schema.fieldNames() if name != RESCUED]
+    fields = F.from_json(line, "map<string,string>", given)
+    strange = F.map_filter(fields, lambda name, value: ~name.isin(known))
+    # a line that is no object (a list, a bare value) has no fields to keep, so it is kept whole
+    rest = F.when(F.ltrim(line).startswith("{"), F.when(F.size(strange) > 0, F.to_json(strange))).otherwise(line)
+    parsed = lines.where(F.trim(line) != "").select(record.alias("r"), rest.alias("rest"))
+    columns = [F.col("r").getField(name).alias(name) for name in wanted.fieldNames() if name != RESCUED]
+    return parsed.select(*columns, F.coalesce(F.col("r").getField(RESCUED), F.col("rest")).alias(RESCUED))
+
+
 def ingest_csv(
     spark: SparkSession,
     path: str,
@@ -42,11 +66,17 @@ def ingest_json(
     rescue: bool = True,
     **options: object,
 ) -> DataFrame:
-    """Stream of the JSON-lines files that appear under `path`."""
-    reader = _reader(spark.readStream, schema, rescue, glob, options)
+    """Stream of the JSON-lines files that appear under `path`.
+
+    With `rescue`, what does not fit `schema` is kept as text in `_rescued_data`: the whole line of a record
+    that does not parse or has a value of another type, else the fields that the schema has no column for -
+    such as a column that arrived after the schema was inferred.
+    """
+    lines = rescue and not _whole_files(options)
+    reader = spark.readStream.options(**options) if lines else _reader(spark.readStream, schema, rescue, glob, options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return _rescued(_lines(reader, path, glob), schema, options) if lines else reader.json(path)
 
 
 def read_csv(
@@ -59,6 +89,9 @@ def read_csv(
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, rescue: bool = True, **options: object
 ) -> DataFrame:
+    """The same records in one batch."""
+    if rescue and not _whole_files(options):
+        return _rescued(_lines(spark.read.options(**options), path, glob), schema, options)
     return _reader(spark.read, schema, rescue, glob, options).json(path)
 
 

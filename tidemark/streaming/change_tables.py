@@ -48,7 +48,8 @@ class _ChangeTable:
         self.spark, self.keys = spark, list(keys)
         self.sequence_by, self.delete_when, self.except_columns = sequence_by, delete_when, list(except_columns)
         self.ignore_null_updates, self.buckets = ignore_null_updates, buckets
-        self.log = DeltaLog(spark, root, self.tables, merge_width)
+        settings = {"keys": self.keys, "buckets": buckets, "ignore_null_updates": ignore_null_updates}
+        self.log = DeltaLog(spark, root, self.tables, merge_width, settings)
 
     def _events(self, batch: DataFrame) -> DataFrame:
         return prepare_events(batch, self.keys, self.sequence_by, self.delete_when, self.except_columns)
@@ -119,6 +120,8 @@ class Scd2Table(_ChangeTable):
     ):
         super().__init__(*args, **kwargs)
         self.tracking = (track_history, track_history_except, coalesce_unchanged)
+        listed = [None if names is None else sorted(names) for names in self.tracking[:2]]
+        self.log.settings |= {"track_history": listed[0], "track_history_except": listed[1], "coalesce_unchanged": coalesce_unchanged}
         self.hot_rows = hot_rows
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
