@@ -1,5 +1,7 @@
 """SQL with the same results as the queries; {names} are the views of `fixtures`."""
 
+from tidemark.sources import synthetic
+
 _SCD2_EVENTS = """
     SELECT id, event_type, value, props, operation_date AS "__START_AT", ended AS "__END_AT"
     FROM (SELECT *, lead(operation_date) OVER (PARTITION BY id ORDER BY operation_date) AS ended FROM {clean})
@@ -23,6 +25,62 @@ _SCD1 = """
     FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY operation_date DESC) AS rn FROM {clean})
     WHERE rn = 1 AND operation <> 'DELETE'"""
 
+
+
+def _draw(what: str, seed: int = 42) -> str:
+    return f"(('0x' || substr(md5('{what}:{seed}:' || number), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
+
+
+def _choice(what: str, words: tuple[str, ...]) -> str:
+    listed = ", ".join(f"'{word}'" for word in words)
+    return f"[{listed}][floor({_draw(what)} * {len(words)})::BIGINT + 1]"
+
+
+def _operation(seed: int) -> str:
+    total, reached, cases = sum(weight for _, weight in synthetic.OPERATION_WEIGHTS), 0.0, ""
+    for word, weight in synthetic.OPERATION_WEIGHTS:
+        reached += weight / total
+        cases += f" WHEN {_draw('operation', seed)} < {reached!r}::DOUBLE THEN " + (f"'{word}'" if word else "NULL")
+    return f"CASE{cases} END"
+
+
+def _identifier(what: str, number: str = "number") -> str:
+    digest = f"md5('{what}:42:' || {number})"
+    return " || '-' || ".join(f"substr({digest}, {at}, {size})" for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+
+
+def _time(what: str) -> str:
+    seconds = f"floor({_draw(what)} * {synthetic.FEED_SECONDS})::BIGINT"
+    return f"strftime(TIMESTAMP '{synthetic.FEED_START}' + to_seconds({seconds}), '%m-%d-%Y %H:%M:%S')"
+
+
+_PEOPLE = f"""
+    SELECT number, CASE WHEN {_draw("missing")} >= 0.02::DOUBLE THEN {_identifier("customer", "WHO")} END AS id,
+           {_choice("first", synthetic.FIRST_NAMES)} AS firstname, {_choice("last", synthetic.LAST_NAMES)} AS lastname,
+           lower(firstname || '.' || lastname || '@example.com') AS email,
+           (floor({_draw("house")} * 999)::BIGINT + 1) || ' ' || {_choice("street", synthetic.STREETS)} || chr(10)
+             || lpad(floor({_draw("postal")} * 100000)::BIGINT::VARCHAR, 5, '0') AS address,
+           {_operation(42)} AS operation, {_time("changed")} AS operation_date
+    FROM (SELECT event_id AS number FROM events)"""
+_CUSTOMERS = _PEOPLE.replace("WHO", "(number // 3)")
+
+_BOUGHT = f"""
+    SELECT number, CASE WHEN {_draw("missing tx")} >= 0.02::DOUBLE THEN {_identifier("transaction")} END AS id,
+           {_time("bought")} AS transaction_date, round({_draw("amount")} * 1000) AS amount,
+           round({_draw("items")} * 10) AS item_count, {_operation(43)} AS operation, {_time("tx changed")} AS operation_date,
+           CASE WHEN {_draw("missing")} >= 0.02::DOUBLE THEN {_identifier("customer")} END AS customer_id
+    FROM (SELECT o_orderkey AS number FROM orders)"""
+
+# copies of (id, time) leave the greatest (is delete, payload)
+_GENERATED = f"""
+    SELECT id, firstname, lastname, email, address, happened AS "__START_AT", ended AS "__END_AT"
+    FROM (SELECT *, lead(happened) OVER (PARTITION BY id ORDER BY happened) AS ended
+          FROM (SELECT * FROM (SELECT *, strptime(operation_date, '%m-%d-%Y %H:%M:%S') AS happened FROM ({_CUSTOMERS}))
+                WHERE id IS NOT NULL AND operation IN ('APPEND', 'DELETE', 'UPDATE')
+                QUALIFY row_number() OVER (PARTITION BY id, happened ORDER BY operation = 'DELETE' DESC, firstname DESC,
+                                           lastname DESC, email DESC, address DESC) = 1))
+    WHERE operation <> 'DELETE'"""
+
 _DAILY = """
     SELECT CAST(tpep_pickup_datetime AS DATE) AS trip_date, count(*) AS trip_count,
            CAST(round(CAST(CAST(sum(CAST(fare_amount AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS DECIMAL(20,6)), 2)
@@ -208,4 +266,17 @@ ORACLES = {
         SELECT event_id, user_id, event_type, value, CASE WHEN event_type IN ('click', 'view') THEN props END AS props
         FROM events""",
     "clustered_write": "SELECT * FROM lineitem",
+    "stream_current": f'SELECT * FROM ({_TRACK_TYPE}) WHERE "__END_AT" IS NULL',
+    "batch_csv": "SELECT *, NULL::VARCHAR AS _rescued_data FROM supplier",
+    "range_source": "SELECT unnest(range((SELECT count(*) FROM orders))) AS number",
+    "local_rows": """
+        SELECT label, count(*) AS orders
+        FROM orders JOIN (VALUES ('1-URGENT', 'now'), ('2-HIGH', 'soon'), ('5-LOW', 'later')) AS v (code, label)
+          ON o_orderpriority = code
+        GROUP BY label""",
+    "top_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25",
+    "load_stamp": "SELECT count(*) AS trips, count(*) AS stamped, 1::BIGINT AS stamps FROM lineitem",
+    "generate_customer_changes": _CUSTOMERS,
+    "generate_transaction_changes": _BOUGHT,
+    "generated_feed_scd2": _GENERATED,
 }

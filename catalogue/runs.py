@@ -25,7 +25,7 @@ from tidemark.session import new_work_folder
 from tidemark.sinks.layout import DatasetSpec, write_dataset, write_json
 from tidemark.sinks.snapshot_table import SnapshotTable
 from tidemark.sources import synthetic
-from tidemark.sources.files import ingest_csv, ingest_json, read_json, stream_table
+from tidemark.sources.files import ingest_csv, ingest_json, read_csv, read_json, stream_table
 from tidemark.sources.schemas import RESCUED, evolve_schema, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
@@ -384,7 +384,7 @@ def _feed_time():
     return parsed.cast("timestamp_ntz")
 
 
-def _stream_into(spark: SparkSession, folder: str, make: Callable[[str, dict], Scd1Table | Scd2Table]):
+def _stream_into(spark: SparkSession, folder: str, make: Callable[[str, dict], Scd1Table | Scd2Table], part="read"):
     """The feed streamed into a change table in several micro-batches."""
     work = new_work_folder(spark, "changes")
     schema = _write_feed(spark, folder, f"{work}/landing", 6)
@@ -398,7 +398,7 @@ def _stream_into(spark: SparkSession, folder: str, make: Callable[[str, dict], S
     )
     changes = make(f"{work}/table", settings)
     run_changes(feed_plan.clean_changes(stream), [changes], f"{work}/checkpoint")
-    return changes.read()
+    return getattr(changes, part)()
 
 
 @query
@@ -413,6 +413,14 @@ def stream_scd2(spark, folder):
     )
 
 
+@query
+def stream_current(spark, folder):
+    """The current rows of the streamed history, without reading the history."""
+    return _stream_into(
+        spark, folder, lambda root, settings: Scd2Table(spark, root, track_history=["event_type"], **settings), "current"
+    )
+
+
 @query
 def cdc_family(spark, folder):
     """Two landing folders, each kept as a raw, a type 1 and a type 2 table."""
@@ -535,6 +543,44 @@ def schema_evolution(spark, folder):
     return spark.read.schema(deliver(events.where(later), first)).parquet(f"{work}/table")
 
 
+@query
+def batch_csv(spark, folder):
+    """A table written as CSV with a header and loaded in one batch by a given schema."""
+    work = new_work_folder(spark, "batch-csv")
+    supplier = fx.table(spark, folder, "supplier")
+    supplier.write.option("header", "true").csv(f"{work}/files")
+    return read_csv(spark, f"{work}/files", supplier.schema)
+
+
+@query
+def range_source(spark, folder):
+    """As many generated row numbers as there are orders."""
+    return synthetic.row_numbers(spark, fx.table(spark, folder, "orders").count())
+
+
+@query
+def local_rows(spark, folder):
+    """A few local rows as a table, joined to a large one."""
+    names = spark.createDataFrame([("1-URGENT", "now"), ("2-HIGH", "soon"), ("5-LOW", "later")], "code string, label string")
+    orders = fx.table(spark, folder, "orders")
+    return orders.join(names, orders["o_orderpriority"] == names["code"]).groupBy("label").agg(F.count("*").alias("orders"))
+
+
+@query
+def top_orders(spark, folder):
+    """The 25 dearest orders: a sort with a limit keeps 25 rows per task, not a sorted table."""
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(25)
+
+
+@query
+def load_stamp(spark, folder):
+    """Every raw trip carries a load time, one for the whole batch."""
+    raw = trip_plan.raw_trips(fx.table(spark, folder, "lineitem"))
+    stamp = F.col("_ingested_at")
+    return raw.agg(F.count("*").alias("trips"), F.count(stamp).alias("stamped"), F.count_distinct(stamp).alias("stamps"))
+
+
 @query
 def clustered_write(spark, folder):
     work = new_work_folder(spark, "clustered")
@@ -545,8 +591,9 @@ def clustered_write(spark, folder):
 
 @query
 def generate_customer_changes(spark, folder):
-    """Synthetic change events, one per event of the table."""
-    return synthetic.customer_changes(fx.table(spark, folder, "events").select(F.col("event_id").alias("number")))
+    """Synthetic change events, one per event of the table, three to a customer."""
+    numbers = fx.table(spark, folder, "events").select(F.col("event_id").alias("number"))
+    return synthetic.customer_changes(numbers, changes_per_customer=3)
 
 
 @query
@@ -560,6 +607,7 @@ def generate_transaction_changes(spark, folder):
 def generated_feed_scd2(spark, folder):
     """The synthetic feed through the whole chain: rules, event time, type 2 history."""
     raw = generate_customer_changes(spark, folder).drop("number")
-    timed = feed_plan.clean_changes(raw, rescued=False).withColumn("operation_date", feed_plan.event_time())
+    timed = feed_plan.clean_changes(raw, rescued=False)
+    timed = timed.withColumn("operation_date", feed_plan.event_time().cast("timestamp_ntz"))
     timed = expect_or_drop(timed, feed_plan.SEQUENCE_RULE)
     return fold_scd2(timed, ["id"], "operation_date", feed_plan.IS_DELETE, ["operation", "operation_date"])

@@ -71,13 +71,13 @@ def clean_trips(raw: DataFrame) -> DataFrame:
 def rounded_average(name: str, digits: int) -> Column:
     """Rounded mean of every value there is.
 
-    Where all values of the group are decimals of six places, as amounts are, they are summed exactly, so that
-    the last digit does not change with the order of addition. A group with any other value (NaN, infinity,
-    1e22 and more, finer fractions) has the plain mean; no value is left out of either.
+    Values are summed in decimals of six places - far finer than the result - so that the last digit does not
+    change with the order of addition. A group with a value that no such decimal holds (NaN, infinity, 1e22 and
+    more) has the plain mean; no value is left out of either.
     """
     value = col(name).cast("double")
     exact = value.try_cast("decimal(28,6)")
-    all_exact = F.count_if(exact.cast("double") == value) == F.count(value)
+    all_exact = F.count(exact) == F.count(value)
     mean = F.round((F.sum(exact).cast("double") / F.count(exact)).try_cast("decimal(28,6)"), digits).cast("double")
     return F.when(all_exact, mean).otherwise(F.round(F.avg(value), digits))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.operators.position import POSITION, zip_rows
+
 # Word lists, operation weights, share of missing ids, time format of the feed.
 FIRST_NAMES = ("Ada", "Ben", "Chloe", "Dev", "Elif", "Femi", "Grace", "Hugo", "Ines", "Jun", "Kofi", "Lena")
 LAST_NAMES = ("Abe", "Brown", "Costa", "Diaz", "Evans", "Fischer", "Garcia", "Haddad", "Ito", "Jones", "Kaya")
@@ -20,8 +22,10 @@ FEED_SECONDS = 30 * 24 * 3600
 
 
 def _draw(number: Column, seed: int, what: str) -> Column:
-    """A uniform number in [0, 1) that depends on the row, the seed and the purpose only."""
-    return F.pmod(F.xxhash64(number, F.lit(seed), F.lit(what)), F.lit(1_000_003)) / 1_000_003
+    """A uniform number in [0, 1) that depends on the row, the seed and the purpose only: 32 bits of an MD5,
+    which any engine computes alike and which reach every second of a century."""
+    digest = F.md5(F.concat_ws(":", F.lit(what), F.lit(seed).cast("string"), number.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def _choice(number: Column, seed: int, what: str, words: tuple[str, ...]) -> Column:
@@ -54,16 +58,20 @@ def row_numbers(spark: SparkSession, rows: int) -> DataFrame:
     return spark.range(0, rows).withColumnRenamed("id", "number")
 
 
-def customer_changes(numbers: DataFrame, seed: int = 42) -> DataFrame:
-    """One customer change event per row of `numbers` (a frame with a unique `number` column)."""
+def customer_changes(numbers: DataFrame, seed: int = 42, changes_per_customer: int = 1) -> DataFrame:
+    """One customer change event per row of `numbers` (a frame with a unique `number` column).
+
+    With more changes per customer, as many neighbouring numbers share an id, so that ids have histories.
+    """
     n = F.col("number")
+    who = F.floor(n / changes_per_customer).cast("long")
     first, last = _choice(n, seed, "first", FIRST_NAMES), _choice(n, seed, "last", LAST_NAMES)
     house = F.floor(_draw(n, seed, "house") * 999) + 1
     postal = F.lpad(F.floor(_draw(n, seed, "postal") * 100_000).cast("string"), 5, "0")
     address = F.concat(house.cast("string"), F.lit(" "), _choice(n, seed, "street", STREETS), F.lit("\n"), postal)
     return numbers.select(
         "number",
-        F.when(_draw(n, seed, "missing") >= MISSING_ID_SHARE, _identifier(n, seed, "customer")).alias("id"),
+        F.when(_draw(n, seed, "missing") >= MISSING_ID_SHARE, _identifier(who, seed, "customer")).alias("id"),
         first.alias("firstname"),
         last.alias("lastname"),
         F.lower(F.concat(first, F.lit("."), last, F.lit("@example.com"))).alias("email"),
@@ -74,7 +82,7 @@ def customer_changes(numbers: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def transaction_changes(numbers: DataFrame, customers: DataFrame, seed: int = 42) -> DataFrame:
-    """One transaction change event per row, each for the customer with the same `number`."""
+    """One transaction change event per row. The row in place n, by number, is for the customer in place n."""
     n = F.col("number")
     events = numbers.select(
         "number",
@@ -85,7 +93,8 @@ def transaction_changes(numbers: DataFrame, customers: DataFrame, seed: int = 42
         _operation(n, seed + 1).alias("operation"),
         _event_time(n, seed, "tx changed").alias("operation_date"),
     )
-    return events.join(customers.select("number", F.col("id").alias("customer_id")), "number")
+    people = customers.select(F.col("number").alias("_customer"), F.col("id").alias("customer_id"))
+    return zip_rows(events, people, ["number"], ["_customer"]).drop("_customer", POSITION)
 
 
 def generate_cdc_feed(

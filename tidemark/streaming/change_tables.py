@@ -285,6 +285,20 @@ class Scd2Table(_ChangeTable):
         by = [c for c in (*self.keys, BUCKET) if c in rows.columns]
         return latest_by_key(rows, by, [STEP]).drop(STEP)
 
+    def current(self) -> DataFrame | None:
+        """The open version of every key that has one; None before the first batch.
+
+        Comes from the heads, one row per key and unmerged step; the history is neither read nor shuffled.
+        """
+        folders = self.log.folders()["heads"]
+        heads = self.log.read("heads", folders)
+        if heads is None:
+            return None
+        heads = self._merge_heads(heads, True) if len(folders) > 1 else heads.drop(STEP)
+        payload = [c for c in heads.columns if c not in (*self.keys, HEAD, START_AT, BUCKET)]
+        ended = F.lit(None).cast(heads.schema[START_AT].dataType).alias(END_AT)
+        return heads.where(F.col(START_AT).isNotNull()).select(*self._named(), *map(col, payload), START_AT, ended)
+
     def read(self) -> DataFrame | None:
         """All versions; None before the first batch."""
         versions = self._live(self.log.folders()["versions"])
