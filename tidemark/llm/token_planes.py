@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -18,13 +20,14 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.shared_files import file_folder, random_reading, stored, writing
 from tidemark.llm.shipping import ship
+from tidemark.llm.text_arrays import bytes_of, slices, word_bounds, word_hashes
 from tidemark.operators.ranges import range_cuts, range_index
 
 MAGIC = b"TMPLANE1"
 BLOCK_IDS = 1 << 16
 INDEX_ROWS = 1 << 16
-MOST_REMEMBERED = 400_000
-LONGEST_REMEMBERED = 64
+MOST_REMEMBERED = 2_000_000
+SLICE_BYTES = 1 << 20
 
 
 def to_planes(ids: np.ndarray, width: int, bits: bool) -> list[bytes]:
@@ -141,41 +144,67 @@ def read_token_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
             ahead = joined[length:]
 
 
-class _Words(dict):
-    """Ids of blank-separated pieces, found through the library a batch at a time; bounded."""
+class Words:
+    """Ids of texts from a tokenizers file, word by word.
+
+    The vocabulary's normaliser and splitter treat what white space separates apart and drop the white space, so
+    a text's ids are those of its words. Words are told apart by a 64-bit hash; those met before are looked up in
+    sorted arrays (about 30 bytes a word), all others go to the library together. The store is bounded.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a worker one core
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-
-    def encode_batch(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        """Ids of each text with the end id behind.
-
-        The vocabulary's normaliser and splitter treat what white space separates apart, and drop the white
-        space; so a text's ids are those of its pieces, and each piece is encoded once.
-        """
-        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        fresh = list({piece for pieces in split for piece in pieces if piece not in self})
-        if len(self) + len(fresh) > MOST_REMEMBERED:
-            self.clear()
-            fresh = list({piece for pieces in split for piece in pieces})
-        for first in range(0, len(fresh), 20_000):
-            some = fresh[first : first + 20_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[piece] = np.array(found.ids, dtype=self.kind).tobytes()
-        end = np.array([end_id], dtype=self.kind).tobytes()
-        found = [np.frombuffer(b"".join(map(self.__getitem__, pieces)) + end, dtype=self.kind) for pieces in split]
-        for piece in fresh:
-            if len(piece) > LONGEST_REMEMBERED:
-                del self[piece]
-        return found
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.kind)
+
+    def _learn(self, fresh: np.ndarray, words: list[str]) -> None:
+        found = [e.ids for first in range(0, len(words), 20_000) for e in self._library(words[first : first + 20_000])]
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), self.kind, int(length.sum()))
+        at = np.cumsum(length) - length + len(self.pool)
+        place = np.searchsorted(self.keys, fresh)
+        self.keys = np.insert(self.keys, place, fresh)
+        self.at = np.insert(self.at, place, at)
+        self.length = np.insert(self.length, place, length)
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _library(self, words: list[str]):
+        return self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text (null: none), in order."""
+        for _, piece in slices(texts, SLICE_BYTES):
+            data, offsets = bytes_of(piece)
+            starts, ends, first_word = word_bounds(data, offsets)
+            hashes, first, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            if len(self.keys) > MOST_REMEMBERED or len(self.pool) > 8 * MOST_REMEMBERED:
+                self._clear()
+            place = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
+            new = np.flatnonzero(self.keys[place] != hashes) if len(self.keys) else np.arange(len(hashes))
+            if len(new):
+                spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+                self._learn(hashes[new], [data[a:b].tobytes().decode() for a, b in spans])
+                place = np.searchsorted(self.keys, hashes)
+            entry = place[back]
+            length = self.length[entry]
+            upto = np.concatenate([[0], np.cumsum(length)])
+            ids = self.pool[np.repeat(self.at[entry] - upto[:-1], length) + np.arange(upto[-1])]
+            edges = upto[first_word]
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                yield ids[a:b]
 
 
 @functools.lru_cache(maxsize=1)
-def _words(path: str) -> _Words:
+def _words(path: str) -> Words:
     """The encoder of this Python worker, kept from task to task."""
-    return _Words(path)
+    return Words(path)
 
 
 def write_token_files(
@@ -202,12 +231,10 @@ def write_token_files(
         uri = f"{folder}/part-{part:06d}.tokens"
         with writing(uri) as out:
             writer = TokenFileWriter(out, np.dtype(words.kind).itemsize, bits)
+            end = np.array([end_id], words.kind)
             for batch in batches:
-                for first in range(0, batch.num_rows, 500):
-                    some = batch.slice(first, 500)
-                    encoded = words.encode_batch(some.column(1).to_pylist(), end_id)
-                    for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
-                        writer.add(doc_id, ids)
+                for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1)), strict=True):
+                    writer.add(doc_id, np.concatenate([ids, end]))
             writer.close()
         row = [[part], [uri], [writer.documents], [writer.ids]]
         yield pa.RecordBatch.from_arrays(
