@@ -8,6 +8,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.components import components
@@ -15,7 +16,8 @@ from tidemark.llm.shared_files import stored
 from tidemark.llm.shipping import ship
 from tidemark.llm.text_arrays import bytes_of, mix, sequence_hashes, slices, word_bounds, word_hashes
 
-BLOCK = 2048
+BLOCK = 1024
+TRIED = 3
 FILTER_BITS = 1 << 20
 
 
@@ -102,16 +104,20 @@ def _similar(similar: int, of: int):
 
 
 def _agreeing(threshold: int):
-    """Keep the pairs whose sketches agree in `threshold` places."""
+    """The rows whose two sketches agree in `threshold` places, with the number of places."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 one, two = (
                     np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                    for c in ("sketch_low", "sketch_high")
+                    for c in ("sketch", "other")
                 )
-                yield batch.select(["low", "high"]).filter(pa.array((one == two).sum(1) >= threshold))
+                matches = pa.array((one == two).sum(1), pa.int32())
+                found = pa.RecordBatch.from_arrays(
+                    [batch.column("node"), batch.column("pivot"), matches], names=["node", "pivot", "matches"]
+                )
+                yield found.filter(pc.greater_equal(matches, threshold))
 
     return work
 
@@ -206,7 +212,7 @@ def near_duplicates(
     similar: int = 80,
     of: int = 100,
     coordinates: int = 64,
-    sketch: int = 384,
+    sketch: int = 512,
     miss: float = 1e-5,
 ) -> DataFrame:
     """Groups of documents linked by of * intersection >= similar * union of their shingle sets.
@@ -219,7 +225,8 @@ def near_duplicates(
     2. Nodes are posted under their keys. Keys of one node are dropped. A pair needs `match_threshold` matches,
        so it shares one of a node's rarest keys: only those are posted (prefix), long lists of common passages
        are skipped, and a node with too few shared keys cannot have a partner at all.
-    3. Every list links its members with one pivot. Links that hold on full sets join components.
+    3. Every list compares its members' sketches with one pivot's; each node's `TRIED` likeliest pivots are
+       confirmed on full sets. These links join components; pairs that were not tried are left to step 4.
     4. What is left to compare in a list are pairs of different components; a list beyond `BLOCK` members is
        compared by pairs of blocks. Pairs above the match threshold of the sketch are confirmed on full sets.
 
@@ -262,15 +269,18 @@ def near_duplicates(
     pivots = lists.groupBy("key").agg(
         F.min_by("node", F.xxhash64("node", "key")).alias("pivot"), F.count("*").alias("n")
     )
-    stars = (
-        lists.join(pivots.where("n > 1").drop("n"), "key")
-        .where("node <> pivot")
-        .select(F.least("node", "pivot").alias("low"), F.greatest("node", "pivot").alias("high"))
-        .distinct()
+    sketches = nodes.select("node", "sketch")
+    pivots = pivots.where("n > 1").join(sketches.withColumnsRenamed({"node": "pivot", "sketch": "other"}), "pivot")
+    stars = lists.join(pivots.drop("n"), "key").where("node <> pivot").join(sketches, "node")
+    agreeing = stars.select("node", "pivot", "sketch", "other").mapInArrow(
+        _agreeing(agree), "node long, pivot long, matches int"
+    )
+    # a node met its keys' pivots, at most one a key; the likeliest few are enough to join most components
+    likely = agreeing.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("matches", "pivot")), False).alias("best"))
+    likely = likely.select("node", F.explode(F.slice("best", 1, TRIED)).alias("b")).select("node", "b.pivot")
+    likely = stored(
+        likely.select(F.least("node", "pivot").alias("low"), F.greatest("node", "pivot").alias("high")).distinct(), "stars"
     )
-    sketch_of = lambda side: nodes.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}"))
-    likely = stars.join(sketch_of("low"), "low").join(sketch_of("high"), "high")
-    likely = stored(likely.mapInArrow(_agreeing(agree), "low long, high long"), "stars")
     first_links = stored(confirmed(docs, likely, shingle, similar, of), "linked")
 
     labels = components(first_links)
