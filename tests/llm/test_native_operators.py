@@ -238,6 +238,29 @@ def test_terms_that_reveal_an_entity(spark, documents):
     assert all(clean[i].text == text for i, text in rows[:300])
 
 
+def test_terms_are_counted_over_whole_documents(spark, documents):
+    far, filler = "Ozymandias begins. ", "river stone cloud grass " * 30
+    rows = [(i, filler + f"common {i}") for i in range(200)]
+    rows += [(200 + i, far + filler + "write to oz@mail.example.com") for i in range(6)]  # never near
+    rows += [(300 + i, ("" if i < 4 else filler) + "Xanadu " + (filler if i >= 4 else "") + "at +1 (555) 123-4567") for i in range(10)]
+    rows += [(400 + i, "a" * 117 + f"bcdef kublakhan{'' if i else ' khan'} 10.0.0.1") for i in range(3)]  # no fragments
+    rows += [(500, filler + "ozymandias"), (501, None), (502, "")]
+    limits = private_terms.Limits()
+    found = {(r.term, r.entity): r.disclosure for r in private_terms.disclosing_terms(documents(rows).select("text"), limits).collect()}
+    seen, seen_by, both = Counter(), Counter(), Counter()
+    for _, text in rows:
+        terms = set(re.findall(r"[^\W\d_]{4,}", (text or "").lower()))
+        held = {f"{k}:{(text[a:b] if k == 'email' else re.sub('[^0-9]', '', text[a:b]))}" for k, a, b in base_spans(text or "")}
+        seen.update(terms), seen_by.update(held), both.update((t, e) for t in terms for e in held)
+    wanted = {}
+    for (term, entity), n in both.items():
+        disclosure = np.log(n * len(rows) / (seen[term] * seen_by[entity])) / np.log(len(rows) / seen_by[entity])
+        if n >= limits.support and n >= limits.tied * seen[term] and disclosure >= limits.generalise:
+            wanted[term, entity] = disclosure
+    assert {"ozymandias", "xanadu", "kublakhan"} <= {t for t, _ in wanted}
+    assert found == pytest.approx(wanted)
+
+
 def test_sanitise_odd_tables(spark, documents):
     rows = [(1, None), (2, ""), (2, ""), (3, "+1 (555) 123-4567 and 4111111111111111"), (None, "a@b.cd a@b.cd")]
     clean = private_terms.sanitise(documents(rows))

@@ -36,7 +36,6 @@ class Limits:
     remove: float = 0.98
     tied: float = 0.5
     support: int = 3
-    context: int = 120
 
 
 def _digits(found: Column) -> Column:
@@ -116,43 +115,38 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))
 
 
-def _near(kind: str, context: int) -> Column:
-    """(term, entity) of the terms around each span of a kind."""
-
-    def around(s: Column) -> Column:
-        text, reach = F.col("text"), F.least(F.lit(context), s.start)
-        words = F.concat(F.substring(text, s.start - reach + 1, reach), F.lit(" "), F.substring(text, s.end + 1, F.lit(context)))
-        return F.transform(_terms(words), lambda w: F.struct(w.alias("term"), _name(kind, s.found).alias("entity")))
-
-    return F.flatten(F.transform(F.col(kind), around))
-
-
 def disclosing_terms(docs: DataFrame, limits: Limits) -> DataFrame:
     """(term, entity, disclosure) of the terms that reveal a protected entity, over the whole corpus.
 
-    Candidates stand within `limits.context` characters of an entity's mention. Document frequencies are counted
-    over every document: of entities, of candidates with their entity, and of terms. All are sums that combine
-    on the map side, so a common word or entity costs no task more than another.
+    All frequencies are numbers of documents, wherever in its text a document holds the term: of entities, of terms,
+    and of both together. Before terms meet entities, those that cannot pass leave: a term and an entity are together
+    in no more documents than hold the entity, or than hold the term and any entity. All are sums that combine on the
+    map side, so a common word or entity costs no task more than another.
     """
     documents = docs.count()
     mentions = F.array_distinct(F.concat(*[_mentions(kind) for kind in PATTERNS]))
-    near = F.array_distinct(F.concat(*[_near(kind, limits.context) for kind in PATTERNS]))
     holding = with_base_spans(docs.select("text")).where(F.size(_base()) > 0)
-    holding = stored(holding.select(mentions.alias("entities"), near.alias("near")), "holding")
-    of_entity = holding.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    holding = holding.select(mentions.alias("entities"), _terms(F.col("text")).alias("terms"))
+    # numbers of rows hold once they are written
+    holding = stored(holding.withColumn("document", F.monotonically_increasing_id()), "holding")
+    entities = holding.select("document", F.explode("entities").alias("entity"))
+    of_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= limits.support)
+    of_entity = stored(of_entity, "entities")
+    entities = stored(entities.join(of_entity.select("entity"), "entity", "left_semi"), "mentions")
+    terms = holding.join(entities.select("document"), "document", "left_semi")
+    terms = stored(terms.select("document", F.explode("terms").alias("term")), "terms")
+    most = terms.groupBy("term").agg(F.count("*").alias("most")).where(F.col("most") >= limits.support)
+    # words are summed before they meet the candidates, so that no task gets all rows of a common one
+    of_term = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    of_term = of_term.join(most, "term").where(F.col("most") >= limits.tied * F.col("n_term")).select("term", "n_term")
+    of_term = stored(of_term, "candidates")
     together = (
-        holding.select(F.explode("near").alias("p"))
-        .groupBy("p.term", "p.entity")
+        terms.join(of_term.select("term"), "term", "left_semi")
+        .join(entities, "document")
+        .groupBy("term", "entity")
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= limits.support)
     )
-    together = stored(together, "together")
-    of_term = (
-        docs.select(F.explode(_terms(F.col("text"))).alias("term"))
-        .join(together.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
-    )
     information = F.log(F.lit(float(documents)) / F.col("n_entity"))
     shared = F.log(F.col("n_both") * F.lit(float(documents)) / (F.col("n_term") * F.col("n_entity")))
     return (
