@@ -1,12 +1,14 @@
 """Chat formatting, private terms, quality rules and mixing against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import chat_format, mixing, private_terms, quality_rules
 
@@ -261,6 +263,33 @@ def test_terms_are_counted_over_whole_documents(spark, documents):
     assert found == pytest.approx(wanted)
 
 
+def test_support_follows_from_significance(spark, documents):
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("bcdfgklmnprst") + draw.choice("aeiou") for _ in range(3))
+    filler = [(i, " ".join(word() for _ in range(8))) for i in range(2000)]
+    pair = [(3000 + i, f"Zanzibarov {word()} zed@mail.example.com") for i in range(2)]
+    once = [(4000, "Ozymandias oz@mail.example.com")]
+
+    def found(rows, **limits):
+        terms = private_terms.disclosing_terms(documents(rows).select("text"), private_terms.Limits(**limits))
+        return {(r.term, r.entity) for r in terms.collect()}
+
+    # two documents in 2,003: (2 / 2,003) ** 2 = 1e-6 for each of a few thousand pairs; one document is never enough
+    assert ("zanzibarov", "email:zed@mail.example.com") in found(filler + pair + once)
+    assert not any(term == "ozymandias" for term, _ in found(filler + pair + once, chance=0.9))
+    assert ("zanzibarov", "email:zed@mail.example.com") not in found(filler + pair + once, chance=1e-4)
+    # among few documents the same two are no evidence
+    assert not found(filler[:6] + pair + once)
+
+
+def test_accident_bounds_the_binomial_tail(spark):
+    for n, k, share in [(1, 1, 0.01), (2, 2, 0.001), (10, 6, 0.1), (50, 20, 0.3), (50, 10, 0.3)]:
+        tail = sum(math.comb(n, j) * share**j * (1 - share) ** (n - j) for j in range(k, n + 1))
+        bound = spark.range(1).select(private_terms._log_accident(F.lit(k), F.lit(n), F.lit(share))).first()[0]
+        assert tail <= math.exp(bound) * (1 + 1e-9) and (k < n or math.exp(bound) == pytest.approx(tail))
+        assert k > n * share or bound == 0
+
+
 def test_sanitise_odd_tables(spark, documents):
     rows = [(1, None), (2, ""), (2, ""), (3, "+1 (555) 123-4567 and 4111111111111111"), (None, "a@b.cd a@b.cd")]
     clean = private_terms.sanitise(documents(rows))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,13 +30,19 @@ class Limits:
 
     disclosure: pointwise mutual information of term and entity over the entity's information content; 1 means
     that the term occurs only with the entity. `generalise` and `remove` are its thresholds; `tied` is the least
-    share of the term's documents that hold the entity; `support` the fewest documents that hold both.
+    share of the term's documents that hold the entity.
+
+    chance: how many pairs may be taken for tied in the whole corpus though they meet by accident. The documents of a
+    term, each of which holds the entity by the entity's share of the corpus, hold it `n_both` times or more with at
+    most the Chernoff bound's probability; that, times the number of pairs compared, must not exceed `chance`. Compared
+    are the terms and entities that occur in `support` documents at least; two, as one document repeats nothing.
     """
 
     generalise: float = 0.9
     remove: float = 0.98
     tied: float = 0.5
-    support: int = 3
+    support: int = 2
+    chance: float = 0.05
 
 
 def _digits(found: Column) -> Column:
@@ -115,6 +122,13 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))
 
 
+def _log_accident(both: Column, of: Column, share: Column) -> Column:
+    """Log of the Chernoff bound on the chance of `both` or more among `of` draws that each succeed by `share`."""
+    rest = of - both
+    kept = F.when(rest > 0, rest * F.log(rest / (of * (1 - share)))).otherwise(F.lit(0.0))
+    return F.when(both > of * share, -(both * F.log(both / (of * share)) + kept)).otherwise(F.lit(0.0))
+
+
 def disclosing_terms(docs: DataFrame, limits: Limits) -> DataFrame:
     """(term, entity, disclosure) of the terms that reveal a protected entity, over the whole corpus.
 
@@ -138,6 +152,8 @@ def disclosing_terms(docs: DataFrame, limits: Limits) -> DataFrame:
     most = terms.groupBy("term").agg(F.count("*").alias("most")).where(F.col("most") >= limits.support)
     # words are summed before they meet the candidates, so that no task gets all rows of a common one
     of_term = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    of_term = stored(of_term.where(F.col("n_term") >= limits.support), "frequencies")
+    compared = of_term.count() * of_entity.count()
     of_term = of_term.join(most, "term").where(F.col("most") >= limits.tied * F.col("n_term")).select("term", "n_term")
     of_term = stored(of_term, "candidates")
     together = (
@@ -149,11 +165,13 @@ def disclosing_terms(docs: DataFrame, limits: Limits) -> DataFrame:
     )
     information = F.log(F.lit(float(documents)) / F.col("n_entity"))
     shared = F.log(F.col("n_both") * F.lit(float(documents)) / (F.col("n_term") * F.col("n_entity")))
+    accident = _log_accident(F.col("n_both"), F.col("n_term"), F.col("n_entity") / F.lit(float(documents)))
     return (
         together.join(of_entity, "entity")
         .join(of_term, "term")
         .withColumn("disclosure", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))
         .where((F.col("n_both") >= limits.tied * F.col("n_term")) & (F.col("disclosure") >= limits.generalise))
+        .where(accident + math.log(max(compared, 1)) <= math.log(limits.chance))
         .select("term", "entity", "disclosure")
     )
 
