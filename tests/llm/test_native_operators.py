@@ -251,7 +251,7 @@ def test_terms_are_counted_over_whole_documents(spark, documents):
     found = {(r.term, r.entity): r.disclosure for r in private_terms.disclosing_terms(documents(rows).select("text"), limits).collect()}
     seen, seen_by, both = Counter(), Counter(), Counter()
     for _, text in rows:
-        terms = set(re.findall(r"[^\W\d_]{4,}", (text or "").lower()))
+        terms = set(re.findall(r"[^\W_]+", (text or "").lower()))
         held = {f"{k}:{(text[a:b] if k == 'email' else re.sub('[^0-9]', '', text[a:b]))}" for k, a, b in base_spans(text or "")}
         seen.update(terms), seen_by.update(held), both.update((t, e) for t in terms for e in held)
     wanted = {}
@@ -263,6 +263,26 @@ def test_terms_are_counted_over_whole_documents(spark, documents):
     assert found == pytest.approx(wanted)
 
 
+def test_every_token_can_reveal(spark, documents):
+    draw = random.Random(8)
+    rows = [(i, " ".join(draw.choice(["river", "of", "a", "7", "的山", "cloud"]) for _ in range(12))) for i in range(300)]
+    mail = "write to someone@mail.example.com"
+    texts = [f"a river of Lee {mail}", f"K9x42, {mail}", f"山的王小明的山 {mail}", f"的タナカ的 {mail}", f"cafe\u0301s {mail}", f"\U00020000\U00020001 {mail}"]
+    rows += [(1000 + 10 * i + j, text.replace("someone", f"user{i}")) for i, text in enumerate(texts) for j in range(4)]
+    found = {r.doc_id: r for r in private_terms.sanitise(documents(rows)).collect()}
+    spans = {r.doc_id: r for r in private_terms.find(documents(rows)).collect()}
+    for i, name in enumerate(["Lee", "K9x42", "王小明", "タナカ", "cafe\u0301s", "\U00020000\U00020001"]):
+        for j in range(4):
+            row = spans[1000 + 10 * i + j]
+            hidden = {p for s in (*row.term_removed, *row.term_generalised) for p in range(s.start, s.end)}
+            at = row.text.index(name)
+            assert hidden >= set(range(at, at + len(name))), name
+            assert all(row.text[s.start : s.end] == s.found for s in (*row.term_removed, *row.term_generalised))
+            clean = found[row.doc_id].text
+            assert not any(c in clean for c in (name if ord(name[0]) > 0x3000 else [name]))
+    assert "a river of" in found[1000].text and all(found[i].text == text for i, text in rows[:300])
+
+
 def test_support_follows_from_significance(spark, documents):
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("bcdfgklmnprst") + draw.choice("aeiou") for _ in range(3))

@@ -19,7 +19,16 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"\p{L}{4,}"
+#: Blocks of scripts that put no blanks between words: Thai and Lao, Burmese, Khmer, Japanese and Chinese.
+_UNSPACED = (
+    r"\u0E00-\u0EFF\u1000-\u109F\uAA60-\uAA7F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
+    r"\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
+)
+#: A token of letters and digits, with the marks on them. Plain ranges come first, as they are cheaper to test.
+TERM = rf"[A-Za-z0-9[\p{{L}}\p{{N}}&&[^{_UNSPACED}]]][A-Za-z0-9[\p{{L}}\p{{N}}\p{{M}}&&[^{_UNSPACED}]]]*+"
+UNSPACED = rf"[\p{{L}}\p{{N}}\p{{M}}&&[{_UNSPACED}]]"
+#: Runs without blanks have every part of so many characters as a term.
+GRAMS = (1, 2, 3, 4)
 TERM_KINDS = ("term_removed", "term_generalised")
 SPAN = "array<struct<start: int, end: int, found: string>>"
 
@@ -117,9 +126,36 @@ def _mentions(kind: str) -> Column:
     return F.transform(F.col(kind), lambda s: _name(kind, s.found))
 
 
+def _grams(run: Column, size: int) -> Column:
+    """The parts of a run without blanks, one from each place."""
+    return F.regexp_extract_all(run, F.lit(f"(?=({UNSPACED}{{{size}}}))"), F.lit(1))
+
+
+def _has_unspaced(text: Column) -> Column:
+    return text.rlike(r"[^\x00-\u0DFF]") & text.rlike(UNSPACED)
+
+
 def _terms(text: Column) -> Column:
-    """Distinct terms: lower-cased runs of four letters or more."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))
+    """Distinct terms: lower-cased tokens of letters and digits, and all short parts of runs without blanks."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    tokens = F.regexp_extract_all(low, F.lit(TERM), F.lit(0))
+    parts = F.concat(tokens, *[_grams(low, size) for size in GRAMS])
+    return F.array_distinct(F.when(_has_unspaced(low), parts).otherwise(tokens))
+
+
+def _term_spans(text: Column, wanted) -> Column:
+    """Spans of the terms that `wanted` accepts, by start."""
+
+    def parts(run: Column) -> Column:
+        place = lambda size: lambda found, i: F.struct(
+            (run.start + i).alias("start"), (run.start + i + size).alias("end"), found.alias("found")
+        )
+        return F.concat(*[F.transform(_grams(run.found, size), place(size)) for size in GRAMS])
+
+    runs = _spans(text, f"{UNSPACED}++", lambda run: F.lit(True))
+    unspaced = F.filter(F.flatten(F.transform(runs, parts)), lambda s: wanted(s.found)).cast(SPAN)
+    tokens = _spans(text, TERM, wanted)
+    return F.when(_has_unspaced(text), F.array_sort(F.concat(tokens, unspaced))).otherwise(tokens)
 
 
 def _log_accident(both: Column, of: Column, share: Column) -> Column:
@@ -208,7 +244,7 @@ def find(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
     outside = lambda s: ~F.exists(_base(), lambda b: (b.start < s.end) & (s.start < b.end))
     for name, terms in zip(TERM_KINDS, (F.col("_removed"), F.col("_generalised")), strict=True):
-        spans = _spans(whole, TERM, lambda word, terms=terms: F.array_contains(terms, F.lower(word)))
+        spans = _term_spans(whole, lambda word, terms=terms: F.array_contains(terms, F.lower(word)))
         spans = F.when(F.size(terms) > 0, F.filter(spans, outside)).otherwise(F.array().cast(SPAN))
         found = found.withColumn(name, spans)
     return found.drop("_text", "_removed", "_generalised")
