@@ -9,8 +9,8 @@ from tidemark.llm import collocations as col
 
 
 def plain_counts(rows, longest=4):
-    """(lang, words) -> occurrences, those with a word before, those with a word behind; and words per language."""
-    counts, totals = collections.defaultdict(lambda: [0, 0, 0]), collections.Counter()
+    """(lang, words) -> occurrences; and words per language."""
+    counts, totals = collections.Counter(), collections.Counter()
     for _, text, lang in rows:
         lang = "und" if lang is None else lang
         text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
@@ -19,33 +19,30 @@ def plain_counts(rows, longest=4):
             totals[lang] += len(words)
             for k in range(1, longest + 1):
                 for i in range(len(words) - k + 1):
-                    entry = counts[lang, tuple(words[i : i + k])]
-                    entry[0] += 1
-                    entry[1] += i > 0
-                    entry[2] += i + k < len(words)
+                    counts[lang, tuple(words[i : i + k])] += 1
     return counts, totals
 
 
 def plain_collocations(rows, least=30, most=2000, longest=4):
     counts, totals = plain_counts(rows, longest)
     found = {}
-    for (lang, words), (a, left, right) in counts.items():
+    for (lang, words), a in counts.items():
         if len(words) < 2 or a < least:
             continue
         inside = any(
-            lang == other and len(longer) > len(words) and n[0] >= least and 100 * n[0] >= 80 * a
+            lang == other and len(longer) > len(words) and n >= least and 100 * n >= 80 * a
             and any(longer[i : i + len(words)] == words for i in range(len(longer) - len(words) + 1))
             for (other, longer), n in counts.items()
         )
         if not inside:
             cuts = []
             for k in range(1, len(words)):
-                l, r = counts[lang, words[:k]][0], counts[lang, words[k:]][0]
+                l, r = counts[lang, words[:k]], counts[lang, words[k:]]
                 cuts.append((2000000 * a // (l + r), k, l, r))
             score, _, l, r = min(cuts)
-            found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), l, r, left, right))
+            found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), l, r))
     return {
-        lang: [(i, p.decode(), -a, l, r, totals[lang], -s, x, y) for i, (s, a, p, l, r, x, y) in enumerate(sorted(rows)[:most], 1)]
+        lang: [(i, p.decode(), -a, l, r, totals[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:most], 1)]
         for lang, rows in found.items()
     }
 
@@ -82,7 +79,7 @@ def test_equals_brute_force(spark, documents, least, most, words_per_shard):
 
 
 def test_other_lengths_and_long_texts(spark, documents, monkeypatch):
-    monkeypatch.setattr(col, "TEXT_STRETCH", 100)
+    monkeypatch.setattr(col, "SLICE_BYTES", 100)
     rows = corpus(9)
     docs = documents([(d, t, lang, "s") for d, t, lang in rows])
     for longest in (2, 5):
@@ -99,17 +96,33 @@ def test_index_finds_every_phrase():
     text = np.concatenate([[0], draw.integers(0, 5, 400), [0]])
     index = col.FMIndex(col.transform(text, 4), col.transform(text[::-1], 4))
     starts, n = index.firsts[1:-1], np.diff(index.firsts)[1:]
-    phrase, near, far, count = index.extend("left", starts, starts, n)
+    everything = lambda phrase, word: np.ones(len(word), dtype=bool)
+    phrase, _, near, far, count = index.extend("left", starts, starts, n, everything)
     pairs = collections.Counter((a, b) for a, b in zip(text, text[1:], strict=False) if a and b)
     assert sorted(count.tolist()) == sorted(pairs.values()) and len(phrase) == len(pairs)
-    _, again, _, threes = index.extend("right", far, near, count)
+    _, _, _, _, threes = index.extend("right", far, near, count, everything)
     wanted = collections.Counter(t for t in zip(text, text[1:], text[2:], strict=False) if all(t))
     assert sorted(threes.tolist()) == sorted(wanted.values())
 
 
-def test_stretches_cut_between_pieces_only(monkeypatch):
-    data = b"Ab cd. ef\tGH, ij " * 50
-    whole = [w for part in col.pieces(data) for w in part]
-    monkeypatch.setattr(col, "TEXT_STRETCH", 10)
-    parts = list(col.pieces(data))
-    assert len(parts) > 20 and [w for part in parts for w in part] == whole and whole[:5] == [b"ab", b"cd", b".", b"ef", b"gh"]
+def test_sieve_holds_every_tuple(spark):
+    ids = spark.range(0, 90_000, 9).selectExpr("id AS w1", "id * 7 AS w2")
+    sieve = col._sieve(ids)
+    w1 = np.arange(0, 90_000, 9)
+    assert col._may_hold(sieve, [w1, w1 * 7]).all() and col._may_hold(sieve, [w1, w1 * 7 + 1]).mean() < 0.1
+
+
+def test_words_and_pieces():
+    import pyarrow as pa
+
+    texts = pa.array(["Ab cd. ef\tGH, ij ", None, "", " . ", "x", "É,\x0b y"]).cast(pa.large_string()).fill_null("")
+    words, begins = col.word_runs(texts)
+    assert words.to_pylist() == [b"ab", b"cd", b"ef", b"gh", b"ij", b"x", "É".encode(), b"y"]
+    assert begins.tolist() == [True, False, True, False, True, True, True, True]
+
+
+def test_wide_keys_rank_alike():
+    keys = np.random.default_rng(4).integers(0, 50, 1000)
+    for factor in (1, 1 << 56):
+        order, ranks = col._ranked(keys * factor)
+        assert (np.diff(keys[order]) >= 0).all() and ranks.tolist() == np.unique(keys, return_inverse=True)[1].tolist()

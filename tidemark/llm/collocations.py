@@ -8,44 +8,49 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.shared_files import file_folder, reading, stored, writing
 from tidemark.llm.shipping import ship
+from tidemark.llm.text_arrays import bytes_of, mix, slices, word_bounds
 
-WORDS_PER_SHARD = 2_000_000
-TEXT_STRETCH = 1 << 20
+WORDS_PER_SHARD = 1_800_000
+SLICE_BYTES = 1 << 20
 SALTS = 64
-_TABLE = bytearray(range(256))
-for _c in b".,;:!?\n\x0b\x0c\r":
-    _TABLE[_c] = ord(".")
-_TABLE[ord("\t")] = ord(" ")
-for _c in range(65, 91):
-    _TABLE[_c] = _c + 32
-_TABLE = bytes(_TABLE)
-
-
-def pieces(data: bytes) -> Iterator[list[bytes]]:
-    """Lower-cased words (A-Z) of a text with b'.' wherever a piece ends, in stretches that end between pieces."""
-    data = data.translate(_TABLE)
-    at = 0
-    while at < len(data):
-        stop = data.find(b".", at + TEXT_STRETCH) + 1 or len(data)
-        yield data[at:stop].replace(b".", b" . ").split()
-        at = stop
-
-
-class _Ids(dict):
-    """Numbers of the words of one language; all languages of a shard share the list they are taken from."""
-
-    def __init__(self, words: list, lang: str):
-        super().__init__({b".": 0})
-        self.words, self.lang = words, lang
-
-    def __missing__(self, word: bytes) -> int:
-        self.words.append((self.lang, word))
-        self[word] = len(self.words)
-        return len(self.words)
+MOST_FILTER_BITS = 1 << 26
+_ENDS = np.zeros(256, dtype=bool)
+_ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
+_BLANK = _ENDS.copy()
+_BLANK[list(b" \t")] = True
+
+
+def word_runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words (A-Z lower-cased, binary) of some texts in order, and whether a piece begins with each."""
+    data, offsets = bytes_of(texts, lower=True)
+    starts, ends, first_word = word_bounds(data, offsets, _BLANK)
+    ended = np.cumsum(_ENDS[data])[starts] if len(starts) else np.zeros(0, np.int64)
+    begins = np.diff(ended, prepend=-1) != 0
+    begins[first_word[:-1][first_word[:-1] < len(starts)]] = True
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+    held = data[~_BLANK[data]]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(held)]), begins
+
+
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts the keys, rank of each key's value); keys and places are sorted as one number if they fit."""
+    size = len(keys)
+    width = max(1, (size - 1).bit_length())
+    if int(keys.max()).bit_length() + width <= 63:
+        packed = np.sort(keys << width | np.arange(size))
+        order = packed & ((1 << width) - 1)
+        values = packed >> width
+    else:
+        order = np.argsort(keys)
+        values = keys[order]
+    ranks = np.empty(size, dtype=np.int64)
+    ranks[order] = np.cumsum(np.diff(values, prepend=values[0]) != 0)
+    return order, ranks
 
 
 def transform(text: np.ndarray, depth: int) -> np.ndarray:
@@ -55,13 +60,10 @@ def transform(text: np.ndarray, depth: int) -> np.ndarray:
     interval of a phrase of up to `depth` ids holds the same suffixes as in the full order.
     """
     ranks, length = text.astype(np.int64), 1
-    while length < depth:
-        pairs = ranks * (ranks.max() + 1) + np.roll(ranks, -length)
-        order = np.argsort(pairs, kind="stable")
-        new = np.empty(len(text), dtype=np.int64)
-        new[order] = np.cumsum(np.diff(pairs[order], prepend=pairs[order[0]]) != 0)
-        ranks, length = new, 2 * length
-    order = np.argsort(ranks, kind="stable")
+    order = None
+    while length < depth or order is None:
+        order, ranks = _ranked(ranks * (int(ranks.max()) + 1) + np.roll(ranks, -length))
+        length *= 2
     return text[order - 1]
 
 
@@ -77,20 +79,12 @@ class FMIndex:
         """How many ids are smaller than 0, 1, 2, ...; the interval of a single id."""
         return np.concatenate([[0], np.cumsum(np.bincount(self.bwt["left"]))])
 
-    @functools.cached_property
-    def _ends(self) -> dict[str, np.ndarray]:
-        return {side: np.concatenate([[0], np.cumsum(bwt == 0)]) for side, bwt in self.bwt.items()}
-
-    def neighbours(self, side: str, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Of the occurrences in each interval, those with a word on that side within the piece."""
-        ends = self._ends[side]
-        return counts - (ends[starts + counts] - ends[starts])
-
-    def extend(self, side: str, near: np.ndarray, far: np.ndarray, counts: np.ndarray):
-        """All extensions of the phrases by one word on `side`, in order of phrase and word.
+    def extend(self, side: str, near: np.ndarray, far: np.ndarray, counts: np.ndarray, passes):
+        """The extensions of the phrases by one word on `side` that pass, in order of phrase and word.
 
         `near` are the starts of their intervals in the index that reads on that side, `far` those in the other.
-        Returns (phrase number, start in the near index, start in the far index, count) as arrays.
+        `passes(phrase numbers, words)` tells which extensions to keep. Returns arrays: phrase number, word, start in the
+        near index, start in the far index, count.
         """
         bwt = self.bwt[side]
         before = np.cumsum(counts) - counts
@@ -99,102 +93,183 @@ class FMIndex:
         found, n = np.unique(np.repeat(np.arange(len(counts)), counts) * width + bwt[at], return_counts=True)
         phrase, word = found // width, found % width
         # all words of a phrase stand side by side, so the smaller ones before a word shift it in the far index
-        smaller = np.cumsum(n) - n
-        new_far = far[phrase] + smaller - before[phrase]
-        keep = word > 0
+        new_far = far[phrase] + np.cumsum(n) - n - before[phrase]
+        keep = np.flatnonzero(word > 0)
+        keep = keep[passes(phrase[keep], word[keep])]
         phrase, word, n, new_far = phrase[keep], word[keep], n[keep], new_far[keep]
         # rank: the places of one word in the transform are a run of this sorted list
-        places = np.sort(bwt.astype(np.int64) * self.size + np.arange(self.size))
-        new_near = np.searchsorted(places, word * self.size + near[phrase])
-        return phrase, new_near, new_far, n
+        places = np.sort(bwt * self.size + np.arange(self.size))
+        return phrase, word, np.searchsorted(places, word * self.size + near[phrase]), new_far, n
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return pa.Codec("zstd", 1).compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
 
 
 def _save(uri: str, index: FMIndex) -> None:
+    """Both transforms, each as four byte planes compressed together, behind three lengths."""
+    left, right = _planes(index.bwt["left"]), _planes(index.bwt["right"])
     with writing(uri) as out:
-        out.write(index.bwt["left"].astype("<u4").tobytes())
-        out.write(index.bwt["right"].astype("<u4").tobytes())
+        out.write(np.array([index.size, len(left), len(right)], "<i8").tobytes() + left + right)
 
 
 def _load(uri: str) -> FMIndex:
     with reading(uri) as stream:
-        both = np.frombuffer(stream.read(), "<u4").astype(np.int64)
-    return FMIndex(both[: len(both) // 2], both[len(both) // 2 :])
+        size, left, right = np.frombuffer(stream.read(24), "<i8").tolist()
+        both = [
+            np.frombuffer(pa.Codec("zstd").decompress(stream.read(n), 4 * size), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+            for n in (left, right)
+        ]
+    return FMIndex(*[b.astype(np.int64) for b in both])
+
+
+_WORDS = "shard long, lang string, word string, start long, n long"
+
 
+class _Shard:
+    """Words gathered for one index."""
 
-_WORDS = "shard long, lang string, word string, start long, rev_start long, n long, left_n long, right_n long"
+    def __init__(self):
+        self.size = 0
+        self.parts: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
+
+    def add(self, lang: str, words: pa.Array, begins: np.ndarray) -> None:
+        self.parts.setdefault(lang, []).append((words, begins))
+        self.size += len(words) + int(begins.sum())
+
+    def text(self) -> tuple[np.ndarray, list[tuple[str, pa.Array]]]:
+        """Ids from 1 with 0 around every piece, and the words of these ids by language."""
+        ids, begins, known, taken = [], [], [], 0
+        for lang, parts in self.parts.items():
+            coded = pa.concat_arrays([words for words, _ in parts]).dictionary_encode()
+            ids.append(coded.indices.to_numpy().astype(np.int64) + taken + 1)
+            begins += [b for _, b in parts]
+            known.append((lang, coded.dictionary))
+            taken += len(coded.dictionary)
+        ids, begins = np.concatenate(ids), np.concatenate(begins)
+        places = np.arange(len(ids)) + np.cumsum(begins)
+        text = np.zeros(int(places[-1]) + 2, dtype=np.int64)
+        text[places] = ids
+        return text, known
 
 
 def _indexed(folder: str, depth: int, words_per_shard: int):
     """Write an FM-index of every stretch of documents; return the words of each."""
 
+    def flush(shard: _Shard) -> pa.RecordBatch:
+        text, known = shard.text()
+        # a file is named by all it holds: another attempt at this task writes the same one or another name
+        name = hashlib.blake2b(text.tobytes(), digest_size=8)
+        for lang, words in known:
+            name.update(lang.encode() + b"\0")
+            for buffer in words.buffers()[1:]:
+                name.update(buffer or b"")
+        number = int.from_bytes(name.digest(), "little") >> 1
+        index = FMIndex(transform(text, depth), transform(text[::-1], depth))
+        _save(f"{folder}/{number:016x}.fm", index)
+        langs = pa.concat_arrays([pa.repeat(pa.scalar(lang), len(words)) for lang, words in known])
+        words = pa.concat_arrays([words for _, words in known]).cast(pa.large_string()).cast(pa.string())
+        columns = [index.firsts[1:-1], np.diff(index.firsts)[1:]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(words), number), pa.int64()), langs, words, *[pa.array(x, pa.int64()) for x in columns]],
+            names=["shard", "lang", "word", "start", "n"],
+        )
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list[tuple[str, bytes]] = []
-        ids: dict[str, _Ids] = {}
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush():
-            text = np.concatenate(held)
-            # a file is named by all it holds: another attempt at this task writes the same one or another name
-            name = hashlib.blake2b(text.tobytes(), digest_size=8)
-            name.update(repr(words).encode())
-            shard = int.from_bytes(name.digest(), "little") >> 1
-            index = FMIndex(transform(text, depth), transform(text[::-1], depth))
-            _save(f"{folder}/{shard:016x}.fm", index)
-            starts = index.firsts[1:-1]
-            n = np.diff(index.firsts)[1:]
-            left, right = (index.neighbours(side, starts, n) for side in ("left", "right"))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(words), shard), pa.int64()),
-                    pa.array([lang for lang, _ in words], pa.string()),
-                    pa.array([word for _, word in words], pa.binary()).cast(pa.string()),
-                    *[pa.array(x, pa.int64()) for x in (starts, starts, n, left, right)],
-                ],
-                names=["shard", "lang", "word", "start", "rev_start", "n", "left_n", "right_n"],
-            )
+        shard = _Shard()
+        for batch in batches:
+            langs = batch.column(0)
+            for lang in langs.unique().to_pylist():
+                for _, piece in slices(batch.column(1).filter(pc.equal(langs, lang)), SLICE_BYTES):
+                    words, begins = word_runs(piece)
+                    cuts, first = np.flatnonzero(begins), 0
+                    while first < len(words):
+                        # up to the first piece that begins when the shard is full
+                        at = np.searchsorted(cuts, first + max(1, words_per_shard - shard.size))
+                        stop = int(cuts[at]) if at < len(cuts) else len(words)
+                        shard.add(lang, words.slice(first, stop - first), begins[first:stop])
+                        first = stop
+                        if shard.size >= words_per_shard:
+                            yield flush(shard)
+                            shard = _Shard()
+        if shard.size:
+            yield flush(shard)
+
+    return work
+
 
+def slots(ids: list[np.ndarray], bits: int) -> np.ndarray:
+    """A place from 0 to bits - 1 for each tuple of ids, given as columns."""
+    found = np.full(len(ids[0]), len(ids), dtype=np.uint64)
+    for column in ids:
+        found = mix(found ^ column.view(np.uint64))
+    return (found & np.uint64(bits - 1)).view(np.int64)
+
+
+def _slotted(bits: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                numbers = ids.setdefault(lang, _Ids(words, lang))
-                for found in pieces(data.as_py()):
-                    held.append(np.array([0, *map(numbers.__getitem__, found), 0], dtype=np.int64))
-                    size += len(found)
-                    if size >= words_per_shard and words:
-                        yield flush()
-                        words, ids, held, size = [], {}, [], 0
-                        numbers = ids.setdefault(lang, _Ids(words, lang))
-        if words:
-            yield flush()
+            found = slots([column.to_numpy() for column in batch.columns], bits)
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["slot"])
 
     return work
 
 
-_GRAMS = "shard long, prefix long, suffix long, start long, rev_start long, n long, left_n long, right_n long"
+def _sieve(tuples: DataFrame) -> tuple[int, bytes]:
+    """(bits, bit map) of a table of ids: 16 bits and more a row, but 8 MB at most, beyond which more others pass."""
+    wanted = max(1 << 15, 1 << (16 * tuples.count()).bit_length())
+    bits = min(wanted, MOST_FILTER_BITS)
+    marked = tuples.mapInArrow(_slotted(bits), "slot long").select((F.col("slot") + 1).alias("slot"))
+    maps = marked.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map")
+    )
+    found = bytearray(bits // 8)
+    for bucket, part in maps.collect():
+        found[(bucket - 1) * 4096 : bucket * 4096] = part
+    return bits, bytes(found)
+
+
+def _may_hold(sieve: tuple[int, bytes], ids: list[np.ndarray]) -> np.ndarray:
+    bits, marks = sieve
+    slot = slots(ids, bits)
+    return (np.frombuffer(marks, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
 
-def _extended(folder: str, side: str):
-    """Extend every phrase of a shard by one word on `side`, where the other part of the result is a phrase too."""
+def _counted(folder: str, length: int, sieves: list):
+    """Count the phrases of `length` words in every shard, given its frequent words.
 
-    def grown(shard: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    Words are extended to the right and to the left in turn, both intervals in step. sieves[i] tells which phrases of
+    i + 2 words may be frequent; an extension is followed only if the shorter phrase at its other end may be, too.
+    """
+
+    def counted(shard: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         index = _load(f"{folder}/{shard:016x}.fm")
         table = pa.Table.from_batches(rows)
-        number, start, rev, n = (table.column(c).to_numpy() for c in ("id", "start", "rev_start", "n"))
-        near, far = (start, rev) if side == "left" else (rev, start)
-        phrase, new_near, new_far, count = index.extend(side, near, far, n)
-        # the result without its last word on the other side begins alike in the near index: its interval holds the new one
-        order = np.argsort(near)
-        other = order[np.maximum(np.searchsorted(near[order], new_near, side="right") - 1, 0)]
-        keep = (near[other] <= new_near) & (new_near < near[other] + n[other])
-        phrase, other, new_near, new_far, count = (x[keep] for x in (phrase, other, new_near, new_far, count))
-        prefix, suffix = (other, phrase) if side == "left" else (phrase, other)
-        new_start, new_rev = (new_near, new_far) if side == "left" else (new_far, new_near)
-        columns = [number[prefix], number[suffix], new_start, new_rev, count]
-        columns += [index.neighbours("left", new_start, count), index.neighbours("right", new_rev, count)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(count), shard), pa.int64()), *[pa.array(x, pa.int64()) for x in columns]],
-            names=["shard", "prefix", "suffix", "start", "rev_start", "n", "left_n", "right_n"],
-        )
+        number, start, n = (table.column(c).to_numpy() for c in ("id", "start", "n"))
+        named = np.full(len(index.firsts), -1, dtype=np.int64)
+        named[np.searchsorted(index.firsts, start, side="right") - 1] = number
+        intervals, ids = {"left": start, "right": start}, [number]
+        for words in range(2, length + 1):
+            side, other = ("right", "left") if words % 2 == 0 else ("left", "right")
+
+            def passes(phrase, word, words=words, side=side, ids=ids):
+                keep = named[word] >= 0
+                if words > 2:
+                    rest = [column[phrase[keep]] for column in (ids[1:] if side == "right" else ids[:-1])]
+                    new = named[word[keep]]
+                    rest = [*rest, new] if side == "right" else [new, *rest]
+                    keep[keep] = _may_hold(sieves[words - 3].value, rest)
+                return keep
+
+            phrase, word, near, far, n = index.extend(side, intervals[side], intervals[other], n, passes)
+            ids = [column[phrase] for column in ids]
+            ids = [*ids, named[word]] if side == "right" else [named[word], *ids]
+            if words < length:
+                keep = _may_hold(sieves[words - 2].value, ids)
+                near, far, n, ids = near[keep], far[keep], n[keep], [column[keep] for column in ids]
+            intervals = {side: near, other: far}
+        names = [*[f"w{i}" for i in range(1, length + 1)], "n"]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*ids, n)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -204,40 +279,32 @@ def _extended(folder: str, side: str):
             for first, stop in zip(cuts, cuts[1:], strict=False):
                 if first < stop:
                     if held and shards[first] != shard:
-                        yield grown(shard, held)
+                        yield counted(shard, held)
                         held = []
                     shard = int(shards[first])
                     held.append(batch.slice(first, stop - first))
         if held:
-            yield grown(shard, held)
+            yield counted(shard, held)
 
     return work
 
 
-def _totals(rows: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
-    """Sums over all shards of the phrases that occur `least` times, numbered once and for all."""
-    sums = rows.groupBy(*by).agg(F.sum("n").alias("f"), F.sum("left_n").alias("left_n"), F.sum("right_n").alias("right_n"))
-    return stored(sums.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), name)
-
-
 def phrases(
     docs: DataFrame, longest: int = 4, least: int = 30, lang: str = "lang", text: str = "text", words_per_shard: int = WORDS_PER_SHARD
 ) -> tuple[DataFrame, DataFrame]:
     """(phrases of 1 to `longest` words that occur `least` times in their language, words per language).
 
-    Phrases: lang, phrase, length, f (occurrences), left_n and right_n (those with a word before or behind in the
-    piece), heads and tails (occurrences of its first 1, 2, ... words; of all its words, all but the first, ...), id,
-    prefix and suffix (ids of the phrase without its last, its first word; null for words; ids are unique within a length).
-    Words per language: lang, total.
+    Phrases: lang, phrase, length, f (occurrences), heads and tails (occurrences of its first 1, 2, ... words; of all its
+    words, all but the first, ...), and ids, an array with a number for each word. Words per language: lang, total.
 
     Texts are lower-cased (A-Z), cut into pieces at . , ; : ! ? and line ends, and those into words at blanks and tabs.
     A null text is empty; a null language is `und`.
 
     1. Tasks index their documents in shards of about `words_per_shard` words (a piece is never cut) and write each
        FM-index to the shared folder. Words are counted over all shards.
-    2. Each further word: the phrases that are frequent everywhere go back to the shards as intervals, to the right and
-       to the left in turn, and are extended there. A phrase is counted only if both its parts of one word less are
-       frequent, which loses none. Sums over shards decide which go on.
+    2. Each further word: every shard extends the intervals of its frequent words, to the right and to the left in turn,
+       through phrases that may be frequent, and counts are summed over shards. A bit map of bounded size says which may:
+       it lets some others pass, whose extensions are too rare to be kept, and never loses one.
 
     A shard's intervals are fewer than its words; nothing else is gathered in one task.
     """
@@ -246,38 +313,41 @@ def phrases(
     folder = file_folder(spark, "fm-index")
     chosen = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
+        F.col(text).cast("string").alias("text"),
     )
     rows = stored(chosen.mapInArrow(_indexed(folder, longest, words_per_shard), _WORDS), "words")
     totals = rows.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = _totals(rows, ["lang", "word"], least, "frequent-words")
-    alive = rows.join(frequent.select("lang", "word", "id"), ["lang", "word"])
-    none = F.lit(None).cast("long")
-    level = frequent.select(
-        "lang", F.col("word").alias("phrase"), F.lit(1).alias("length"), "f", "left_n", "right_n",
-        F.array("f").alias("heads"), F.array("f").alias("tails"), "id", none.alias("prefix"), none.alias("suffix"),
+    sums = rows.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    words = stored(sums.withColumn("id", F.monotonically_increasing_id()), "frequent-words")
+    alive = rows.join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "id", "start", "n")
+    state = stored(alive, "alive-words").repartition("shard").sortWithinPartitions("shard")
+    found = level = words.select(
+        "lang", F.col("word").alias("phrase"), F.lit(1).alias("length"), "f",
+        F.array("f").alias("heads"), F.array("f").alias("tails"), F.array("id").alias("ids"),
     )
-    found = level
+    sieves = []
     for length in range(2, longest + 1):
-        state = alive.select("shard", "id", "start", "rev_start", "n").repartition("shard").sortWithinPartitions("shard")
-        side = "right" if length % 2 == 0 else "left"
-        rows = stored(state.mapInArrow(_extended(folder, side), _GRAMS), "phrases")
-        frequent = _totals(rows, ["prefix", "suffix"], least, "frequent-phrases")
-        alive = rows.join(frequent.select("prefix", "suffix", "id"), ["prefix", "suffix"])
-        first = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
-        second = level.select(F.col("id").alias("suffix"), F.col("phrase").alias("end"), "tails")
+        ids = [f"w{i}" for i in range(1, length + 1)]
+        counts = state.mapInArrow(_counted(folder, length, sieves), ", ".join(f"{c} long" for c in [*ids, "n"]))
+        frequent = stored(counts.groupBy(*ids).agg(F.sum("n").alias("f")).where(F.col("f") >= least), "frequent")
+        sieves = [*sieves, spark.sparkContext.broadcast(_sieve(frequent.drop("f")))]
+        first = level.select(F.col("ids").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
+        second = level.select(F.col("ids").alias("suffix"), F.col("phrase").alias("end"), "tails")
         level = stored(
-            frequent.join(first, "prefix").join(second, "suffix").select(
+            frequent.select("f", F.array(*ids).alias("ids"), F.array(*ids[:-1]).alias("prefix"), F.array(*ids[1:]).alias("suffix"))
+            .join(first, "prefix")
+            .join(second, "suffix")
+            .select(
                 "lang",
                 F.concat_ws(" ", "begin", F.substring_index("end", " ", -1)).alias("phrase"),
                 F.lit(length).alias("length"),
-                "f", "left_n", "right_n",
+                "f",
                 F.concat("heads", F.array("f")).alias("heads"),
                 F.concat(F.array("f"), "tails").alias("tails"),
-                "id", "prefix", "suffix",
+                "ids",
             ),
             "phrases",
-        )
+        )
         found = found.unionByName(level)
     return found, totals
 
@@ -285,7 +355,7 @@ def phrases(
 def collocations(
     docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80, of: int = 100, most: int = 2000, **options
 ) -> DataFrame:
-    """The `most` highest scored phrases of each language: lang, rank, phrase, a, l, r, n, score, left_n, right_n.
+    """The `most` highest scored phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     Cutting a phrase of `a` occurrences into a first part (l) and a rest (r) scores floor(2000000 * a / (l + r)); its lowest
     score counts, of equal ones that of the earliest cut. A phrase goes if a longer one, of at most `longest` words, holds
@@ -295,17 +365,17 @@ def collocations(
     """
     found, totals = phrases(docs, longest, least, **options)
     found = found.where("length > 1")
-    longer = found.where("length > 2").select(F.explode(F.array("prefix", "suffix")).alias("id"), (F.col("length") - 1).alias("length"), "f")
-    longer = longer.groupBy("length", "id").agg(F.max("f").alias("within"))
-    left = found.join(longer, ["length", "id"], "left").where(
+    inner = F.array(F.expr("slice(ids, 1, length - 1)"), F.expr("slice(ids, 2, length - 1)"))
+    longer = found.where("length > 2").select(F.explode(inner).alias("ids"), "f").groupBy("ids").agg(F.max("f").alias("within"))
+    left = found.join(longer, "ids", "left").where(
         F.col("within").isNull() | (F.lit(of) * F.col("within") < F.lit(covered) * F.col("f"))
     )
     cuts = F.expr(
         "transform(sequence(1, length - 1), k -> named_struct('score', CAST(f AS DECIMAL(20, 0)) * 2000000 div"
         " (heads[k - 1] + tails[k]), 'k', k, 'l', heads[k - 1], 'r', tails[k]))"
     )
-    scored = left.select("lang", "phrase", F.col("f").alias("a"), "left_n", "right_n", F.array_min(cuts).alias("cut"))
-    scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").alias("score"), "left_n", "right_n")
+    scored = left.select("lang", "phrase", F.col("f").alias("a"), F.array_min(cuts).alias("cut"))
+    scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").alias("score"))
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*best)
     ranked = Window.partitionBy("lang").orderBy(*best)
@@ -315,7 +385,7 @@ def collocations(
         .withColumn("rank", F.row_number().over(ranked).cast("long"))
         .where(F.col("rank") <= most)
         .join(totals, "lang")
-        .select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score", "left_n", "right_n")
+        .select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
     )
 
 
@@ -325,7 +395,7 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _CUTS = " UNION ALL ".join(
-    f"SELECT g.lang, g.phrase, g.a, g.left_n, g.right_n, {k} AS k, p.f AS l, q.f AS r FROM grams g"
+    f"SELECT g.lang, g.phrase, g.a, {k} AS k, p.f AS l, q.f AS r FROM grams g"
     f" JOIN words_of p ON p.lang = g.lang AND p.phrase = array_to_string(g.words[:{k}], ' ')"
     f" JOIN words_of q ON q.lang = g.lang AND q.phrase = array_to_string(g.words[{k + 1}:], ' ') WHERE g.length > {k}"
     for k in (1, 2, 3)
@@ -337,7 +407,7 @@ _INNER = " UNION ALL ".join(
     for i in range(1, length - k + 2)
 )
 _RUNS = " UNION ALL ".join(
-    f"SELECT lang, {k} AS length, words[i:i + {k - 1}] AS words, i > 1 AS has_left, i + {k} <= len(words) AS has_right"
+    f"SELECT lang, {k} AS length, words[i:i + {k - 1}] AS words"
     f" FROM (SELECT lang, words, unnest(range(1, len(words) - {k} + 2)) AS i FROM split_up)"
     for k in (1, 2, 3, 4)
 )
@@ -351,11 +421,10 @@ WITH lowered AS (
   SELECT lang, words FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM parts) WHERE len(words) > 0
 ), runs AS ({_RUNS}
 ), words_of AS (
-  SELECT lang, length, array_to_string(words, ' ') AS phrase, any_value(words) AS words, count(*)::BIGINT AS f,
-    count(*) FILTER (has_left)::BIGINT AS left_n, count(*) FILTER (has_right)::BIGINT AS right_n
+  SELECT lang, length, array_to_string(words, ' ') AS phrase, any_value(words) AS words, count(*)::BIGINT AS f
   FROM runs GROUP BY lang, length, array_to_string(words, ' ')
 ), grams AS (
-  SELECT lang, length, phrase, words, f AS a, left_n, right_n FROM words_of WHERE length > 1 AND f >= 30
+  SELECT lang, length, phrase, words, f AS a FROM words_of WHERE length > 1 AND f >= 30
 ), totals AS (
   SELECT lang, sum(len(words))::BIGINT AS n FROM split_up GROUP BY lang
 ), inner_phrases AS (
@@ -370,5 +439,5 @@ WITH lowered AS (
   FROM lowest LEFT JOIN inner_phrases i ON i.lang = lowest.lang AND i.phrase = lowest.phrase
   WHERE i.within IS NULL OR 100 * i.within < 80 * a
 )
-SELECT lang, rank, phrase, a, l, r, n, score, left_n, right_n FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """

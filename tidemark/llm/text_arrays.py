@@ -44,9 +44,12 @@ def bytes_of(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarr
     return _LOWER[data] if lower else data, offsets - offsets[0]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the index of each text's first word (n + 1 entries)."""
-    inside = ~_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the index of each text's first word (n + 1 entries).
+
+    `blank` tells of each of the 256 bytes whether it stands between words.
+    """
+    inside = ~blank[data]
     starts, ends = inside.copy(), inside.copy()
     if len(data):
         starts[1:] &= ~inside[:-1]
