@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import near_dedup
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import _may_hold, match_threshold, near_duplicates
 
@@ -66,16 +68,70 @@ def test_groups_equal_brute_force(spark, documents, shingle, similar):
         assert (row.n_shingles, row.component_id, row.kept) == (size, root, root == row.doc_id)
 
 
-def test_null_ids_and_repeated_rows(spark, documents):
-    text = " ".join(f"w{i}" for i in range(30))
-    found = near_duplicates(documents([(None, text), (5, text), (5, text), (7, text), (9, None)])).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0, r.component_id, r.kept) for r in found) == [
-        (False, 5, 5, True),
-        (False, 5, 5, True),
-        (False, 7, 5, False),
-        (False, 9, 9, True),
-        (True, 0, None, True),
+def test_rows_are_judged_by_their_own_text(spark, documents):
+    text, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "wv")
+    rows = [(None, text), (5, text), (5, text), (7, text), (9, None), (7, other), (3, other), (None, "x y"), (None, "x y"), (None, "z")]
+    found = near_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept, r.first) for r in found) == [
+        (0, 1, 0, True, True),
+        (0, 1, 0, True, True),
+        (0, 1, 0, True, True),
+        (0, 26, 5, False, False),
+        (3, 26, 3, True, True),
+        (5, 26, 5, True, True),
+        (5, 26, 5, True, True),
+        (7, 26, 3, False, False),
+        (7, 26, 5, False, False),
+        (9, 0, 9, True, True),
     ]
+    assert len({bytes(r.row_key) for r in found}) == 8
+
+
+def family(draw, count, changes):
+    """Copies of one text that differ from one another, most pairs a little below the limit."""
+    first, rows = words(draw, 200), []
+    for _ in range(count):
+        text = list(first)
+        for at in draw.sample(range(200), changes):
+            text[at] = "y" + str(draw.randrange(10**9))
+        rows.append(" ".join(text))
+    return rows
+
+
+def test_family_of_almost_copies_equals_brute_force(spark, documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 20_000)
+    draw = random.Random(8)
+    rows = list(enumerate(family(draw, 90, 3) + family(draw, 60, 4)))
+    wanted = brute_components(rows, 3, 85, 100)
+    found = near_duplicates(documents(rows), 3, 85, 100).collect()
+    assert {r.doc_id: r.component_id for r in found} == {d: root for d, (_, root) in wanted.items()}
+
+
+def test_rows_made_grow_in_proportion():
+    made = {}
+    for count in (100, 200, 400):
+        rows = family(random.Random(count), count, 4)
+        batch = next(near_dedup._signed(3, 64, 512)(iter([pa.record_batch(
+            [pa.array(range(count), pa.int64()), pa.array([b""] * count), pa.array(rows)], names=["doc_id", "row_key", "text"])])))
+        columns = dict(key=[1] * count, one=[0] * count, two=[0] * count, node=range(count), label=range(count), block=[0] * count,
+                       sketch=batch.column("sketch"), prefix=[[1]] * count)
+        listed = list(near_dedup._within_lists(match_threshold(512, 0.85, 1e-5))(iter([pa.RecordBatch.from_pydict(columns)])))
+        sets = [v.tobytes() for _, v in near_dedup.shingle_sets(pa.array(rows), 3)]
+        columns |= dict(cluster=[0] * count, first=[0] * count, second=[0] * count, part=[0] * count, items=sets)
+        links = list(near_dedup._linked(match_threshold(512, 0.85, 1e-5), 85, 100)(iter([pa.RecordBatch.from_pydict(columns)])))
+        made[count] = (sum(b.num_rows for b in listed), sum(b.num_rows for b in links))
+        assert made[count][0] <= count and made[count][1] < count
+    assert made[100][0] > 50
+
+
+def test_long_words_that_a_polynomial_confuses():
+    one = "a"
+    while len(one) < 4096:
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    sets = [set(v.tolist()) for _, v in near_dedup.shingle_sets(pa.array([one, two]), 3)]
+    assert sets[0] != sets[1]
 
 
 def test_empty_table(spark, documents):
@@ -104,3 +160,4 @@ def test_threshold_meets_its_miss():
     least = match_threshold(64, 0.85, 1e-5)
     draws = np.random.default_rng(1).binomial(64, 0.85, 200_000)
     assert (draws < least).mean() < 1e-4 and least > 35
+    assert 1600 < match_threshold(2000, 0.85, 1e-5) < 1700 and match_threshold(64, 1.0, 1e-5) == 64

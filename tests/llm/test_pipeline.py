@@ -43,7 +43,14 @@ def test_stages_take_empty_tables_and_null_ids(spark, documents):
         assert stage(spark, empty, "").count() == 0, name
     same = documents([(None, "a b c d e f g"), (None, "a b c d e f g"), (3, "a b c d e f g"), (4, "a b c d e f g")])
     left = corpus_pipeline.drop_near_copies(spark, same, "").collect()
-    assert sorted(r.doc_id or 0 for r in left) == [0, 0, 3]
+    assert sorted(r.doc_id or 0 for r in left) == [3]
+
+
+def test_texts_under_one_id_are_judged_apart(spark, documents):
+    one, two = ("a b c d e f g h", "k l m n o p q r")
+    rows = [(1, one), (1, two), (2, two), (None, "s t u v w x"), (None, "s t u v w x"), (4, ""), (4, ""), (1, one)]
+    left = corpus_pipeline.drop_near_copies(spark, documents(rows), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, "s t u v w x"), (1, one), (1, two), (4, "")]
 
 
 def test_run_reads_and_writes_whole_tables(spark):

@@ -41,7 +41,7 @@ def test_bpe_equals_library_on_random_texts():
 
 
 def test_bpe_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "MOST_REMEMBERED", 50)
+    monkeypatch.setattr(byte_bpe, "MOST_REMEMBERED_BYTES", 8000)
     _, ranks = library()
     encoder = byte_bpe.ByteBPE(ranks, public_tokenizers.PATTERN)
     text = " ".join(f"word{i}" for i in range(500)) + " " + "y" * 200

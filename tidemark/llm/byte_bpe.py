@@ -20,8 +20,10 @@ from tidemark.llm.shipping import ship
 
 #: White space as the pattern's engine defines it (fixed values of the Unicode property White_Space).
 WHITE = r"\t-\r \x85\xa0  -     　"
-MOST_REMEMBERED = 1_000_000
+MOST_REMEMBERED_BYTES = 96 << 20
+ENTRY_BYTES = 150  # of a remembered piece beyond its text and ids
 LONGEST_REMEMBERED = 64
+ROWS_OUT = 256
 
 
 class RankTable:
@@ -85,14 +87,17 @@ class _Pieces(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.held = 0
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[-1].isspace():
             raise _Irregular
         ids = self.encode(piece if piece[0] == "\n" else " " + piece)
         if len(piece) <= LONGEST_REMEMBERED:
-            if len(self) >= MOST_REMEMBERED:
+            self.held += ENTRY_BYTES + len(piece) + len(ids)
+            if self.held > MOST_REMEMBERED_BYTES:
                 self.clear()
+                self.held = ENTRY_BYTES + len(piece) + len(ids)
             self[piece] = ids
         return ids
 
@@ -221,6 +226,33 @@ def decode(df: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, i
     return kept.mapInArrow(work, T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())]))
 
 
+def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """doc_id, n_tokens, ids and exact (whether the ids decode to the whole text; null: empty), in one visit to the worker."""
+    ship(docs.sparkSession)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = vocabulary(path, pattern)
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS_OUT):
+                part = batch.slice(first, ROWS_OUT)
+                found, exact = [], []
+                for value in _texts(part.column(1)):
+                    ids = encoder.encode(value)
+                    found.append(ids.astype(np.int32))
+                    exact.append(encoder.decode(ids.tolist()) == value.encode())
+                lengths = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                column = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.diff(lengths), pa.int64()), column, pa.array(exact)],
+                    names=["doc_id", "n_tokens", "ids", "exact"],
+                )
+
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    key = docs.schema["doc_id"]
+    kinds = "n_tokens long, ids array<int>, exact boolean"
+    return chosen.mapInArrow(work, T.StructType([key, *T.StructType.fromDDL(kinds).fields]))
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of every row.
 

@@ -15,7 +15,8 @@ from tidemark.llm.shared_files import file_folder, reading, stored, writing
 from tidemark.llm.shipping import ship
 from tidemark.llm.text_arrays import bytes_of, mix, slices, word_bounds
 
-WORDS_PER_SHARD = 1_800_000
+WORDS_PER_SHARD = 1_200_000
+ROWS_OUT = 100_000
 SLICE_BYTES = 1 << 20
 SALTS = 64
 MOST_FILTER_BITS = 1 << 26
@@ -71,7 +72,7 @@ class FMIndex:
     """Intervals of phrases in a text and in its reverse: one extends a phrase to the left, the other to the right."""
 
     def __init__(self, forward: np.ndarray, backward: np.ndarray):
-        self.bwt = {"left": forward, "right": backward}
+        self.bwt = {"left": forward.astype(np.int32), "right": backward.astype(np.int32)}
         self.size = len(forward)
 
     @functools.cached_property
@@ -98,7 +99,7 @@ class FMIndex:
         keep = keep[passes(phrase[keep], word[keep])]
         phrase, word, n, new_far = phrase[keep], word[keep], n[keep], new_far[keep]
         # rank: the places of one word in the transform are a run of this sorted list
-        places = np.sort(bwt * self.size + np.arange(self.size))
+        places = np.sort(bwt.astype(np.int64) * self.size + np.arange(self.size))
         return phrase, word, np.searchsorted(places, word * self.size + near[phrase]), new_far, n
 
 
@@ -120,7 +121,7 @@ def _load(uri: str) -> FMIndex:
             np.frombuffer(pa.Codec("zstd").decompress(stream.read(n), 4 * size), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
             for n in (left, right)
         ]
-    return FMIndex(*[b.astype(np.int64) for b in both])
+    return FMIndex(*both)
 
 
 _WORDS = "shard long, lang string, word string, start long, n long"
@@ -242,7 +243,7 @@ def _counted(folder: str, length: int, sieves: list):
     i + 2 words may be frequent; an extension is followed only if the shorter phrase at its other end may be, too.
     """
 
-    def counted(shard: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def counted(shard: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _load(f"{folder}/{shard:016x}.fm")
         table = pa.Table.from_batches(rows)
         number, start, n = (table.column(c).to_numpy() for c in ("id", "start", "n"))
@@ -269,7 +270,9 @@ def _counted(folder: str, length: int, sieves: list):
                 near, far, n, ids = near[keep], far[keep], n[keep], [column[keep] for column in ids]
             intervals = {side: near, other: far}
         names = [*[f"w{i}" for i in range(1, length + 1)], "n"]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*ids, n)], names=names)
+        for first in range(0, len(n), ROWS_OUT):
+            part = [pa.array(x[first : first + ROWS_OUT], pa.int64()) for x in (*ids, n)]
+            yield pa.RecordBatch.from_arrays(part, names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -279,12 +282,12 @@ def _counted(folder: str, length: int, sieves: list):
             for first, stop in zip(cuts, cuts[1:], strict=False):
                 if first < stop:
                     if held and shards[first] != shard:
-                        yield counted(shard, held)
+                        yield from counted(shard, held)
                         held = []
                     shard = int(shards[first])
                     held.append(batch.slice(first, stop - first))
         if held:
-            yield counted(shard, held)
+            yield from counted(shard, held)
 
     return work
 

@@ -11,9 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 _SEGMENT = 1 << 21
+_LONG_WORD = 64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -84,7 +86,11 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word: a polynomial over its bytes by prefix sums, then mixed."""
+    """A 64-bit hash of every word: a polynomial over its bytes by prefix sums, then mixed.
+
+    Polynomials modulo 2^64 agree on some pairs of long words whatever their base, so words beyond 64 bytes get the XXH3
+    hash of their bytes.
+    """
     hashes = np.empty(len(starts), dtype=np.uint64)
     inverse = pow(_BASE, -1, 1 << 64)
     first = 0
@@ -97,7 +103,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         s, e = starts[first:last] - low, ends[first:last] - low
         hashes[first:last] = (sums[e] - sums[s]) * _powers_of(inverse, high - low)[s]
         first = last
-    return mix(hashes)
+    hashes = mix(hashes)
+    for i in np.flatnonzero(ends - starts > _LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return hashes
 
 
 def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
