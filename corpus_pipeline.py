@@ -37,17 +37,18 @@ def reject_poor(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """MinHash near-dedup (5-word shingles, similarity 0.8): the least doc_id of each group stays.
 
-    Rows without a doc_id stay. Of rows that repeat a doc_id one stays. Blank texts link with nothing and stay.
+    Every row is judged by its own text: of rows that repeat a doc_id with other texts, and of rows without one, only
+    copies go. Of a group's rows the one of least doc_id, null last, stays; of rows alike in doc_id and text one. Blank
+    texts link with nothing and stay.
     """
-    verdict = stored(near_dedup.near_duplicates(docs, SHINGLE, SIMILAR, OF).select("doc_id", "kept"), "verdict")
-    gone = verdict.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    again = verdict.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1")
-    again = again.select("_again")
-    key = F.col("row.doc_id")
-    left = _packed(docs).join(gone, key == F.col("_gone"), "left_anti")
-    once = left.join(again, key == F.col("_again"), "left_anti")
-    first = left.join(again, key == F.col("_again"), "left_semi").withColumn("_key", key).dropDuplicates(["_key"])
-    return _whole(once).unionByName(_whole(first))
+    verdict = stored(near_dedup.near_duplicates(docs, SHINGLE, SIMILAR, OF).select("row_key", "first"), "verdict")
+    gone = verdict.where("NOT first").select("row_key").distinct()
+    again = verdict.where("first").groupBy("row_key").count().where("count > 1").select("row_key")
+    keyed = docs.select(F.struct("*").alias("row"), near_dedup.row_key().alias("row_key"))
+    left = keyed.join(gone, "row_key", "left_anti")
+    once = left.join(again, "row_key", "left_anti")
+    alike = left.join(again, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return _whole(once).unionByName(_whole(alike))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -72,10 +73,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Byte-level BPE: doc_id, n_tokens and ids of every row, and whether the ids decode to its text (null: empty)."""
-    path = public_tokenizers.path(VOCABULARY)
-    encoded = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "text"), path), path)
-    exact = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", exact.alias("exact"))
+    return byte_bpe.encode_checked(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
 STAGES = [
