@@ -258,6 +258,22 @@ ORACLES = {
                    WHEN 'error' THEN '{"event_id":' || event_id || ',"user_id":"u' || user_id || '"' END AS rescued
         FROM events""",
     "csv_ingest": "SELECT *, NULL::VARCHAR AS _rescued_data FROM lineitem",
+    "csv_by_name": """
+        SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value,
+               CASE WHEN event_type = 'view' THEN '{"mark":"' || event_id % 7 || '"}' END AS _rescued_data
+        FROM events""",
+    "csv_by_name_stream": """
+        SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value,
+               CASE WHEN event_type = 'view' THEN event_id % 7 END AS mark, NULL::VARCHAR AS _rescued_data
+        FROM events""",
+    "file_ledger": """
+        SELECT c_custkey % 5 AS delivery, CASE WHEN c_custkey % 5 = 3 THEN 'rewritten' ELSE 'unchanged' END AS status,
+               count(*) AS customers, max(c_acctbal) AS most
+        FROM customer GROUP BY ALL""",
+    "json_nested_rescue": """
+        SELECT event_id, 2 AS items, event_type AS kind,
+               '{"a.y":"' || user_id || '","items[1].z":"' || event_id % 5 || '"}' AS rescued
+        FROM events""",
     "late_columns": """
         SELECT event_id, user_id,
                CASE WHEN event_type IN ('click', 'view') THEN '{"event_type":"' || event_type || '"}' END AS _rescued_data

@@ -23,10 +23,13 @@ from tidemark.plans import customers as customer_plan
 from tidemark.plans import trips as trip_plan
 from tidemark.session import new_work_folder
 from tidemark.sinks.layout import DatasetSpec, write_dataset, write_json
+from tidemark.sinks.paths import replace_file
 from tidemark.sinks.snapshot_table import SnapshotTable
 from tidemark.sources import synthetic
-from tidemark.sources.files import ingest_csv, ingest_json, read_csv, read_json, stream_table
-from tidemark.sources.schemas import RESCUED, evolve_schema, infer_schema, merge_schema_hints
+from tidemark.sources.files import ingest_json, read_csv, read_json, stream_table
+from tidemark.sources.landing import append_csv, list_files
+from tidemark.sources.schema_store import SchemaStore
+from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
 from tidemark.streaming.family import TableSpec, run_cdc_family
@@ -110,8 +113,10 @@ def trip_stream_medallion(spark, folder):
         "fare_amount DOUBLE, total_amount DOUBLE",
     )
     schema = T.StructType([schema[name] for name in raw.columns])
-    files = ingest_csv(spark, f"{work}/landing", schema, glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2)
-    run_append(trip_plan.raw_trips(files), f"{work}/bronze", f"{work}/checkpoints/bronze")
+    append_csv(
+        spark, f"{work}/landing", f"{work}/bronze", f"{work}/checkpoints/bronze", schema,
+        glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2, transform=trip_plan.raw_trips,
+    )
     silver = trip_plan.clean_trips(stream_table(spark, f"{work}/bronze"))
     run_append(silver, f"{work}/silver", f"{work}/checkpoints/silver")
     return trip_plan.daily_summary(spark.read.parquet(f"{work}/silver"))
@@ -504,11 +509,92 @@ def csv_ingest(spark, folder):
     lineitem.repartition(_files(spark)).write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
     inferred = infer_schema(spark, f"{work}/landing", "csv", pathGlobFilter="*.csv.gz")
     hints = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_shipdate TIMESTAMP_NTZ"
-    files = ingest_csv(
-        spark, f"{work}/landing", merge_schema_hints(inferred, hints), glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2
+    append_csv(
+        spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", merge_schema_hints(inferred, hints),
+        glob="*.csv.gz", max_files_per_trigger=_files(spark) // 2,
+    )
+    return spark.read.parquet(f"{work}/table").drop("batch")
+
+
+EVENT_FIELDS = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+
+
+def _deliveries(spark, folder, landing: str) -> None:
+    """The events as CSV whose headers differ: in order, in another order and case, with a column more, with one less."""
+    events = fx.table(spark, folder, "events").withColumn("mark", F.col("event_id") % 7)
+    kind = F.col("event_type")
+    parts = [
+        (~kind.isin("click", "view", "error"), ["event_id", "user_id", "event_type", "value"]),
+        (kind == "click", [F.col("value").alias("VALUE"), "event_type", "event_id", "user_id"]),
+        (kind == "view", ["event_id", "mark", "user_id", "event_type", "value"]),
+        (kind == "error", ["user_id", "event_type", "event_id"]),
+    ]
+    for which, columns in parts:
+        events.where(which).select(*columns).write.mode("append").option("header", "true").csv(landing)
+
+
+@query
+def csv_by_name(spark, folder):
+    """Files with reordered, added and missing columns, in one batch."""
+    work = new_work_folder(spark, "by-name")
+    _deliveries(spark, folder, f"{work}/landing")
+    return read_csv(spark, f"{work}/landing", T.StructType.fromDDL(EVENT_FIELDS))
+
+
+@query
+def csv_by_name_stream(spark, folder):
+    """The same files as they arrive, with inferred types; columns no header has at first come to be inferred too."""
+    work = new_work_folder(spark, "by-name-stream")
+    _deliveries(spark, folder, f"{work}/landing")
+    found = infer_schema(spark, f"{work}/landing", "csv")
+    schema = merge_schema_hints(found, "event_id BIGINT, user_id BIGINT, mark BIGINT")
+    append_csv(spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", schema, max_files_per_trigger=_files(spark))
+    return spark.read.parquet(f"{work}/table").select("event_id", "user_id", "event_type", "value", "mark", RESCUED)
+
+
+@query
+def file_ledger(spark, folder):
+    """Files taken in once: one that is rewritten later is reported, and its rows are not read again."""
+    work = new_work_folder(spark, "ledger")
+    customers = fx.table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    for part in range(5):
+        rows = customers.where(F.col("c_custkey") % 5 == part).coalesce(1)
+        rows.write.option("header", "true").csv(f"{work}/landing/d{part}")
+    taken = (spark, f"{work}/landing", f"{work}/table", f"{work}/checkpoint", customers.schema)
+    append_csv(*taken, glob="*.csv")
+    again = customers.where("c_custkey % 5 = 3").withColumn("c_acctbal", F.col("c_acctbal") + 1000000).coalesce(1)
+    again.write.option("header", "true").csv(f"{work}/again")
+    new, old = (list_files(spark, f"{work}/{name}", "*.csv").first().path for name in ("again", "landing/d3"))
+    replace_file(spark, new, old)
+    ledger = append_csv(*taken, glob="*.csv")
+    files = ledger.compare(list_files(spark, f"{work}/landing", "*.csv"))
+    files = files.select(F.regexp_extract("path", r"/d(\d)/", 1).cast("long").alias("delivery"), "status")
+    table = spark.read.parquet(f"{work}/table").groupBy((F.col("c_custkey") % 5).alias("delivery"))
+    return files.join(table.agg(F.count("*").alias("customers"), F.max("c_acctbal").alias("most")), "delivery")
+
+
+@query
+def json_nested_rescue(spark, folder):
+    """Fields the schema has no place for, inside structs and inside lists of structs, in lines and in multi-line files."""
+    work = new_work_folder(spark, "nested")
+    events = fx.table(spark, folder, "events")
+    line = F.struct(
+        F.struct(F.col("event_id").alias("x"), F.col("user_id").alias("y")).alias("a"),
+        F.array(
+            F.struct(F.col("event_type").alias("k"), F.lit(None).cast("long").alias("z")),
+            F.struct(F.col("event_type").alias("k"), (F.col("event_id") % 5).alias("z")),
+        ).alias("items"),
+    )
+    listed = F.col("event_type") == "view"
+    events.where(~listed).select(F.to_json(line).alias("value")).write.text(f"{work}/lines")
+    groups = events.where(listed).groupBy((F.col("event_id") % 16).alias("g")).agg(F.collect_list(line).alias("all"))
+    whole = groups.select("g", F.to_json("all", {"pretty": "true"}).alias("value"))
+    whole.repartition("g").write.partitionBy("g").text(f"{work}/lists")
+    schema = T.StructType.fromDDL("a STRUCT<x: BIGINT>, items ARRAY<STRUCT<k: STRING>>")
+    both = read_json(spark, f"{work}/lines", schema).unionByName(read_json(spark, f"{work}/lists", schema, multiLine="true"))
+    return both.select(
+        F.col("a.x").alias("event_id"), F.size("items").alias("items"), F.col("items")[1]["k"].alias("kind"), F.col(RESCUED).alias("rescued")
     )
-    run_append(files, f"{work}/table", f"{work}/checkpoint")
-    return spark.read.parquet(f"{work}/table")
 
 
 @query
@@ -526,21 +612,22 @@ def late_columns(spark, folder):
 
 @query
 def schema_evolution(spark, folder):
-    """A later delivery brings a new column; the stream goes on with it, and earlier records read as
-    NULL in it."""
+    """A later delivery brings a new column, found in its files alone; the stream goes on with the grown schema, and
+    earlier records read as NULL in it."""
     work = new_work_folder(spark, "evolution")
     events = fx.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
     later = F.col("event_type").isin("click", "view")
 
-    def deliver(rows: DataFrame, known: T.StructType) -> T.StructType:
+    store = SchemaStore(spark, f"{work}/schema", "json")
+
+    def deliver(rows: DataFrame) -> None:
         rows.write.mode("append").json(f"{work}/landing")
-        schema = evolve_schema(known, infer_schema(spark, f"{work}/landing", "json"))
-        files = ingest_json(spark, f"{work}/landing", schema, rescue=False)
-        run_append(files, f"{work}/table", f"{work}/checkpoint")
-        return schema
+        store.grow(f"{work}/landing")
+        run_append(ingest_json(spark, f"{work}/landing", store.schema(), rescue=False), f"{work}/table", f"{work}/checkpoint")
 
-    first = deliver(events.where(~later).drop("props"), T.StructType())
-    return spark.read.schema(deliver(events.where(later), first)).parquet(f"{work}/table")
+    deliver(events.where(~later).drop("props"))
+    deliver(events.where(later))
+    return spark.read.schema(store.schema()).parquet(f"{work}/table")
 
 
 @query

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import expect_or_drop, observe_expectations
 from tidemark.operators.scd import fold_scd1, fold_scd2
 from tidemark.sinks.layout import write_json
-from tidemark.sources.files import ingest_csv, ingest_json, stream_table
+from tidemark.sources.files import ingest_json, stream_table
+from tidemark.sources.landing import append_csv
 from tidemark.sources.schemas import RESCUED, with_rescue
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
@@ -181,8 +182,7 @@ def test_append_stream_and_observed_rules(spark, tmp_path):
     source = spark.range(0, 100).selectExpr("CASE WHEN id % 4 = 0 THEN NULL ELSE id END AS id", "'w' AS word")
     source.write.option("header", "true").option("compression", "gzip").csv(f"{tmp_path}/in")
     spark.range(5).selectExpr("id", "'other' AS word").write.option("header", "true").csv(f"{tmp_path}/in/other")
-    stream = ingest_csv(spark, f"{tmp_path}/in", schema, glob="*.csv.gz", max_files_per_trigger=1)
-    run_append(stream, f"{tmp_path}/raw", f"{tmp_path}/cp1")
+    append_csv(spark, f"{tmp_path}/in", f"{tmp_path}/raw", f"{tmp_path}/cp1", schema, glob="*.csv.gz", max_files_per_trigger=1)
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 100
 
     rules = {"valid_id": "id IS NOT NULL"}

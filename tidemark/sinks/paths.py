@@ -63,3 +63,30 @@ def read_text(spark: SparkSession, path: str) -> str:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _at(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a text file, decompressed by its name's ending; None if the file is empty."""
+    hadoop_path, fs = _at(spark, path)
+    jvm = spark.sparkContext._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, encoding)).readLine()
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Put `source` in the place of `target`, which may be there."""
+    from_path, fs = _at(spark, source)
+    to_path, _ = _at(spark, target)
+    fs.delete(to_path, False)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"{source} could not be renamed to {target}")

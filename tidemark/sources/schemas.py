@@ -11,10 +11,16 @@ def infer_schema(
     spark: SparkSession, path: str, file_format: str, sampling_ratio: float = 1.0, **options: str
 ) -> T.StructType:
     """Column types found in the files now. A separate batch step: store the result (`schema.json()`)
-    and hand it to the stream. Lower `sampling_ratio` to read only part of a large landing folder."""
+    and hand it to the stream. CSV columns are those that any file's header names. Lower `sampling_ratio` to read only part of a large landing folder."""
     reader = spark.read.options(**options).option("samplingRatio", sampling_ratio)
+    if file_format == "csv" and options.get("header", "true") == "true":
+        from tidemark.sources.landing import infer_csv_schema, list_files
+
+        given = {name: value for name, value in options.items() if name != "pathGlobFilter"}
+        files = [row.path for row in list_files(spark, path, options.get("pathGlobFilter")).select("path").collect()]
+        return infer_csv_schema(spark, files, samplingRatio=sampling_ratio, **given)
     if file_format == "csv":
-        reader = reader.option("header", options.get("header", "true")).option("inferSchema", "true")
+        reader = reader.option("inferSchema", "true")
     return reader.format(file_format).load(path).schema
 
 
