@@ -160,6 +160,8 @@ ORACLES = {
     "trip_stream_medallion": _DAILY,
     "scd1": _SCD1,
     "stream_scd1": _SCD1,
+    "scd1_map_payload": f"SELECT id, event_type, props FROM ({_SCD1})",
+    "scd2_map_payload": f'SELECT id, event_type, props, "__START_AT", "__END_AT" FROM ({_SCD2_EVENTS})',
     "scd1_ignore_nulls": """
         SELECT id, event_type, value, props
         FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY operation_date DESC) AS rn FROM {sparse_filled})
@@ -215,6 +217,11 @@ ORACLES = {
         SELECT * FROM {contacts} WHERE country IN (SELECT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
                                                    WHERE s_acctbal < 0)""",
     "policy_masks": "SELECT * FROM {masked} WHERE country IN ('NATION_1', 'NATION_2', 'NATION_3')",
+    "policy_scope": """
+        SELECT m.customer_id, m.email_address, m.phone_number, c.full_name, 'main.gold.contacts' AS place
+        FROM {masked} m JOIN {contacts} c ON c.customer_id = m.customer_id
+        UNION ALL SELECT m.customer_id, c.email_address, m.phone_number, c.full_name, 'main.silver.contacts'
+        FROM {masked} m JOIN {contacts} c ON c.customer_id = m.customer_id""",
     "protection_audit": _AUDIT,
     "audit_summary": f"SELECT step, status, count(*) AS controls FROM ({_AUDIT}) GROUP BY 1, 2",
     "reconcile": _MATCH,

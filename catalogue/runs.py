@@ -130,6 +130,29 @@ def scd1(spark, folder):
     return fold_scd1(_clean(spark, folder), **FEED_KEYS)
 
 
+def _mapped(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed with its fields as the entries of one MAP, in an order that changes from event to event."""
+    feed = _clean(spark, folder)
+    one, two = (F.lit("kind"), F.col("event_type")), (F.lit("props"), F.col("props"))
+    ordered = F.when(F.col("event_type") == "click", F.create_map(*two, *one)).otherwise(F.create_map(*one, *two))
+    return feed.select("id", "operation", "operation_date", ordered.alias("fields"))
+
+
+@query
+def scd1_map_payload(spark, folder):
+    """Type 1 fold of events whose payload is a MAP."""
+    rows = fold_scd1(_mapped(spark, folder), **FEED_KEYS)
+    return rows.select("id", F.col("fields")["kind"].alias("event_type"), F.col("fields")["props"].alias("props"))
+
+
+@query
+def scd2_map_payload(spark, folder):
+    """Type 2 fold of events whose payload is a MAP: a version for every event."""
+    rows = fold_scd2(_mapped(spark, folder), **FEED_KEYS)
+    fields = [F.col("fields")["kind"].alias("event_type"), F.col("fields")["props"].alias("props")]
+    return rows.select("id", *fields, START_AT, END_AT)
+
+
 @query
 def scd1_ignore_nulls(spark, folder):
     return fold_scd1(_clean_sparse(spark, folder), ignore_null_updates=True, **FEED_KEYS)
@@ -313,6 +336,24 @@ def policy_masks(spark, folder):
     )
 
 
+@query
+def policy_scope(spark, folder):
+    """One policy holds for a whole catalog, one for a schema in it: of two tables with the same tags only one meets both."""
+    policies = [
+        protection.Policy("phones", "mask", ("pii_type", "phone"), "mask_phone", scope="main"),
+        protection.Policy("emails", "mask", ("pii_type", "email"), "mask_email", scope="main.gold"),
+        protection.Policy("names", "mask", ("pii_type", "name"), "mask_name", scope="other"),
+    ]
+    contacts = fx.contacts(spark, folder).select("customer_id", "email_address", "phone_number", "full_name")
+    tags = {c: customer_plan.COLUMN_TAGS[c] for c in contacts.columns if c in customer_plan.COLUMN_TAGS}
+
+    def seen(table: str) -> DataFrame:
+        rows = protection.apply_policies(contacts, customer_plan.TABLE_TAGS, tags, policies, ["analysts"], table=table)
+        return rows.withColumn("place", F.lit(table))
+
+    return seen("main.gold.contacts").unionByName(seen("main.silver.contacts"))
+
+
 def _audit(spark: SparkSession, folder: str) -> DataFrame:
     controls = [
         protection.Control("column_mask", name, f"MASK {name} WITH {mask}", mask=mask)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators.canonical import orderable, restored
 from tidemark.operators.common import col, others, require_columns
 
 
@@ -17,13 +18,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     task sends one.
     """
     require_columns(df, [*keys, *order_by], "latest_by_key")
+    df, kinds = orderable(df)
     order = [name for name in order_by if name not in keys]
     ranked = [*order, *others(df, keys, order)]
     if not ranked:
-        return df.select(*map(col, keys)).distinct()
+        return restored(df.select(*map(col, keys)).distinct(), kinds)
     top = df.groupBy(*map(col, keys)).agg(F.max(F.struct(*map(col, ranked))).alias("_top"))
     fields = {name: F.col("_top").getField(name).alias(name) for name in ranked}
-    return top.select(*[fields[name] if name in fields else col(name) for name in df.columns])
+    return restored(top.select(*[fields[name] if name in fields else col(name) for name in df.columns]), kinds)
 
 
 def dedupe_by_key(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators.canonical import orderable, restored
 from tidemark.operators.common import col, others, require_columns
 
 OLD, NEW = "_old", "_new"
@@ -39,6 +40,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     payload = others(new, keys)
     if sorted(payload) != sorted(others(old, keys)):
         raise ValueError("change_feed: both versions must have the same columns")
+    (old, _), (new, kinds) = orderable(old), orderable(new)
     paired = pair_by_key(old, new, keys, "change_feed")
     before, after = F.col(OLD), F.col(NEW)
     same = [before.getField(c).eqNullSafe(after.getField(c)) for c in payload]
@@ -54,7 +56,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .when(after.isNull(), F.array(image("delete", before)))
         .when(changed, F.array(image("update_preimage", before), image("update_postimage", after)))
     )
-    return paired.select(*map(col, keys), F.inline(images))
+    return restored(paired.select(*map(col, keys), F.inline(images)), kinds)
 
 
 def reconcile(
@@ -68,6 +70,7 @@ def reconcile(
     names = list(compare) if compare is not None else others(expected, keys)
     for side in (expected, found):
         require_columns(side, [*keys, *names], "reconcile")
+    (expected, kinds), (found, _) = orderable(expected), orderable(found)
 
     def tagged(side: DataFrame, wanted: int) -> DataFrame:
         return side.select(*map(col, [*keys, *names]), F.lit(wanted).alias("_wanted"))
@@ -89,7 +92,7 @@ def reconcile(
         .when(F.col("_differs"), "different")
         .otherwise("matched")
     )
-    return sides.select(*map(col, keys), "expected_rows", "found_rows", status.alias("status"))
+    return restored(sides.select(*map(col, keys), "expected_rows", "found_rows", status.alias("status")), kinds)
 
 
 def reconcile_summary(reconciled: DataFrame) -> DataFrame:

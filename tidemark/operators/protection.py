@@ -100,7 +100,8 @@ class Policy:
 
     `kind` is "mask" or "filter"; `when` is the (key, value) the table must carry; `match` the (key,
     value) the column must carry, any value if None. A filter policy on an ambiguous tag must name its
-    column in `on_column`.
+    column in `on_column`. `scope` names what it holds for: nothing (everywhere), a catalog, a schema in it or one table
+    (`main`, `main.gold`, `main.gold.customers`).
     """
 
     name: str
@@ -111,6 +112,16 @@ class Policy:
     to: Collection[str] = ()
     except_: Collection[str] = ()
     on_column: str | None = None
+    scope: str = ""
+
+    def covers(self, table: str | None) -> bool:
+        """Whether the full name of a table lies within the scope, name by name."""
+        if not self.scope:
+            return True
+        if table is None:
+            raise ValueError(f"policy {self.name} has the scope {self.scope}: name the table")
+        within, parts = self.scope.lower().split("."), table.lower().split(".")
+        return parts[: len(within)] == within
 
     def binds(self, groups: Collection[str], deny_by_default: bool) -> bool:
         caller = set(groups)
@@ -136,14 +147,17 @@ def resolve_policies(
     policies: Sequence[Policy],
     groups: Collection[str],
     deny_by_default: bool = True,
+    table: str | None = None,
 ) -> tuple[dict[str, Mask], list[str]]:
-    """(mask per column, columns to filter) for one caller on one table."""
+    """(mask per column, columns to filter) for one caller on one table, given by its full name if policies have scopes."""
     masks: dict[str, Mask] = {}
     owners: dict[str, str] = {}
     filters: list[str] = []
     for policy in policies:
         if policy.kind not in ("mask", "filter"):
             raise ValueError(f"policy {policy.name}: kind must be 'mask' or 'filter'")
+        if not policy.covers(table):
+            continue
         if policy.when and table_tags.get(policy.when[0]) != policy.when[1]:
             continue
         if not policy.binds(groups, deny_by_default):
@@ -177,11 +191,12 @@ def apply_policies(
     allowed_values: DataFrame | Collection[str] = (),
     governed_tags: Mapping[str, Collection[str]] | None = None,
     deny_by_default: bool = True,
+    table: str | None = None,
 ) -> DataFrame:
     """The table as this caller may see it: filtered on clear values first, then masked."""
     if governed_tags is not None:
         check_tags({"table": table_tags, **column_tags}, governed_tags)
-    masks, filters = resolve_policies(df.columns, table_tags, column_tags, policies, groups, deny_by_default)
+    masks, filters = resolve_policies(df.columns, table_tags, column_tags, policies, groups, deny_by_default, table)
     for column in filters:
         df = apply_row_filter(df, column, allowed_values)
     return apply_column_masks(df, masks, groups, ())

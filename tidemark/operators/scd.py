@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.canonical import orderable, restored
 from tidemark.operators.common import (
     DEL,
     END_AT,
@@ -113,8 +114,8 @@ def fold_scd1(
 ) -> DataFrame:
     """Latest state of every key that is not deleted. One shuffle, combined on the map side, so a key
     with most of the events costs no more than any other."""
-    events = prepare_events(changes, keys, sequence_by, delete_when, except_columns)
-    return finish_scd1(scd1_state(events, keys, ignore_null_updates), keys)
+    events, kinds = orderable(prepare_events(changes, keys, sequence_by, delete_when, except_columns))
+    return restored(finish_scd1(scd1_state(events, keys, ignore_null_updates), keys), kinds)
 
 
 # ---------------------------------------------------------------------------------------- type 2
@@ -158,9 +159,9 @@ def fold_scd2(
     extend the version before (`coalesce_unchanged` overrides this). Counts rows per key once to find
     keys over `hot_rows` (see `operators.skew`).
     """
-    events = prepare_events(changes, keys, sequence_by, delete_when, except_columns)
+    events, kinds = orderable(prepare_events(changes, keys, sequence_by, delete_when, except_columns))
     tracked = tracked_columns(payload_of(events, keys), track_history, track_history_except, coalesce_unchanged)
-    return fold_versions(events, keys, tracked, ignore_null_updates, hot_rows)
+    return restored(fold_versions(events, keys, tracked, ignore_null_updates, hot_rows), kinds)
 
 
 def fold_versions(
