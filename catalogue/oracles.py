@@ -288,6 +288,14 @@ ORACLES = {
     "schema_evolution": """
         SELECT event_id, user_id, event_type, value, CASE WHEN event_type IN ('click', 'view') THEN props END AS props
         FROM events""",
+    "family_metrics": """
+        SELECT 'users' AS name, 'valid_id' AS rule, count(id) AS passed, count(*) - count(id) AS failed FROM {feed} UNION ALL
+        SELECT 'users', 'valid_operation', count(operation), count(*) - count(operation) FROM {feed} UNION ALL
+        SELECT name, rule, count(*), 0 FROM orders, (VALUES ('orders'), ('late')) n (name),
+               (VALUES ('valid_id'), ('valid_operation')) r (rule) GROUP BY ALL""",
+    "dataset_properties": """
+        SELECT o_orderpriority, count(*) AS orders, 'gold' AS quality, 'sales' AS owner,
+               'Orders by priority; it''s counted' AS comment FROM orders GROUP BY o_orderpriority""",
     "clustered_write": "SELECT * FROM lineitem",
     "stream_current": f'SELECT * FROM ({_TRACK_TYPE}) WHERE "__END_AT" IS NULL',
     "batch_csv": "SELECT *, NULL::VARCHAR AS _rescued_data FROM supplier",

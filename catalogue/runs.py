@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -33,6 +34,7 @@ from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
 from tidemark.streaming.family import TableSpec, run_cdc_family
+from tidemark.streaming.family import family_metrics as family_metrics_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -499,6 +501,25 @@ def cdc_family(spark, folder):
     return result
 
 
+@query
+def family_metrics(spark, folder):
+    """Rules counted over all batches of every table found under the landing root; one appears before the second run."""
+    work = new_work_folder(spark, "metrics")
+    _write_feed(spark, folder, f"{work}/landing/users", 3)
+    orders = fx.table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("id"), F.lit("UPDATE").alias("operation"),
+        F.date_format("o_orderdate", f"{synthetic.EVENT_TIME_FORMAT}.SSSSSS").alias("operation_date"),
+    )
+    default = TableSpec(
+        "", sequence_by=_feed_time(), rules=feed_plan.FEED_RULES, schema_hints="id BIGINT", history=False, table_options={"buckets": 2}
+    )
+    for name in ("orders", "late"):
+        write_json(orders, f"{work}/landing/{name}", 2)
+        run_cdc_family(spark, f"{work}/landing", f"{work}/tables", default=default, max_files_per_trigger=2)
+    found = family_metrics_of(spark, f"{work}/tables")
+    return found.groupBy("name", "rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 @query
 def customer_stream_history(spark, folder):
     """Incremental customer variant: appended source -> streamed bronze -> streamed silver -> type 2."""
@@ -717,6 +738,20 @@ def clustered_write(spark, folder):
     return spark.read.parquet(f"{work}/lineitem")
 
 
+@query
+def dataset_properties(spark, folder):
+    """A table written with a layer, a comment and properties, which are read back from the catalog."""
+    name = f"priorities_{uuid.uuid4().hex}"
+    orders = fx.table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    spec = DatasetSpec(name, "gold", "Orders by priority; it's counted", f"{new_work_folder(spark, 'spec')}", properties={"owner.team": "sales"})
+    write_dataset(orders, spec)
+    told = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}
+    rows = spark.table(name).select("o_orderpriority", "orders")
+    comment = next(row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").collect() if row.col_name == "Comment")
+    values = {"quality": told["quality"], "owner": told["owner.team"], "comment": comment}
+    return rows.withColumns({column: F.lit(value) for column, value in values.items()})
+
+
 @query
 def generate_customer_changes(spark, folder):
     """Synthetic change events, one per event of the table, three to a customer."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.common import all_of, as_predicate
 
@@ -51,3 +51,9 @@ def observe_expectations(df: DataFrame, rules: Rules, observation: str | Observa
     """
     failures = [F.count_if(~as_predicate(condition)).alias(name) for name, condition in rules.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *failures)
+
+
+def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """(batch, rule, passed, failed) of every micro-batch that a stream has checked and written to `folder`."""
+    kinds = "rule string, passed long, failed long, batch long"
+    return spark.read.schema(kinds).parquet(folder).select("batch", "rule", "passed", "failed")

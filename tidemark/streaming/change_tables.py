@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.quality import Rules, expect_or_drop, expectation_metrics
 from tidemark.operators.common import DEL, END_AT, SEQ, START_AT, col, join_on
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.scd import (
@@ -308,15 +309,24 @@ class Scd2Table(_ChangeTable):
         return versions.select(*map(col, [c for c in versions.columns if c not in dates]), *dates)
 
 
-def run_changes(stream: DataFrame, tables: Sequence[_ChangeTable], checkpoint: str) -> None:
+def run_changes(
+    stream: DataFrame, tables: Sequence[_ChangeTable], checkpoint: str, rules: Rules | None = None, metrics: str | None = None
+) -> None:
     """Feed what is new at the source to all the tables, one micro-batch at a time, and return when it is
-    caught up. The batch is computed once and kept while the tables read it."""
+    caught up. The batch is computed once and kept while the tables read it.
+
+    Rows that fail one of `rules` are left out. With `metrics`, passed and failed rows of each rule are written to that
+    folder by batch number, so a batch that is replayed counts once (see `operators.quality.stored_metrics`).
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
+            if rules and metrics:
+                expectation_metrics(kept, rules).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
+            passed = expect_or_drop(kept, rules) if rules else kept
             for table in tables:
-                table.apply(kept, batch_id)
+                table.apply(passed, batch_id)
         finally:
             kept.unpersist()
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators.quality import Rules, expect_or_drop
-from tidemark.sinks.paths import child_folders
+from tidemark.operators.quality import Rules, stored_metrics
+from tidemark.sinks.paths import child_folders, exists
 from tidemark.sources.files import ingest_json, stream_table
 from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
@@ -43,7 +43,8 @@ def run_cdc_family(
     spark: SparkSession,
     landing: str,
     target: str,
-    specs: Sequence[TableSpec],
+    specs: Sequence[TableSpec] = (),
+    default: TableSpec | None = None,
     max_files_per_trigger: int | None = None,
     chains_at_once: int = 4,
 ) -> dict[str, dict[str, Scd1Table | Scd2Table]]:
@@ -51,8 +52,15 @@ def run_cdc_family(
 
     Each chain: new JSON files are appended to a raw table as they are (records that do not parse kept in
     `_rescued_data`); rows that pass the rules are applied to a type 1 and, if wanted, a type 2 table.
-    The chains share nothing, so several run side by side and fill the cluster between them.
+    The chains share nothing, so several run side by side and fill the cluster between them. Rows passing and failing
+    each rule are kept by batch (`family_metrics`).
+
+    With `default`, every folder found under `landing` that no spec names is a table too, read and applied like
+    `default`; one that appears later is found by the next run.
     """
+    if default is not None:
+        named = {spec.name for spec in specs}
+        specs = [*specs, *[replace(default, name=name) for name in list_tables(spark, landing) if name not in named]]
 
     def chain(spec: TableSpec) -> dict[str, Scd1Table | Scd2Table]:
         source, base = f"{landing}/{spec.name}", f"{target}/{spec.name}"
@@ -76,8 +84,17 @@ def run_cdc_family(
             tables["scd2"] = Scd2Table(
                 spark, f"{base}/scd2", track_history_except=spec.track_history_except, **common
             )
-        run_changes(expect_or_drop(stored, spec.rules), list(tables.values()), f"{base}/checkpoints/changes")
+        run_changes(stored, list(tables.values()), f"{base}/checkpoints/changes", spec.rules, f"{base}/metrics")
         return tables
 
     with ThreadPoolExecutor(chains_at_once) as pool:
         return dict(zip([spec.name for spec in specs], pool.map(chain, specs), strict=True))
+
+
+def family_metrics(spark: SparkSession, target: str) -> DataFrame:
+    """(name, batch, rule, passed, failed): what the rules of every table have let through and kept out so far."""
+    rows = spark.createDataFrame([], "name string, batch long, rule string, passed long, failed long")
+    for name in child_folders(spark, target):
+        if exists(spark, f"{target}/{name}/metrics"):
+            rows = rows.unionByName(stored_metrics(spark, f"{target}/{name}/metrics").withColumn("name", F.lit(name)))
+    return rows
