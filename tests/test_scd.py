@@ -6,8 +6,9 @@ from helpers import COMMON, random_events, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.common import END_AT, START_AT
-from tidemark.operators.scd import fold_scd1, fold_scd2, prepare_events
-from tidemark.operators.skew import add_segments, hot_keys, segment_splits, split_hot
+from tidemark.operators.position import with_position
+from tidemark.operators.scd import fold_scd1, fold_scd2, fold_versions, prepare_events
+from tidemark.operators.skew import SEGMENTS_A_LIMIT, add_segments, hot_keys, segment_cuts, split_hot
 
 EVENTS = [
     (1, "Ann", "n1", "APPEND", 10),
@@ -137,23 +138,54 @@ def test_null_keys_and_null_sequences(spark):
     assert rows(fold_scd2(df, track_history=["name"], hot_rows=5, **COMMON)) == [(None, "a", "x", 0, None)]
 
 
-def test_segments_bound_the_rows_of_a_hot_key(spark):
-    """Half of the rows have one key and a burst of close sequences; copies of one row do not matter."""
+@pytest.mark.parametrize("struct", [False, True], ids=["number", "struct"])
+def test_segments_bound_the_rows_of_a_hot_key(spark, struct):
+    """Half of the rows have one key and a burst of close sequences, or structs alike in their first field; copies of one
+    row do not matter."""
     df = spark.range(0, 20_000).selectExpr(
         "CASE WHEN id % 2 = 0 THEN NULL ELSE id END AS id",
         "CASE WHEN id < 18000 THEN 1000.0 + id / 1e6 ELSE id * 1e6 END AS seq",
         "'v' AS name",
     )
     df = df.unionByName(spark.range(0, 9_000).selectExpr("NULL AS id", "5.0 AS seq", "'copy' AS name"))
+    if struct:
+        df = df.withColumn("seq", F.struct(F.lit(1).alias("a"), F.col("seq").alias("b")))
     events = prepare_events(df, ["id"], "seq")
-    hot = hot_keys(events, ["id"], hot_rows=100)
-    assert [tuple(r) for r in hot.collect()] == [(None, 0)]
+    hot = hot_keys(events, ["id"], hot_rows=2000)
+    assert [tuple(r) for r in hot.collect()] == [((None,), 2000)]
     cold, numbered = split_hot(events, ["id"], hot)
     assert cold.count() == 10_000 and numbered.count() == 19_000
-    sizes = add_segments(numbered.distinct(), segment_splits(numbered)).groupBy("_segment").count().collect()
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert max(r["count"] for r in sizes) <= 19_000 / width * 1.1
-    assert hot_keys(cold, ["id"], hot_rows=1) is None
+    cuts = segment_cuts(numbered)
+    sizes = [r["count"] for r in add_segments(numbered.drop("_limit").distinct(), cuts).groupBy("_segment").count().collect()]
+    assert sum(sizes) == 10_001 and max(sizes) <= 2 * 2000 / SEGMENTS_A_LIMIT
+    assert hot_keys(cold, ["id"], hot_rows=1).count() == 0
+
+
+def jobs_of(spark, build):
+    """Number of jobs that `build` runs."""
+    group = f"jobs-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), result
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_runs_while_folds_and_positions_are_built(spark):
+    df = spark.createDataFrame(random_events(seed=7), SCHEMA)
+
+    def history():
+        return fold_scd2(df, track_history=["name"], hot_rows=10, **COMMON)
+
+    def positions():
+        return with_position(df, ["seq"])
+
+    def counted():
+        return df.count()
+
+    assert jobs_of(spark, history)[0] == 0 and jobs_of(spark, positions)[0] == 0
+    assert jobs_of(spark, counted)[0] > 0  # the count of jobs does see them
 
 
 def exchanges(df):
@@ -162,11 +194,17 @@ def exchanges(df):
 
 
 def test_scd2_shuffles_and_sorts_once(spark):
+    """Windows of a fold share one shuffle and one sort; without hot keys nothing else is left of the executed plan."""
+    df = spark.createDataFrame(EVENTS, SCHEMA)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = spark.createDataFrame(EVENTS, SCHEMA)
-        count, plan = exchanges(fold_scd2(df, track_history=["name"], **COMMON))
+        count, plan = exchanges(fold_versions(prepare_events(df, **COMMON), ["id"], ["name"], hot_rows=None))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert count == 1, plan
     assert plan.count("Sort [") == 1, plan
+    whole = fold_scd2(df, track_history=["name"], **COMMON)
+    whole.collect()
+    final = exchanges(whole)[1].split("Initial Plan")[0]
+    assert "Union" not in final and "Join" not in final, final
+    assert final.count("Sort [") == 1 and final.count("Window [") <= 4, final

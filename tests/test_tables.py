@@ -123,6 +123,10 @@ def test_positions_with_copies(spark):
     assert [r["_position"] for r in numbered] == list(range(1, 291))
     assert [r["id"] for r in numbered] == sorted(d[0] for d in data)
     assert with_position(df.where("id > 100"), ["id"]).count() == 0
+    many = spark.range(0, 400_000).selectExpr("IF(id < 250000, 7, id) AS id", "repeat('x', 200) AS wide")
+    held = with_position(many, ["wide"]).agg(F.min("_position"), F.max("_position"), F.countDistinct("_position")).first()
+    assert tuple(held) == (1, 400_000, 400_000)
+    assert with_position(many, ["id"]).where("id = 7").agg(F.min("_position"), F.max("_position")).first()[:] == (1, 250_000)
     left = spark.range(10).withColumnRenamed("id", "a")
     right = spark.range(100, 106).withColumnRenamed("id", "b")
     assert rows(zip_rows(left, right, ["a"], ["b"]).select("a", "b")) == [(i, 100 + i) for i in range(6)]

@@ -32,12 +32,13 @@ from tidemark.operators.common import (
 from tidemark.operators.skew import (
     HOT,
     HOT_ROWS,
+    LIMIT,
     SEGMENT,
     add_segments,
     hot_keys,
-    order_number,
+    require_order,
     restore_keys,
-    segment_splits,
+    segment_cuts,
     split_hot,
 )
 
@@ -60,7 +61,7 @@ def prepare_events(
         as_predicate(delete_when).alias(DEL),
         *map(col, payload),
     ).where(F.col(SEQ).isNotNull())
-    order_number(F.col(SEQ), events.schema[SEQ].dataType)  # refuses sequences that have no order
+    require_order(events.schema[SEQ].dataType)
     return events
 
 
@@ -156,8 +157,8 @@ def fold_scd2(
     """Version history of every key, with `__START_AT` and `__END_AT` (NULL while current).
 
     Without a tracking list every event is a version; with one, events that change no tracked column
-    extend the version before (`coalesce_unchanged` overrides this). Counts rows per key once to find
-    keys over `hot_rows` (see `operators.skew`).
+    extend the version before (`coalesce_unchanged` overrides this). Keys over
+    `hot_rows` are found and cut inside the plan (see `operators.skew`); no job runs before rows are asked for.
     """
     events, kinds = orderable(prepare_events(changes, keys, sequence_by, delete_when, except_columns))
     tracked = tracked_columns(payload_of(events, keys), track_history, track_history_except, coalesce_unchanged)
@@ -172,13 +173,13 @@ def fold_versions(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """`fold_scd2` on prepared events. `hot_rows=None` skips the count where no key can be big."""
-    hot = hot_keys(events, keys, hot_rows) if hot_rows is not None else None
-    if hot is None:
+    if hot_rows is None:
         return _versions_by_key(events, keys, tracked, ignore_null_updates)
+    hot = hot_keys(events, keys, hot_rows)
     cold, numbered = split_hot(events, keys, hot)
     segmented = _versions_by_segment(numbered, tracked, ignore_null_updates)
     return _versions_by_key(cold, keys, tracked, ignore_null_updates).unionByName(
-        restore_keys(segmented, keys, hot)
+        restore_keys(segmented, keys)
     )
 
 
@@ -207,17 +208,17 @@ def _versions_by_key(
 def _versions_by_segment(
     numbered: DataFrame, tracked: Sequence[str] | None, ignore_null_updates: bool
 ) -> DataFrame:
-    """The same history for hot keys, by key number. Windows run inside (key, segment); what they need from
+    """The same history for hot keys, by their structs. Windows run inside (key, segment); what they need from
     outside the segment - the event before its first, the event after its last, the latest opening before
     it - comes from a window over one summary row per segment."""
+    cuts, numbered = segment_cuts(numbered), numbered.drop(LIMIT)
     payload = payload_of(numbered, [])
-    splits = segment_splits(numbered)
     if ignore_null_updates:
-        rows = _fill_by_segment(add_segments(_merge_ties(numbered, [HOT], payload), splits), payload)
+        rows = _fill_by_segment(add_segments(_merge_ties(numbered, [HOT], payload), cuts), payload)
     else:
         # exact copies and other ties collapse before the shuffle
         top = numbered.groupBy(HOT, SEQ).agg(F.max(F.struct(DEL, *map(col, payload))).alias(TOP))
-        rows = add_segments(top.select(HOT, SEQ, f"{TOP}.*"), splits)
+        rows = add_segments(top.select(HOT, SEQ, f"{TOP}.*"), cuts)
 
     part = [HOT, SEGMENT]
     rows = _with_neighbours(rows, part, tracked)

@@ -3,7 +3,8 @@
 An analytic window puts all rows of a key in one task. For a key that holds a large share of a
 table that task never ends, so such keys are handled in two levels: windows inside
 (key, segment), then a window over one summary row per segment whose result is carried back into
-the segments. Everything decided on the driver is bounded by the number of shuffle partitions.
+the segments. All of it is part of the plan: nothing runs until rows are asked for, and where no key
+is that big adaptive execution drops the second level.
 """
 
 from __future__ import annotations
@@ -12,85 +13,72 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.common import SEQ, col, join_on
-from tidemark.operators.ranges import range_index
+from tidemark.operators.common import SEQ, col
+from tidemark.operators.ranges import cuts_of, place_among, sampled
 
 HOT = "_hot"
 SEGMENT = "_segment"
+LIMIT = "_limit"
 HOT_ROWS = 1_000_000
+#: Fewer keys than this can be hot, which bounds what is broadcast.
+MOST_HOT = 10_000
+#: Segments that `LIMIT` rows of a hot key are cut into, on average.
+SEGMENTS_A_LIMIT = 4
 
 
-def shuffle_width(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(`_hot`, `_limit`): keys, as structs, with more rows than `hot_rows` and than one in `MOST_HOT` of the table.
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more rows than both `hot_rows` and an even share of one shuffle partition.
-
-    The second condition bounds the answer: fewer keys than shuffle partitions can exceed it, so
-    the result is safe to broadcast at any table size. Reads the key columns only; counts combine
-    on the map side. Returns None when there is no such key.
+    The second condition bounds the answer: fewer than `MOST_HOT` keys can exceed it, so it is safe to broadcast at
+    any table size. Reads the key columns only; counts combine on the map side.
     """
     counts = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("_rows"))
-    total, biggest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(hot_rows, (total or 0) // shuffle_width(df))
-    if (biggest or 0) <= limit:
-        return None
-    found = counts.where(F.col("_rows") > limit).drop("_rows").collect()
-    fields = [df.schema[k] for k in keys]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField(HOT, T.IntegerType())])
-    rows = [(*row, number) for number, row in enumerate(sorted(found, key=repr))]
-    return df.sparkSession.createDataFrame(rows, schema)
+    share = F.floor(counts.agg(F.sum("_rows")).scalar() / MOST_HOT)
+    limit = F.greatest(F.lit(hot_rows).cast("long"), share).alias(LIMIT)
+    return counts.select(_whole_key(keys), "_rows", limit).where(F.col("_rows") > F.col(LIMIT)).drop("_rows")
+
+
+def _whole_key(keys: Sequence[str]) -> Column:
+    """The key as one value that is never NULL: structs whose fields are NULL alike are equal, in joins too."""
+    return F.struct(*map(col, keys)).alias(HOT)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys with the key's number `_hot` in place of the key)."""
-    cold = join_on(df, F.broadcast(hot), keys, "left_anti")
-    numbered = join_on(df, F.broadcast(hot), keys, "inner", [HOT])
-    return cold, numbered.select(HOT, *[col(c) for c in df.columns if c not in keys])
+    """(rows of ordinary keys, rows of hot keys with the struct `_hot`, and `_limit`, in place of the key)."""
+    rows = df.select("*", _whole_key(keys))
+    cold = rows.join(F.broadcast(hot.select(HOT)), HOT, "left_anti").drop(HOT)
+    return cold, rows.join(F.broadcast(hot), HOT).select(HOT, LIMIT, *[col(c) for c in df.columns if c not in keys])
 
 
-def restore_keys(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """The key in place of its number again."""
+def restore_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The columns of the key in place of its struct again."""
     rest = [c for c in rows.columns if c != HOT]
-    return rows.join(F.broadcast(hot), HOT).select(*map(col, keys), *map(col, rest))
+    return rows.select(*[F.col(HOT).getField(k).alias(k) for k in keys], *map(col, rest))
 
 
-def order_number(column: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases as `column` increases (equal values stay equal)."""
+def require_order(dtype: T.DataType) -> None:
+    """Refuse sequences whose order is not that of events."""
     if isinstance(dtype, T.StructType):
-        return order_number(column.getField(dtype[0].name), dtype[0].dataType)
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # NaN sorts behind every number, infinity included; it shares infinity's segment
-        return F.when(F.isnan(column), F.lit(float("inf"))).otherwise(column.cast("double"))
-    if isinstance(dtype, (T.NumericType, T.TimestampType)):
-        return column.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # field arithmetic, because a cast to TIMESTAMP is not monotonic around clock changes
-        clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.extract(F.lit("SECOND"), column)
-        return F.unix_date(column.cast("date")).cast("double") * 86400 + clock.cast("double")
-    raise TypeError(
-        f"a sequence of type {dtype.simpleString()} has no usable order: parse it to a timestamp or a "
-        "number first (text event times such as MM-dd-yyyy do not even sort by time)"
-    )
-
-
-def segment_splits(numbered: DataFrame) -> list[float]:
-    """Boundaries that cut the hot rows into equal-depth ranges of their sequence, one per shuffle partition.
-
-    A range holds about an even share of the hot rows, or rows of one single sequence value. The boundaries
-    are fixed on the driver, so recomputing a lost partition gives the same segments.
+        return require_order(dtype[0].dataType)
+    if not isinstance(dtype, (T.NumericType, T.TimestampType, T.DateType, T.TimestampNTZType)):
+        raise TypeError(
+            f"a sequence of type {dtype.simpleString()} has no usable order: parse it to a timestamp or a "
+            "number first (text event times such as MM-dd-yyyy do not even sort by time)"
+        )
+
+
+def segment_cuts(numbered: DataFrame) -> DataFrame:
+    """(`_hot`, `_cuts`): ascending sequences that cut each hot key into ranges of about equal depth.
+
+    A sample of the key's distinct sequences, chosen by their hash, places the cuts; whole sequences are compared,
+    so the fields of a struct all count. Copies and ties count once. Recomputing a lost partition gives the same
+    cuts, and results do not depend on them. All cuts together are fewer than `SEGMENTS_A_LIMIT * MOST_HOT`, about.
     """
-    number = order_number(F.col(SEQ), numbered.schema[SEQ].dataType)
-    width = shuffle_width(numbered)
-    steps = [i / width for i in range(1, width)]
-    cuts = numbered.agg(F.percentile_approx(number, steps, max(10_000, 10 * width))).first()[0] or []
-    return sorted(set(cuts))
+    share = F.lit(float(SEGMENTS_A_LIMIT)) / F.col(LIMIT)
+    return numbered.where(sampled(F.col(SEQ), share)).groupBy(HOT).agg(cuts_of(F.col(SEQ)).alias("_cuts"))
 
 
-def add_segments(rows: DataFrame, splits: list[float]) -> DataFrame:
+def add_segments(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """Number each row's segment. Once (key, sequence) is unique, no (key, segment) is big."""
-    number = order_number(F.col(SEQ), rows.schema[SEQ].dataType)
-    return rows.withColumn(SEGMENT, range_index(number, splits, "double"))
+    placed = rows.join(F.broadcast(cuts), HOT, "left")
+    return placed.withColumn(SEGMENT, place_among(F.col(SEQ), F.col("_cuts"))).drop("_cuts")
