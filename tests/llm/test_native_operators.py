@@ -143,34 +143,95 @@ def test_outliers_go_and_ordinary_texts_stay(spark, documents):
     assert not any(kept[i] for i, *_ in bad + few)
 
 
-def test_small_and_empty_tables_have_no_verdict(spark, documents):
-    text = " ".join(f"w{i}" for i in range(20))
-    rows = quality_rules.judge(documents([(1, text), (1, text), (2, "#" * 50 + text)]), ["doc_id"]).collect()
-    assert all(r.kept and not r.base_failed for r in rows) and len(rows) == 3
-    assert quality_rules.judge(documents([]), ["doc_id"]).count() == 0
+def plain_shapes(levels, points, share, prior_rows):
+    """The same search in numpy: starts, steps over the nearest bins, smallest determinant, then shrinkage by level."""
+    size, floors = quality_rules.SIZE, np.array([f for _, _, f in quality_rules.VECTOR])
+
+    def step(x, mean, cov):
+        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        bins = np.floor(np.log1p(d) * quality_rules.BINS)
+        edge = np.sort(bins)[int(np.ceil(share * len(x) - 1e-9)) - 1]
+        near = x[bins <= edge]
+        return near.mean(0), np.cov(near.T, bias=True).reshape(size, size) + np.diag(floors**2)
+
+    def quantile(values, q):
+        values = np.sort(np.floor(values * 200 + 0.5))
+        return values[int(np.ceil(q * len(values) - 1e-9)) - 1] / 200
+
+    def search(x):
+        middle = np.array([quantile(c, 0.5) for c in x.T])
+        scale = np.maximum([(quantile(c, 0.75) - quantile(c, 0.25)) / 1.349 for c in x.T], floors)
+        z = (x - middle) / scale
+        bent = [np.tanh(z), z / np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]]
+        shapes = [(middle, np.diag(scale**2))]
+        shapes += [(middle, np.outer(scale, scale) * (t.T @ t) / len(x) + np.diag(floors**2)) for t in bent]
+        for _ in range(2):
+            shapes = [step(x, *shape) for shape in shapes]
+        best = min(shapes, key=lambda s: np.linalg.slogdet(s[1])[1])
+        while np.linalg.slogdet((after := step(x, *best))[1])[1] < np.linalg.slogdet(best[1])[1] - quality_rules.SETTLED:
+            best = after
+        return best
+
+    inner = quality_rules.chi_square_quantile(share, size)
+    correction = share / quality_rules._chi_square(inner, size + 2)
+    found, names = {}, [levels[i] for i in range(len(levels))]
+    for level in (2, 1, 0):
+        for group in {n[level] for n in names}:
+            x = points[[n[level] == group for n in names]]
+            mean, cov = search(x)
+            parent = next((n[level + 1] for n in names if n[level] == group), None) if level < 2 else None
+            above = found[parent] if parent else (mean, np.diag((quality_rules.WIDE * floors) ** 2))
+            n, both = len(x), len(x) + prior_rows
+            middle = (n * mean + prior_rows * above[0]) / both
+            second = n * (correction * cov + np.outer(mean, mean)) + prior_rows * (above[1] + np.outer(*[above[0]] * 2))
+            found[group] = middle, second / both - np.outer(middle, middle)
+    return found
 
 
-def test_concentration_equals_plain_version(spark):
-    """One step over the nearest rows gives their mean, and a factor whose square inverts their covariance."""
+def test_shapes_equal_plain_version(spark):
+    """Groups from one row to hundreds, with a far cluster: means, covariances and so verdicts are those of numpy."""
     draw = np.random.default_rng(6)
-    size = quality_rules.SIZE
-    points = np.vstack([draw.normal(0, 1, (400, size)), draw.normal(9, 1, (60, size))])
-    table = spark.createDataFrame([("g", *map(float, p)) for p in points], ["group", *quality_rules.NAMES])
-    start = quality_rules._start(table)
-    row = quality_rules._concentrate(table, start, 0.75).first()
-    first = start.first()
-    factor = np.zeros((size, size))
-    for i, j in quality_rules.PAIRS:
-        factor[i, j] = first[f"f{i}_{j}"]
-    distance = (((points - [first[m] for m in quality_rules.MEANS]) @ factor.T) ** 2).sum(1)
-    bins = np.floor(np.log1p(distance) * quality_rules.BINS)
-    edge = np.sort(bins)[int(np.ceil(0.75 * len(points))) - 1]
-    near = points[bins <= edge]
-    assert [row[m] for m in quality_rules.MEANS] == pytest.approx(near.mean(0).tolist())
-    wanted = np.cov(near.T, bias=True) + np.diag([floor**2 for _, _, floor in quality_rules.VECTOR])
-    for i, j in quality_rules.PAIRS:
-        factor[i, j] = row[f"f{i}_{j}"]
-    assert factor.T @ factor @ wanted == pytest.approx(np.eye(size), abs=1e-6)
+    size, levels, parts = quality_rules.SIZE, [], []
+    for name, rows in [("a", 300), ("b", 60), ("c", 7), ("d", 1)]:
+        for lang in ("en", "zz") if rows > 7 else ("en",):
+            mixing_matrix = draw.normal(0, 0.4, (size, size)) + np.eye(size)
+            x = draw.normal(0, 1, (rows, size)) @ mixing_matrix + (3 if lang == "zz" else 0)
+            x[: rows // 6] += 12
+            parts.append(x)
+            levels += [[f"s{lang}{name}", f"l{lang}", "all"]] * rows
+    points = np.vstack(parts)
+    table = spark.createDataFrame([(n, *map(float, p)) for n, p in zip(levels, points)], ["levels", *quality_rules.NAMES])
+    wanted = plain_shapes(levels, points, 0.75, 50)
+    got = {r["group"]: r for r in quality_rules.group_shapes(table, 0.75, 50).collect()}
+    limit = quality_rules.chi_square_quantile(1 - 1e-6, size)
+    for group in {n[0] for n in levels}:
+        mean, cov = wanted[group]
+        assert [got[group][m] for m in quality_rules.MEANS] == pytest.approx(mean.tolist(), abs=1e-9)
+        assert [got[group][f"c{i}_{j}"] for i, j in quality_rules.PAIRS] == pytest.approx([cov[i, j] for i, j in quality_rules.PAIRS], abs=1e-7)
+        factor = np.zeros((size, size))
+        for i, j in quality_rules.PAIRS:
+            factor[i, j] = got[group][f"f{i}_{j}"]
+        x = points[[n[0] == group for n in levels]]
+        mine = (((x - mean) @ factor.T) ** 2).sum(1) <= limit
+        assert mine.tolist() == (np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean) <= limit).tolist()
+
+
+def test_one_more_row_changes_no_verdict(spark, documents):
+    """No size from which on another rule holds: the same outlier is rejected in tables of 40, 99 and 101 rows."""
+    draw = random.Random(12)
+    texts = [(i, prose(draw, 80)) for i in range(101)]
+    bad = (1000, " ".join(f"{w}###" for w in prose(draw, 80).split()))
+    for rows in (40, 99, 101):
+        kept = {r.doc_id: r.kept for r in quality_rules.judge(documents(texts[: rows - 1] + [bad]), ["doc_id"]).collect()}
+        assert not kept.pop(1000) and all(kept.values()) and len(kept) == rows - 1
+
+
+def test_small_and_empty_tables(spark, documents):
+    text = " ".join(f"w{i}" for i in range(20))
+    clash = dict(_words=1, _lines=2, carried=3, levels=4, group=5)
+    rows = quality_rules.judge(documents([(1, text), (1, text), (2, "x " + text)], **clash), ["doc_id", *clash]).collect()
+    assert all(r.kept and not r.base_failed and r.distance is not None and r["_words"] == 1 for r in rows) and len(rows) == 3
+    assert quality_rules.judge(documents([]), ["doc_id"]).count() == 0
 
 
 def test_chi_square_quantile():

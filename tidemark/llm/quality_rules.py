@@ -26,6 +26,8 @@ VECTOR = (
 )
 SIZE = len(VECTOR)
 BINS = 32  # bins of a distance for each unit of its logarithm
+WIDE = 3  # standard deviations of the prior of the whole table, in least ones
+SETTLED = 1e-6  # a step that lowers the logarithm of a determinant by less ends the search
 
 
 def _chi_square(x: float, degrees: int) -> float:
@@ -88,6 +90,8 @@ NAMES = [name for name, _, _ in VECTOR]
 PAIRS = [(i, j) for i in range(SIZE) for j in range(i + 1)]
 MEANS = [f"m{i}" for i in range(SIZE)]
 FACTORS = [f"f{i}_{j}" for i, j in PAIRS]
+COVARIANCE = [f"c{i}_{j}" for i, j in PAIRS]
+SHAPE = ["n", "log_det", *MEANS, *COVARIANCE, *FACTORS]
 
 
 def _distance() -> Column:
@@ -120,109 +124,190 @@ def _start(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Three first shapes a group (`start` 0 to 2): medians and quartiles without correlation, then around the medians the
+    products of the standardised values' hyperbolic tangents, and of their directions. Far values weigh little in each."""
+    first = stored(_start(vectors), "starts")
+    z = [(F.col(NAMES[i]) - F.col(MEANS[i])) * F.col(f"f{i}_{i}") for i in range(SIZE)]
+    length = F.greatest(F.sqrt(sum((v * v for v in z), F.lit(0.0))), F.lit(1e-9))
+    bent = {1: [F.tanh(v) for v in z], 2: [v / length for v in z]}
+    sums = (
+        vectors.join(first, "group")
+        .groupBy("group", *MEANS, *[f"f{i}_{i}" for i in range(SIZE)])
+        .agg(
+            F.count("*").alias("n"),
+            *[F.sum(v[i] * v[j]).alias(f"t{start}_{i}_{j}") for start, v in bent.items() for i, j in PAIRS],
+        )
+    )
+    scaled = lambda start, i, j: F.col(f"t{start}_{i}_{j}") / F.col(f"f{i}_{i}") / F.col(f"f{j}_{j}")
+    moments = [
+        F.struct(
+            F.lit(start).alias("start"),
+            *[(F.col("n") * F.col(MEANS[i])).alias(f"s{i}") for i in range(SIZE)],
+            *[(F.col("n") * F.col(MEANS[i]) * F.col(MEANS[j]) + scaled(start, i, j)).alias(f"p{i}_{j}") for i, j in PAIRS],
+        )
+        for start in bent
+    ]
+    both = sums.select("group", "n", F.explode(F.array(*moments)).alias("of")).select("group", "n", "of.*")
+    bent_shapes = _factored(both, ["group", "start"]).select("group", "start", *MEANS, *FACTORS)
+    return first.select("group", F.lit(0).alias("start"), *MEANS, *FACTORS).unionByName(bent_shapes)
+
+
 def _concentrate(vectors: DataFrame, shape: DataFrame, share: float) -> DataFrame:
     """One concentration step: mean and factor of the `share` of each group that lies nearest under `shape`.
 
-    Sums are taken by (group, bin of the distance) on the map side first, so that a group with most of the rows
+    Sums are taken by (group, start, bin of the distance) on the map side first, so that a group with most of the rows
     costs no task more than another; the nearest share is then a prefix of the bins.
     """
+    key = ["group", "start"]
     products = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"p{i}_{j}") for i, j in PAIRS]
     by_bin = (
-        vectors.join(shape, "group")
+        vectors.join(shape.select(*key, *MEANS, *FACTORS), "group")
         .withColumn("bin", F.floor(F.log1p(_distance()) * BINS))
-        .groupBy("group", "bin")
+        .groupBy(*key, "bin")
         .agg(F.count("*").alias("n"), *[F.sum(n).alias(f"s{i}") for i, n in enumerate(NAMES)], *products)
     )
-    by = Window.partitionBy("group")
+    by = Window.partitionBy(*key)
     before = F.coalesce(F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = ["n", *[f"s{i}" for i in range(SIZE)], *[f"p{i}_{j}" for i, j in PAIRS]]
     near = (
         by_bin.withColumn("inside", before < share * F.sum("n").over(by))
         .where("inside")
-        .groupBy("group")
+        .groupBy(*key)
         .agg(*[F.sum(name).alias(name) for name in sums])
     )
-    return _factored(near)
+    return _factored(near, key)
+
 
+def _factored(sums: DataFrame, key: list[str], floored: bool = True) -> DataFrame:
+    """Means, covariances, their determinant's logarithm and inverse Cholesky factors, from n, sums and sums of products.
 
-def _factored(sums: DataFrame) -> DataFrame:
-    """Means and inverse Cholesky factors from counts, sums and sums of products."""
-    table = sums.select("*", *[(F.col(f"s{i}") / F.col("n")).alias(MEANS[i]) for i in range(SIZE)])
-    floor = lambda i, j: VECTOR[i][2] ** 2 if i == j else 0.0
-    table = table.select(
+    `floored`: the least variances are added to those found, so that no covariance is singular.
+    """
+    least = [floor**2 for _, _, floor in VECTOR]
+    # one select whose columns refer to those before them, which is analysed once
+    steps = [f"s{i} / n AS m{i}" for i in range(SIZE)]
+    for i, j in PAIRS:
+        steps.append(f"p{i}_{j} / n - m{i} * m{j}" + (f" + {least[i]!r}D" if floored and i == j else "") + f" AS c{i}_{j}")
+    for i, j in PAIRS:
+        rest = " - ".join([f"c{i}_{j}", *[f"l{i}_{k} * l{j}_{k}" for k in range(j)]])
+        steps.append((f"sqrt(greatest({rest}, {least[i]!r}D))" if i == j else f"({rest}) / l{j}_{j}") + f" AS l{i}_{j}")
+    for i, j in PAIRS:
+        rest = " + ".join(f"l{i}_{k} * f{k}_{j}" for k in range(j, i))
+        steps.append((f"1 / l{i}_{i}" if i == j else f"-({rest}) / l{i}_{i}") + f" AS f{i}_{j}")
+    steps.append(" + ".join(f"2 * ln(l{i}_{i})" for i in range(SIZE)) + " AS log_det")
+    return sums.selectExpr(*key, "n", *steps).select(*key, *SHAPE)
+
+
+def _least(shapes: DataFrame) -> DataFrame:
+    """Of each group's shapes the one of smallest determinant, of equal ones that of the smaller `start`."""
+    whole = F.struct("start", *SHAPE)
+    return shapes.groupBy("group").agg(F.min_by(whole, F.struct("log_det", "start")).alias("best")).select("group", "best.*")
+
+
+def minimum_determinant(vectors: DataFrame, share: float, trial_steps: int = 2, most_steps: int = 30) -> DataFrame:
+    """Per group the mean and covariance of the `share` of its rows whose covariance has the smallest determinant found.
+
+    Every start takes `trial_steps` concentration steps; the one of smallest determinant goes on until no group's
+    determinant falls any more. Steps only ever lower it (up to the width of a bin, so a step that raises it is not
+    taken); `most_steps` is a guard.
+    """
+    shapes = stored(_starts(vectors), "starts")
+    for _ in range(trial_steps):
+        shapes = stored(_concentrate(vectors, shapes, share), "shapes")
+    best = _least(shapes)
+    for _ in range(most_steps):
+        best = stored(best, "shapes")
+        after = stored(_concentrate(vectors, best, share), "shapes")
+        before = best.select("group", F.col("log_det").alias("before"))
+        if after.join(before, "group").where(F.col("log_det") < F.col("before") - SETTLED).isEmpty():
+            break
+        best = _least(best.unionByName(after.withColumn("start", F.lit(-1))))
+    return best
+
+
+def _shrunk(own: DataFrame, parents: DataFrame, prior_rows: float, correction: float) -> DataFrame:
+    """Shapes of `own` (group, parent, rows and a shape) with `prior_rows` more rows that lie like their parent's.
+
+    The moments of the two together: a group of many rows keeps its own shape, one of few has nearly its parent's, and
+    nothing changes at any size in between.
+    """
+    up = {name: f"up_{name}" for name in (*MEANS, *COVARIANCE)}
+    above = parents.select(F.col("group").alias("parent"), *[F.col(name).alias(new) for name, new in up.items()])
+    both = own.join(above, "parent")
+    mean, over = lambda i: F.col(MEANS[i]), lambda i: F.col(up[MEANS[i]])
+    product = lambda i, j: (
+        F.col("rows") * (F.col(f"c{i}_{j}") * correction + mean(i) * mean(j))
+        + prior_rows * (F.col(up[f"c{i}_{j}"]) + over(i) * over(j))
+    )
+    moments = both.select(
         "group",
-        *MEANS,
-        *[
-            (F.col(f"p{i}_{j}") / F.col("n") - F.col(MEANS[i]) * F.col(MEANS[j]) + floor(i, j)).alias(f"c{i}_{j}")
-            for i, j in PAIRS
-        ],
+        (F.col("rows") + prior_rows).alias("n"),
+        *[(F.col("rows") * mean(i) + prior_rows * over(i)).alias(f"s{i}") for i in range(SIZE)],
+        *[product(i, j).alias(f"p{i}_{j}") for i, j in PAIRS],
     )
-    for i in range(SIZE):
-        for j in range(i + 1):
-            rest = F.col(f"c{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
-            entry = F.sqrt(F.greatest(rest, F.lit(floor(i, i)))) if i == j else rest / F.col(f"l{j}_{j}")
-            table = table.withColumn(f"l{i}_{j}", entry)
-    for i in range(SIZE):
-        table = table.withColumn(f"f{i}_{i}", 1 / F.col(f"l{i}_{i}"))
-        for j in range(i):
-            rest = sum((F.col(f"l{i}_{k}") * F.col(f"f{k}_{j}") for k in range(j, i)), F.lit(0.0))
-            table = table.withColumn(f"f{i}_{j}", -rest / F.col(f"l{i}_{i}"))
-    return table.select("group", *MEANS, *FACTORS)
-
-
-def judge(
-    docs: DataFrame,
-    carry: list[str],
-    share: float = 0.75,
-    steps: int = 4,
-    least_rows: int = 100,
-    tail: float = 1e-6,
-) -> DataFrame:
+    return _factored(moments, ["group"], floored=False)
+
+
+def group_shapes(vectors: DataFrame, share: float, prior_rows: float) -> DataFrame:
+    """Mean, covariance and factor of every group at its three levels: source in language, language, all.
+
+    `vectors` holds `levels` (the names of the three groups a row is in, inmost first) and the vector. Each group's
+    minimum covariance determinant, corrected for the share, is shrunk toward its language's by `prior_rows`, that one
+    toward the whole table's, and that toward a wide fixed one around its own mean.
+    """
+    each = vectors.select(F.explode("levels").alias("group"), *NAMES)
+    level = F.col("levels")
+    pairs = [(level[0], level[1]), (level[1], level[2]), (level[2], F.lit("top"))]
+    steps = F.array(*[F.struct(inner.alias("group"), outer.alias("parent")) for inner, outer in pairs])
+    above = vectors.select(F.posexplode(steps)).select("pos", "col.group", "col.parent")
+    tree = above.groupBy("pos", "group", "parent").agg(F.count("*").alias("rows"))
+    placed = stored(tree.join(minimum_determinant(each, share), "group"), "shapes")
+    correction = share / _chi_square(chi_square_quantile(share, SIZE), SIZE + 2)
+    wide = lambda i, j: F.lit((WIDE * VECTOR[i][2]) ** 2 if i == j else 0.0)
+    top = placed.where("pos = 2").select(F.lit("top").alias("group"), *MEANS, *[wide(i, j).alias(f"c{i}_{j}") for i, j in PAIRS])
+    found = top
+    for level in (2, 1, 0):
+        found = stored(_shrunk(placed.where(F.col("pos") == level), found, prior_rows, correction), "shapes")
+    return found
+
+
+def judge(docs: DataFrame, carry: list[str], share: float = 0.75, prior_rows: float = 50, tail: float = 1e-6) -> DataFrame:
     """The columns `carry` of every row, its counts, base_failed, distance and kept.
 
     base_failed: fewer than 10 words, or more than a fifth of the words in 5-word runs that occur again.
-    All other texts become vectors (`VECTOR`), grouped by language and source; groups of fewer than
-    `least_rows` are one group together, and without a verdict if that is small too. Each group's minimum
-    covariance determinant is approached by `steps` concentration steps over the `share` of its rows that lie
-    nearest, from medians and quartiles. A text is rejected if its squared Mahalanobis distance, with the
-    covariance corrected for the share, is beyond the chi-square quantile 1 - `tail`.
+    All other texts become vectors (`VECTOR`), grouped by language and source. Each group's minimum covariance
+    determinant over `share` of its rows is sought from several starts (`minimum_determinant`) and shrunk toward its
+    language's and the whole table's as if it had `prior_rows` more rows like those (`group_shapes`): every text gets a
+    verdict, by one rule at every size. A text is rejected if its squared Mahalanobis distance is beyond the chi-square
+    quantile 1 - `tail`.
 
     Null texts are empty and fail. Null languages and sources are values like others. Repeated rows count as
-    often as they occur. An empty table gives none. Columns of `docs` named like a result column are replaced.
+    often as they occur. An empty table gives none. Columns of `docs` named like a result column are replaced; no other
+    name clashes.
     """
     made = [*COUNTS, "n_upper", "n_lines", "base_failed", "distance", "kept"]
     carry = [name for name in carry if name not in made]
-    counted = with_counts(docs).select(
-        *[F.col(f"`{name}`") for name in carry],
-        F.to_json(F.struct(F.col("lang").alias("l"), F.col("source").alias("s"))).alias("_group"),
-        *COUNTS,
-        "n_upper",
-        "n_lines",
+    json = lambda *parts: F.to_json(F.struct(*parts))
+    lang, source = F.col("lang").alias("l"), F.col("source").alias("s")
+    own, wider = F.concat(F.lit("s"), json(lang, source)), F.concat(F.lit("l"), json(lang))
+    packed = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in carry]).alias("carried"), "text", F.array(own, wider, F.lit("all")).alias("levels")
     )
+    counted = with_counts(packed).select("carried", "levels", *COUNTS, "n_upper", "n_lines")
     table = stored(counted, "counts").withColumn(
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     )
-    good = table.where("NOT base_failed")
-    sizes = good.groupBy("_group").agg(F.count("*").alias("n"))
-    pooled = F.when(F.col("n") >= least_rows, F.col("_group")).otherwise(F.lit("pooled"))
-    groups = sizes.withColumn("group", pooled)
-    groups = groups.select("_group", "group", F.sum("n").over(Window.partitionBy("group")).alias("n"))
-    groups = stored(groups.where(F.col("n") >= least_rows).select("_group", "group"), "groups")
     vector = [F.expr(formula).alias(name) for name, formula, _ in VECTOR]
-    vectors = good.select("_group", *vector).join(groups, "_group").select("group", *NAMES)
-    shape = _start(vectors)
-    for _ in range(steps):
-        shape = stored(_concentrate(vectors, shape, share), "shapes")
-    inner = chi_square_quantile(share, SIZE)
-    correction = share / _chi_square(inner, SIZE + 2)
+    shapes = group_shapes(table.where("NOT base_failed").select("levels", *vector), share, prior_rows)
     limit = chi_square_quantile(1 - tail, SIZE)
-    placed = groups.join(shape, "group").drop("group")
     vectored = table.select("*", *[F.when(~F.col("base_failed"), F.expr(formula)).alias(name) for name, formula, _ in VECTOR])
     return (
-        vectored.join(placed, "_group", "left")
-        .withColumn("distance", _distance() / correction)
+        vectored.withColumn("group", F.col("levels")[0])
+        .join(shapes.select("group", *MEANS, *FACTORS), "group", "left")
+        .withColumn("distance", _distance())
         .withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit))
-        .select(*[F.col(f"`{name}`") for name in carry], *COUNTS, "base_failed", "distance", "kept")
+        .select(*[F.col("carried").getField(name).alias(name) for name in carry], *COUNTS, "base_failed", "distance", "kept")
     )
 
 
