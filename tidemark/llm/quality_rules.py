@@ -27,6 +27,7 @@ VECTOR = (
 SIZE = len(VECTOR)
 BINS = 32  # bins of a distance for each unit of its logarithm
 WIDE = 3  # standard deviations of the prior of the whole table, in least ones
+SHAPE_FILES = 8
 SETTLED = 1e-6  # a step that lowers the logarithm of a determinant by less ends the search
 
 
@@ -127,7 +128,7 @@ def _start(vectors: DataFrame) -> DataFrame:
 def _starts(vectors: DataFrame) -> DataFrame:
     """Three first shapes a group (`start` 0 to 2): medians and quartiles without correlation, then around the medians the
     products of the standardised values' hyperbolic tangents, and of their directions. Far values weigh little in each."""
-    first = stored(_start(vectors), "starts")
+    first = _kept_small(_start(vectors))
     z = [(F.col(NAMES[i]) - F.col(MEANS[i])) * F.col(f"f{i}_{i}") for i in range(SIZE)]
     length = F.greatest(F.sqrt(sum((v * v for v in z), F.lit(0.0))), F.lit(1e-9))
     bent = {1: [F.tanh(v) for v in z], 2: [v / length for v in z]}
@@ -199,6 +200,12 @@ def _factored(sums: DataFrame, key: list[str], floored: bool = True) -> DataFram
     return sums.selectExpr(*key, "n", *steps).select(*key, *SHAPE)
 
 
+def _kept_small(shapes: DataFrame) -> DataFrame:
+    """Shapes (one row per group and start), stored in a few files, so that their size stays that of their rows and Spark
+    need not deal the vectors by group to meet them."""
+    return stored(shapes.repartition(SHAPE_FILES), "shapes")
+
+
 def _least(shapes: DataFrame) -> DataFrame:
     """Of each group's shapes the one of smallest determinant, of equal ones that of the smaller `start`."""
     whole = F.struct("start", *SHAPE)
@@ -212,13 +219,13 @@ def minimum_determinant(vectors: DataFrame, share: float, trial_steps: int = 2,
     determinant falls any more. Steps only ever lower it (up to the width of a bin, so a step that raises it is not
     taken); `most_steps` is a guard.
     """
-    shapes = stored(_starts(vectors), "starts")
+    shapes = _kept_small(_starts(vectors))
     for _ in range(trial_steps):
-        shapes = stored(_concentrate(vectors, shapes, share), "shapes")
+        shapes = _kept_small(_concentrate(vectors, shapes, share))
     best = _least(shapes)
     for _ in range(most_steps):
-        best = stored(best, "shapes")
-        after = stored(_concentrate(vectors, best, share), "shapes")
+        best = _kept_small(best)
+        after = _kept_small(_concentrate(vectors, best, share))
         before = best.select("group", F.col("log_det").alias("before"))
         if after.join(before, "group").where(F.col("log_det") < F.col("before") - SETTLED).isEmpty():
             break
