@@ -51,6 +51,14 @@ def test_order_marks_and_odd_rows(spark):
         chat_format.Template({}, chat_format.Turn("((", "))", False), "]").marks()
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, 0, "user", "u"), (None, 0, "user", "u"), (None, 1, "assistant", "a"), (1, 0, "user", "u"), (1, 1, "assistant", "a")]
+    found = chat_format.format_conversations(spark.createDataFrame(rows, TURNS)).collect()
+    assert sorted((r.conv_id or 0, len(r.segments), r.valid) for r in found) == [(0, 3, False), (0, 3, True), (0, 3, True), (1, 6, True)]
+    lone = spark.createDataFrame([(None, "user", "u", "c")], "conv_id long, role string, text string, turn string")
+    assert [r.formatted for r in chat_format.format_conversations(lone).collect()] == ["[INST] u [/INST]"]
+
+
 # mixing
 
 
@@ -102,6 +110,18 @@ def test_mix_emits_rate_copies(spark, documents):
     assert again == {(r.doc_id, r.text): r.copies for r in held}
 
 
+def test_mix_keeps_columns_of_any_name(spark, documents):
+    rows = [(i, "w " * (i % 9 + 1), "en", "ab"[i % 2]) for i in range(100)]
+    plain = documents(rows)
+    clashing = plain.selectExpr("*", "doc_id AS size", "doc_id AS _size", "'t' AS Target", "'o' AS _of", "'c' AS _copy", "7 AS copies", "1 AS `a.b`")
+    mixed = mixing.mix(clashing)
+    assert mixed.columns == clashing.columns
+    found = mixed.collect()
+    assert all((r.size, r._size, r.Target, r._of, r._copy, r.copies) == (r.doc_id, r.doc_id, "t", "o", "c", 7) for r in found)
+    assert Counter(r.doc_id for r in found) == Counter(r.doc_id for r in mixing.mix(plain).collect())
+    assert {r._of for r in mixing.repetitions(clashing).collect()} == {"o"}
+
+
 # quality rules
 
 
@@ -371,6 +391,19 @@ def test_accident_bounds_the_binomial_tail(spark):
         assert k > n * share or bound == 0
 
 
+def test_sanitise_keeps_columns_of_any_name(spark, documents):
+    rows = [(1, "write to a@b.cd now"), (2, "nothing"), (3, None)]
+    names = ["email", "IP", "term_removed", "_email", "_text", "_removed", "_generalised", "_spans", "term", "start"]
+    docs = documents(rows).selectExpr("*", *[f"'own' AS {name}" for name in names])
+    clean = private_terms.sanitise(docs)
+    assert clean.columns == docs.columns
+    found = clean.collect()
+    assert sorted((r.doc_id, r.text) for r in found if r.text) == [(1, "write to [email] now"), (2, "nothing")]
+    assert {r[name] for r in found for name in names} == {"own"}
+    spans = {r.doc_id: r for r in private_terms.find(docs).collect()}
+    assert [(s.start, s.end) for s in spans[1].email] == [(9, 15)] and spans[1]._text == spans[1]._spans == "own"
+
+
 def test_sanitise_odd_tables(spark, documents):
     rows = [(1, None), (2, ""), (2, ""), (3, "+1 (555) 123-4567 and 4111111111111111"), (None, "a@b.cd a@b.cd")]
     clean = private_terms.sanitise(documents(rows))

@@ -3,17 +3,20 @@
 import base64
 import hashlib
 import io
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import byte_bpe, importance, token_planes, warc, winnowing
+from tidemark.llm import byte_bpe, importance, text_arrays, token_planes, warc, winnowing
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -198,6 +201,14 @@ def test_warc_round_trip(spark):
     assert warc.read_warc(warc.write_warc(pages.limit(0))).count() == 0
 
 
+def test_warc_keeps_any_url(spark):
+    urls = ["http://a/" + "x" * 3_000_000, "http://a/ b\tc\r\nWARC-Type: x\r\n\r\n", " lead\u2028 ", "http://a/%20%0D", "é𝒳", "", None]
+    pages = spark.createDataFrame([(i, url, "p") for i, url in enumerate(urls)], PAGES)
+    found = {r.page_id: r for r in warc.read_warc(warc.write_warc(pages)).collect()}
+    assert [found[i].url for i in range(len(urls))] == [url or "" for url in urls]
+    assert {r.record_type for r in found.values()} == {"response", "revisit"}
+
+
 def test_warc_reader_verifies_and_reads_forward():
     digest = warc.base32_sha1(hashlib.sha1(b"hello").digest())
     good = warc.record(1, "http://x", b"hello", digest, None)
@@ -238,6 +249,61 @@ def test_resample_takes_the_largest_keys(spark, documents):
     assert importance.resample(docs, labels.limit(0)).count() == 92
 
 
+def plain_buckets(text):
+    """Buckets of a text's words and word pairs, in plain integers."""
+    whole = (1 << 64) - 1
+
+    def spread(value):
+        value = (value ^ (value >> 30)) * 0xBF58476D1CE4E5B9 & whole
+        value = (value ^ (value >> 27)) * 0x94D049BB133111EB & whole
+        return value ^ (value >> 31)
+
+    def word(data):
+        if len(data) > 64:
+            return xxhash.xxh3_64_intdigest(data)
+        return spread(sum((b + 1) * pow(text_arrays._BASE, i, 1 << 64) for i, b in enumerate(data)) & whole)
+
+    def pair(first, second):
+        total = 2
+        for h in (first, second):
+            total = (total ^ h) * 0x9FB21C651E98DF25 & whole
+            total ^= total >> 29
+        return spread(total)
+
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = [word(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", low)]
+    return [h % importance.BUCKETS for h in [*words, *map(pair, words, words[1:])]]
+
+
+def test_weights_equal_plain_version(spark, documents):
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice(["the", "The", "of", "río", "$$", "x" * 70, "𝒳"]) for _ in range(draw.randrange(40)))) for i in range(80)]
+    rows += [(200, None), (201, " \n"), (3, "a second text"), (None, "the of")]
+    labels = [(i, i % 2) for i in range(30)] + [(1, 0), (5, 1), (200, 1), (None, 1), (7, None)]
+    quality = {}
+    for doc_id, good in labels:
+        if doc_id is not None and good is not None:
+            quality[doc_id] = min(good, quality.get(doc_id, 1))
+    raw, target = np.ones(importance.BUCKETS), np.ones(importance.BUCKETS)
+    for doc_id, text in rows:
+        for bucket in plain_buckets(text):
+            raw[bucket] += 1
+            target[bucket] += quality.get(doc_id, 0)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+
+    def noise(doc_id):
+        digits = hashlib.md5(f"resample|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:12]
+        return -math.log(-math.log((int(digits, 16) + 0.5) / (1 << 48)))
+
+    table = spark.createDataFrame(labels, "doc_id long, quality int").repartition(3)
+    found = sorted((r.doc_id or -1, r.log_weight, r.gumbel_key) for r in importance.resample(documents(rows), table, share=1.0).collect())
+    wanted = sorted((i or (-1 if i is None else 0), sum(ratio[b] for b in plain_buckets(t)), i) for i, t in rows[1:])
+    wanted = [(i, weight, weight + noise(whole)) for i, weight, whole in wanted]
+    assert [r for r in found if r[0] > 0] == [pytest.approx(r) for r in wanted if r[0] > 0]
+    _, share = importance.gram_ratios(documents(rows), table, 20_000)
+    assert share == pytest.approx(sum(quality.values()) / len(quality))
+
+
 def test_equal_keys_are_drawn_by_doc_id(spark, documents, monkeypatch):
     monkeypatch.setattr(importance, "draw", lambda seed, *parts: F.lit(0.5))
     docs = documents([(i, "same text") for i in range(50)])

@@ -94,8 +94,9 @@ def format_conversations(conversations: DataFrame, template: Template = INSTRUCT
     loss, and the escaped texts, which carry their role's. `valid` tells whether the roles follow the template's
     order; a conversation that breaks it is formatted all the same, so that nothing is lost unseen.
 
-    Null texts and null roles are ''. Rows with a null conv_id are one conversation. Repeated rows are turns of
-    their own. Other columns are dropped. A conversation becomes one value by definition, so one task holds it.
+    Null texts and null roles are ''. A row with a null conv_id belongs to no conversation that could be told: each is
+    one of its own, of one turn, however many there are. Repeated rows are turns of their own. Other columns are
+    dropped. A conversation becomes one value by definition, so one task holds it.
     """
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     known = role.isin(*template.turns)
@@ -112,7 +113,8 @@ def format_conversations(conversations: DataFrame, template: Template = INSTRUCT
             _pick(role, template, lambda t: t.loss).alias("loss"),
         ).alias("t"),
     )
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    grouped = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    grouped = grouped.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array("t").alias("turns")))
     moves = F.create_map(
         *[
             F.lit(part)
@@ -201,7 +203,8 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), sized AS (
-  SELECT *, length(text) + len(regexp_extract_all(text,
+  SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER (PARTITION BY conv_id IS NULL) END AS lone,
+    length(text) + len(regexp_extract_all(text,
       '[\[<]\\*(SYS\]|/SYS\]|INST\]|/INST\]|OUT\]|/OUT\]|/s>|s>|ROLE\]|/ROLE\]|TEXT\])'))
     + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 10
       ELSE 15 + length(role) + 8 + len(regexp_extract_all(role,
@@ -213,7 +216,7 @@ WITH turns AS (
     coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learned,
     string_agg(substr(role, 1, 1), '' ORDER BY turn NULLS FIRST, role, text) AS letters,
     bool_and(role IN ('system', 'user', 'assistant')) AS known
-  FROM sized GROUP BY conv_id
+  FROM sized GROUP BY conv_id, lone
 )
 SELECT conv_id, n_turns, sha256(turned) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
   formatted_chars, known AND regexp_full_match(letters, 's?(ua)*u?') AND letters NOT IN ('', 's') AS valid

@@ -68,9 +68,10 @@ def gram_ratios(docs: DataFrame, labels: DataFrame, most_labels: int) -> tuple[n
 
     The corpus counts are sums over all documents. The target is the text of labelled documents of quality 1
     among the `most_labels` labels of smallest hash, a bounded sample that every task can hold. Each task adds
-    up `BUCKETS` numbers; the driver receives as many.
+    up `BUCKETS` numbers; the driver receives as many. A document labelled more than once has its least quality.
     """
-    sample = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality").dropDuplicates(["doc_id"])
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    sample = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
     share = sample.agg(F.coalesce(F.avg("quality"), F.lit(1.0))).first()[0]
     target = sample.where("quality = 1").select(F.col("doc_id").alias("_labelled"))

@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.llm.names import set_aside, unused
+
 WORD = r"[^\x20\x09-\x0D]+"
 DRAW_DIGITS = 12  # hexadecimal digits of a draw: 48 bits
+MADE = ("size", "source_size", "target", "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -59,22 +62,26 @@ def repetitions(
     seeded by its doc_id, is below the rest of the rate. Draws depend on nothing else, so reruns agree.
 
     The size of a null or blank text is 0. Sources of size 0 have target 0 and no copies. Rows that repeat a doc_id
-    draw alike. A null doc_id draws as ''. Columns named size, source_size, target or copies are replaced.
+    draw alike. A null doc_id draws as ''. Columns named size, source_size, target or copies are replaced; no other
+    name clashes.
     """
-    docs = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count(F.col("text")))
+    docs = docs.drop(*MADE).withColumn("size", word_count(F.col("text")))
+    of = unused(docs.columns, "_of")
     targets = source_targets(docs.select(F.col("source").cast("string").alias("source"), "size"), weights, most_repeats)
-    targets = targets.withColumnRenamed("source", "_of")
+    targets = targets.withColumnRenamed("source", of)
     # a source table small enough for the session's limit is broadcast by Spark; else its hot keys are split by AQE
-    joined = docs.join(targets, F.col("source").cast("string").eqNullSafe(F.col("_of"))).drop("_of")
+    joined = docs.join(targets, F.col("source").cast("string").eqNullSafe(F.col(of))).drop(of)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     more = (draw(seed, F.col("doc_id")) < rate - F.floor(rate)).cast("int")
     return joined.withColumn("copies", (F.floor(rate) + more).cast("int"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as often as `repetitions` holds it, with the columns of `docs`."""
+    """The mix itself: every document as often as `repetitions` holds it, with the columns of `docs` as they were."""
+    docs, back = set_aside(docs, MADE)
     held = repetitions(docs, **options).where("copies > 0")
-    return held.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    copy = unused(held.columns, "_copy")
+    return held.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*back)
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm.names import set_aside, unused
 from tidemark.llm.shared_files import stored
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -221,9 +222,10 @@ def find(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Frequencies count rows, so copies of a document count as often as they occur: run this behind a
     de-duplication. Null texts are empty. An empty table gives none. Columns of `docs` named like a result
-    column are replaced.
+    column are replaced; no other name clashes.
     """
     docs = docs.drop(*PATTERNS, *TERM_KINDS)
+    row, *sets = [unused(docs.columns, name) for name in ("_text", "_removed", "_generalised")]
     texts = docs.select(F.col("text").cast("string").alias("text"))
     revealing = stored(
         disclosing_terms(texts, limits).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "revealing"
@@ -232,22 +234,22 @@ def find(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     remove = F.col("disclosure") >= limits.remove
     hits = (
-        texts.select(key.alias("_text"), F.explode(_terms(F.col("text"))).alias("term"))
+        texts.select(key.alias(row), F.explode(_terms(F.col("text"))).alias("term"))
         .join(revealing, "term")
-        .groupBy("_text")
+        .groupBy(row)
         .agg(
-            F.collect_set(F.when(remove, F.col("term"))).alias("_removed"),
-            F.collect_set(F.when(~remove, F.col("term"))).alias("_generalised"),
+            F.collect_set(F.when(remove, F.col("term"))).alias(sets[0]),
+            F.collect_set(F.when(~remove, F.col("term"))).alias(sets[1]),
         )
     )
-    found = with_base_spans(docs).withColumn("_text", key).join(stored(hits, "hits"), "_text", "left")
+    found = with_base_spans(docs).withColumn(row, key).join(stored(hits, "hits"), row, "left")
     whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
     outside = lambda s: ~F.exists(_base(), lambda b: (b.start < s.end) & (s.start < b.end))
-    for name, terms in zip(TERM_KINDS, (F.col("_removed"), F.col("_generalised")), strict=True):
+    for name, terms in zip(TERM_KINDS, map(F.col, sets), strict=True):
         spans = _term_spans(whole, lambda word, terms=terms: F.array_contains(terms, F.lower(word)))
         spans = F.when(F.size(terms) > 0, F.filter(spans, outside)).otherwise(F.array().cast(SPAN))
         found = found.withColumn(name, spans)
-    return found.drop("_text", "_removed", "_generalised")
+    return found.drop(row, *sets)
 
 
 def listed(kinds: tuple[str, ...]) -> Column:
@@ -258,8 +260,11 @@ def listed(kinds: tuple[str, ...]) -> Column:
 
 def sanitise(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """`docs` with all spans of `find` replaced in text: base spans by their kind, generalised terms by [term],
-    removed terms by nothing. Spans that overlap are replaced as one, by the name of the first. Other columns stay.
+    removed terms by nothing. Spans that overlap are replaced as one, by the name of the first. Other columns stay,
+    whatever their names.
     """
+    docs, back = set_aside(docs, [*PATTERNS, *TERM_KINDS])
+    at = unused([*docs.columns, *PATTERNS, *TERM_KINDS], "_spans")
     names = {**{kind: f"[{kind}]" for kind in PATTERNS}, "term_removed": "", "term_generalised": "[term]"}
     text = F.col("text")
 
@@ -278,9 +283,9 @@ def sanitise(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     ended = lambda acc: F.concat(F.array_join(acc.parts, ""), F.substring(text, acc.at + 1, F.length(text)))
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, replace, ended)).otherwise(text)
-    found = find(docs, limits).withColumn("_spans", F.array_sort(spans)).withColumn("text", clean)
-    return found.select(*docs.columns)
+    clean = F.when(F.size(at) > 0, F.aggregate(at, start, replace, ended)).otherwise(text)
+    found = find(docs, limits).withColumn(at, F.array_sort(spans)).withColumn("text", clean)
+    return found.select(*back)
 
 
 def op6_private_terms(spark: SparkSession, folder: str) -> DataFrame:

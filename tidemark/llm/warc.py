@@ -7,6 +7,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,7 +21,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 SALTS = 64
 CHUNK = 1 << 16
-LONGEST_HEADER = 1 << 20
+WHOLE_URL = "X-Page-URL"  # base64 of a URL that does not go into a header line as it is
 
 
 class WarcError(ValueError):
@@ -31,6 +32,13 @@ def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
+def _target(url: str) -> list[tuple[str, str]]:
+    """Header fields for a URL: white space and control characters percent-encoded, then beside it the URL as given."""
+    plain = "".join(c if c.isprintable() and not c.isspace() else quote(c) for c in url)
+    whole = [] if plain == url else [(WHOLE_URL, base64.b64encode(url.encode()).decode())]
+    return [("WARC-Target-URI", plain), *whole]
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """A response record, or a revisit of page `refers_to`, whose block ends where the payload would begin."""
     name = "" if page_id is None else page_id
@@ -40,7 +48,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         ("WARC-Type", "response" if refers_to is None else "revisit"),
         ("WARC-Record-ID", f"<urn:x-page:{name}>"),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", " ".join((url or "").split())),
+        *_target(url or ""),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Block-Digest", f"sha1:{base32_sha1(hashlib.sha1(block).digest())}"),
         ("Content-Type", "application/http;msgtype=response"),
@@ -77,12 +85,18 @@ class _Member:
                 return True
         return False
 
-    def until(self, mark: bytes, most: int) -> bytes:
-        while mark not in self.held:
-            if len(self.held) > most or not self._more():
+    def until(self, mark: bytes) -> bytes:
+        """What stands before `mark`, of any length; nothing is searched twice."""
+        found, self.held = bytearray(self.held), b""
+        searched = 0
+        while (at := found.find(mark, searched)) < 0:
+            searched = max(0, len(found) - len(mark) + 1)
+            if not self._more():
                 raise WarcError("a header has no end")
-        found, _, self.held = self.held.partition(mark)
-        return found
+            found += self.held
+            self.held = b""
+        self.held = bytes(found[at + len(mark) :])
+        return bytes(found[:at])
 
     def take(self, size: int) -> Iterator[bytes]:
         while size:
@@ -122,7 +136,7 @@ def records(stream, with_payload: bool = True) -> Iterator[Record]:
     ahead = stream.read(CHUNK)
     while ahead:
         source = _Member(stream, ahead)
-        head = source.until(b"\r\n\r\n", LONGEST_HEADER)
+        head = source.until(b"\r\n\r\n")
         if not head.startswith(b"WARC/1."):
             raise WarcError("a record does not begin with its version")
         headers = _fields(head)
@@ -187,7 +201,8 @@ def write_warc(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = 1 <<
     Every task fills archives of about `archive_bytes`. An archive appears under its name only when complete, so
     a task that is lost and runs again leaves the same records. Null pages have an empty payload; a null
     page_id is written as an empty one and revisits its payload's largest page_id, if there is one; rows that
-    repeat a page_id and payload are written alike. Other columns are not archived.
+    repeat a page_id and payload are written alike. URLs of any length and content come back as given, a null one as ''.
+    Other columns are not archived.
     """
     spark = pages.sparkSession
     ship(spark)
@@ -224,6 +239,10 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, batch_bytes: int =
     if with_payload:
         schema, names, kinds = schema + ", payload binary", [*names, "payload"], [*kinds, pa.binary()]
 
+    def address(headers: dict[str, str]) -> str | None:
+        whole = headers.get(WHOLE_URL.lower())
+        return headers.get("warc-target-uri") if whole is None else base64.b64decode(whole).decode()
+
     def page(name: str | None) -> int | None:
         number = (name or "").removeprefix("<urn:x-page:").removesuffix(">")
         return int(number) if number else None
@@ -236,7 +255,7 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, batch_bytes: int =
                     kind = r.headers["warc-type"]
                     row = [
                         page(r.headers.get("warc-record-id")),
-                        r.headers.get("warc-target-uri"),
+                        address(r.headers),
                         r.payload_bytes,
                         r.payload_digest,
                         kind,
