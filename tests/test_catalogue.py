@@ -7,7 +7,6 @@ import __spark_entry__ as registered
 from check import TABLES, table_of
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"cdc_family", "stream_scd2", "stream_scd1", "customer_stream_history", "scd2_snapshot", "trip_stream_medallion"}
 
 
 def test_entry(spark):
@@ -21,7 +20,7 @@ def test_every_query_has_sql():
     assert own == {name for name in registered.oracle_sql() if not name.startswith("op") and name != "pipeline"}
 
 
-@pytest.mark.parametrize("name", sorted(set(registered.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
     for table in TABLES:

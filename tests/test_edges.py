@@ -11,7 +11,7 @@ from tidemark.operators.protection import apply_row_filter
 from tidemark.operators.ranges import range_cuts, range_index
 from tidemark.operators.scd import fold_scd2
 from tidemark.plans.trips import rounded_average
-from tidemark.sinks.delta_log import DeltaLog
+from tidemark.sinks.batch_folders import BatchFolders
 from tidemark.sources.files import ingest_json, read_json
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table
@@ -67,11 +67,17 @@ def test_types_are_kept_widened_or_refused(spark, tmp_path):
 
 
 def test_a_writer_that_lost_is_told(spark, tmp_path):
-    one, two = (DeltaLog(spark, f"{tmp_path}/log", ["t"]) for _ in range(2))
+    one, two = (BatchFolders(spark, f"{tmp_path}/table", ["t"]) for _ in range(2))
     one.publish(0, {"t": []})
     with pytest.raises(RuntimeError):
         two.publish(0, {"t": ["other"]})
     assert one.folders() == {"t": []} and one.last_step() == 0
+    two.folders()
+    for step in (1, 2, 3):
+        one.publish(step, {"t": []})
+    with pytest.raises(RuntimeError):  # also after the pointer it would have written is gone
+        two.publish(1, {"t": ["other"]})
+    assert one.folders() == {"t": []} and one.last_step() == 3
 
 
 def test_split_and_whole_keys_agree_on_odd_sequences(spark):

@@ -1,6 +1,7 @@
-"""Streamed tables equal the batch fold, for any split, order, replay and merge schedule."""
+"""Streamed tables equal the batch fold, for any split, order, replay and schedule of rewrites."""
 
 import random
+import re
 
 import pytest
 from helpers import COLUMNS, COMMON, random_events, rows
@@ -8,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import expect_or_drop, observe_expectations
 from tidemark.operators.scd import fold_scd1, fold_scd2
+from tidemark.sinks.batch_folders import bucket_of
 from tidemark.sinks.layout import write_json
+from tidemark.sinks.paths import child_files
 from tidemark.sources.files import ingest_json, stream_table
 from tidemark.sources.landing import append_csv
 from tidemark.sources.schemas import RESCUED, with_rescue
 from tidemark.streaming.append import run_append
-from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
+from tidemark.streaming.change_tables import Scd1Table, Scd2Table, limits_of, run_changes
 from tidemark.streaming.family import TableSpec, list_tables, run_cdc_family
 
 
@@ -36,10 +39,10 @@ def fill(spark, table, batches):
 def test_scd1_table(spark, tmp_path, ignore_nulls):
     events = random_events(3, count=200)
     table = Scd1Table(
-        spark, f"{tmp_path}/t", buckets=3, merge_width=2, ignore_null_updates=ignore_nulls, **COMMON
+        spark, f"{tmp_path}/t", buckets=3, compact_every=2, ignore_null_updates=ignore_nulls, **COMMON
     )
     fill(spark, table, batches_of(events, 1, in_order=False))
-    assert len(table.log.folders()["state"]) < 3
+    assert len(table.store.folders()["state"]) < 3
     expected = fold_scd1(spark.createDataFrame(events, COLUMNS), ignore_null_updates=ignore_nulls, **COMMON)
     assert rows(table.read()) == rows(expected)
 
@@ -59,7 +62,7 @@ def test_scd2_table(spark, tmp_path, in_order, tracked, ignore_nulls, hot_rows):
         spark,
         f"{tmp_path}/t",
         buckets=3,
-        merge_width=2,
+        compact_every=2,
         track_history=tracked,
         ignore_null_updates=ignore_nulls,
         hot_rows=hot_rows,
@@ -79,11 +82,11 @@ def test_unpublished_step_is_redone_and_strange_checkpoint_refused(spark, tmp_pa
     first, second = batches_of(random_events(9, count=60, copies=0), 3, True)[:2]
     table = Scd2Table(spark, f"{tmp_path}/t", buckets=2, track_history=["name"], **COMMON)
     table.apply(spark.createDataFrame(first, COLUMNS), 0)
-    # a crash after writing, before publishing, leaves folders that no manifest names
+    # a crash after writing, before publishing, leaves folders that no pointer names
     stray = spark.createDataFrame([(1, "stray", "s", "APPEND", 5)], COLUMNS)
-    publish, table.log.publish = table.log.publish, lambda *a: None
+    publish, table.store.publish = table.store.publish, lambda *a: None
     table.apply(stray, 1)
-    table.log.publish = publish
+    table.store.publish = publish
     expected = fold_scd2(spark.createDataFrame(first, COLUMNS), track_history=["name"], **COMMON)
     assert rows(table.read()) == rows(expected)
     table.apply(spark.createDataFrame(second, COLUMNS), 1)
@@ -111,13 +114,13 @@ def test_new_columns_and_empty_batches(spark, tmp_path):
 def test_in_order_batches_do_not_read_the_log(spark, tmp_path):
     """Late keys alone go back to the event log and the stored versions."""
     table = Scd2Table(spark, f"{tmp_path}/t", buckets=2, track_history=["name"], **COMMON)
-    read, seen = table.log.read, []
+    read, seen = table.store.read, []
 
     def watched(part, folders, buckets=None):
         seen.append((part, len(folders)))
         return read(part, folders, buckets)
 
-    table.log.read = watched
+    table.store.read = watched
     table.apply(spark.createDataFrame([(k, "a", "x", "APPEND", 1) for k in range(5)], COLUMNS), 0)
     table.apply(spark.createDataFrame([(k, "a", "y", "UPDATE", 5) for k in range(5)], COLUMNS), 1)
     table.apply(spark.createDataFrame([(1, None, None, "DELETE", 6), (7, "n", "n", "DELETE", 9)], COLUMNS), 2)
@@ -126,7 +129,7 @@ def test_in_order_batches_do_not_read_the_log(spark, tmp_path):
     late = [(2, "b", "z", "UPDATE", 3), (7, "n", "n", "APPEND", 8), (1, "c", "w", "APPEND", 7)]
     table.apply(spark.createDataFrame(late, COLUMNS), 3)
     assert ("events", 4) in seen and ("versions", 3) in seen
-    table.log.read = read
+    table.store.read = read
     assert rows(table.read()) == sorted(
         [
             (0, "a", "y", 1, None),
@@ -143,6 +146,73 @@ def test_in_order_batches_do_not_read_the_log(spark, tmp_path):
     )
 
 
+def scans_of(df):
+    """Partition filters and pushed filters of the parquet scans of a plan."""
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    df.sparkSession.conf.unset("spark.sql.maxMetadataStringLength")
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", plan)
+
+
+def test_late_events_read_their_buckets_and_limits_only(spark, tmp_path):
+    table = Scd2Table(spark, f"{tmp_path}/t", buckets=8, **COMMON)
+    for step in range(4):
+        events = [(k, f"n{step}", "x", "UPDATE", 100 * step + k) for k in range(40)]
+        table.apply(spark.createDataFrame(events, COLUMNS), step)
+    read, seen = table.store.read, []
+
+    def watched(part, folders, buckets=None):
+        seen.append((part, len(folders), buckets))
+        return read(part, folders, buckets)
+
+    table.store.read = watched
+    batch = [(k, "last", "y", "UPDATE", 1000 + k) for k in range(40) if k != 7] + [(7, "late", "z", "UPDATE", 150)]
+    table.apply(spark.createDataFrame(batch, COLUMNS), 4)
+    own = spark.createDataFrame([(7,)], "id int").select(bucket_of(["id"], 8)).first()[0]
+    assert [b for part, n, b in seen if part in ("events", "versions") and n > 1] == [[own], [own]]
+    late = spark.createDataFrame([(7, 107, 207)], "id int, _low int, _high int")
+    table.store.read = read
+    limits = limits_of(late, {"id": "id", "_seq": "_low"}, {"id": "id", "_seq": "_high"})
+    stretch = table.store.read("events", table.store.folders()["events"], [own]).where(limits)
+    (partitions, pushed), *_ = scans_of(stretch)
+    assert "_bucket" in partitions
+    assert all(f in pushed for f in ("GreaterThanOrEqual(id,7)", "LessThanOrEqual(id,7)", "GreaterThanOrEqual(_seq,107)", "LessThanOrEqual(_seq,207)"))
+    assert sorted(r._seq for r in stretch.collect()) == [107, 150, 207]
+    kept = [(r.name, r["__START_AT"], r["__END_AT"]) for r in table.read().where("id = 7").orderBy("__START_AT").collect()]
+    assert kept == [("n0", 7, 107), ("n1", 107, 150), ("late", 150, 207), ("n2", 207, 307), ("n3", 307, None)]
+
+
+def test_limits_leave_out_nulls_and_odd_types(spark):
+    rows = spark.createDataFrame([(1, None, 2.5, "a"), (3, 4, 1.5, "b")], "k int, n int, d double, s string")
+    table = spark.createDataFrame([(i, i, float(i), chr(96 + i)) for i in range(1, 6)], rows.schema)
+    every = {name: name for name in rows.columns}
+    assert [r.k for r in table.where(limits_of(rows, every, {})).orderBy("k").collect()] == [1, 2, 3, 4, 5]
+    assert [r.k for r in table.where(limits_of(rows, every, every)).orderBy("k").collect()] == [1, 2]
+    assert table.where(limits_of(rows.limit(0), every, every)).count() == 5
+
+
+@pytest.mark.parametrize("ignore_nulls", [False, True])
+def test_rewrites_change_nothing_and_old_folders_go(spark, tmp_path, ignore_nulls):
+    events = random_events(17, count=150)
+    batches = batches_of(events, 4, in_order=False)
+    table = Scd2Table(spark, f"{tmp_path}/t", buckets=2, ignore_null_updates=ignore_nulls, **COMMON)
+    for number, batch in enumerate(batches[:2]):
+        table.apply(spark.createDataFrame(batch, COLUMNS), number)
+    before, current = rows(table.read()), rows(table.current())
+    table.compact()
+    assert {part: len(f) for part, f in table.store.folders().items()} == {"events": 1, "versions": 1, "heads": 1}
+    assert rows(table.read()) == before and rows(table.current()) == current and table.store.last_step() == 1
+    table.compact()  # nothing left to rewrite
+    assert rows(table.read()) == before
+    table.apply(spark.createDataFrame(batches[2], COLUMNS), 2)
+    assert rows(table.read()) == rows(fold_scd2(spark.createDataFrame(events, COLUMNS), ignore_null_updates=ignore_nulls, **COMMON))
+    assert table.store.remove_unused(3600) == []
+    after = rows(table.read())
+    # both pointers name the rewritten folders now; the six of the first two batches are named by none
+    assert len(table.store.remove_unused(-60)) == 6
+    assert rows(table.read()) == after and len(child_files(spark, f"{tmp_path}/t/pointer")) == 2
+
+
 def test_history_streamed_from_files(spark, tmp_path):
     """Landing files -> ingest -> rules -> both tables; a second run handles only what is new."""
     events = random_events(8, count=120)
@@ -167,12 +237,12 @@ def test_history_streamed_from_files(spark, tmp_path):
         run_changes(expect_or_drop(stream, {"valid_id": "id IS NOT NULL"}), tables, f"{tmp_path}/checkpoint")
 
     run()
-    steps = tables[0].log.last_step()
+    steps = tables[0].store.last_step()
     run()
-    assert tables[0].log.last_step() == steps
+    assert tables[0].store.last_step() == steps
     write_json(spark.createDataFrame(events[half:], COLUMNS), f"{tmp_path}/landing/two", 2)
     run()
-    assert tables[0].log.last_step() > steps
+    assert tables[0].store.last_step() > steps
     assert rows(tables[0].read()) == rows(fold_scd1(df, **COMMON))
     assert rows(tables[1].read()) == rows(fold_scd2(df, track_history=["name"], **COMMON))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Collection
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -90,3 +92,25 @@ def replace_file(spark: SparkSession, source: str, target: str) -> None:
     fs.delete(to_path, False)
     if not fs.rename(from_path, to_path):
         raise OSError(f"{source} could not be renamed to {target}")
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _at(spark, path)
+    fs.delete(hadoop_path, False)
+
+
+def remove_old_folders(spark: SparkSession, path: str, keep: Collection[str], older_than: float) -> list[str]:
+    """Delete the folders directly under `path` that are not in `keep` and whose newest file is over `older_than` seconds
+    old; returns their names. Folders without a file stay, as nothing tells their age on every store."""
+    removed = []
+    for name in child_folders(spark, path):
+        if name in keep:
+            continue
+        hadoop_path, fs = _at(spark, f"{path}/{name}")
+        files, newest = fs.listFiles(hadoop_path, True), None
+        while files.hasNext():
+            newest = max(newest or 0, files.next().getModificationTime())
+        if newest is not None and newest < (time.time() - older_than) * 1000:
+            fs.delete(hadoop_path, True)
+            removed.append(name)
+    return removed

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.common import END_AT
 from tidemark.operators.snapshots import apply_snapshot_scd2, open_history
-from tidemark.sinks.delta_log import BUCKET, STEP, DeltaLog
+from tidemark.sinks.batch_folders import BUCKET, STEP, BatchFolders
 
 CLOSED, OPEN = 0, 1
 
@@ -26,26 +26,26 @@ class SnapshotTable:
         track_history_except: Sequence[str] | None = None,
     ):
         self.keys, self.tracking = list(keys), (track_history, track_history_except)
-        self.log = DeltaLog(spark, root, ("history",))
+        self.store = BatchFolders(spark, root, ("history",))
 
     def apply(self, snapshot: DataFrame, version: Column, step: int) -> None:
         """Apply a snapshot with one row per key, as number `step`; a step that was published is skipped."""
-        if step <= self.log.last_step():
+        if step <= self.store.last_step():
             return
-        folders = self.log.folders()["history"]
+        folders = self.store.folders()["history"]
         if folders:
             rows = apply_snapshot_scd2(self._part(folders[-1:], OPEN), snapshot, version, self.keys, *self.tracking)
         else:
             rows = open_history(snapshot, version)
         placed = rows.withColumn(BUCKET, F.when(F.col(END_AT).isNull(), OPEN).otherwise(CLOSED))
-        self.log.publish(step, {"history": [*folders, self.log.write(placed, "history", step)]})
+        self.store.publish(step, {"history": [*folders, self.store.write(placed, "history", step, self.keys)]})
 
     def _part(self, folders: Sequence[str], which: int) -> DataFrame:
-        return self.log.read("history", folders, [which]).drop(BUCKET, STEP)
+        return self.store.read("history", folders, [which]).drop(BUCKET, STEP)
 
     def read(self) -> DataFrame | None:
         """All versions; None before the first snapshot."""
-        folders = self.log.folders()["history"]
+        folders = self.store.folders()["history"]
         if not folders:
             return None
         return self._part(folders, CLOSED).unionByName(self._part(folders[-1:], OPEN))

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.quality import Rules, expect_or_drop, expectation_metrics
-from tidemark.operators.common import DEL, END_AT, SEQ, START_AT, col, join_on
+from tidemark.operators.common import DEL, END_AT, SEQ, START_AT, all_of, col, join_on
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.scd import (
     finish_scd1,
@@ -23,12 +23,32 @@ from tidemark.operators.scd import (
     tracked_columns,
 )
 from tidemark.operators.skew import HOT_ROWS
-from tidemark.sinks.delta_log import BUCKET, STEP, DeltaLog, bucket_of
+from tidemark.sinks.batch_folders import BUCKET, STEP, BatchFolders, bucket_of
 
 GONE = "_gone"
 HEAD = "_head"
 FIRST, LAST = "_first", "_last"
 LOW, HIGH = "_low", "_high"
+KEEP_SECONDS = 7 * 86400
+#: Types whose limits the statistics of parquet files answer for.
+ORDERED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def limits_of(rows: DataFrame, low: dict[str, str], high: dict[str, str]) -> Column:
+    """A filter that only compares columns with literals, so that it reaches the scan: every column of `low` is at least
+    the least value of the named column of `rows`, every one of `high` at most the greatest. A value that is NULL, or of
+    a type without file statistics, sets no limit."""
+    kinds = {f.name: type(f.dataType) for f in rows.schema.fields}
+    sides = [(place, name, F.min, "ge") for place, name in low.items()] + [(place, name, F.max, "le") for place, name in high.items()]
+    sides = [side for side in sides if kinds[side[1]] in ORDERED]
+    if not sides:
+        return F.lit(True)
+    found = rows.agg(
+        *[F.when(F.count(col(name)) == F.count("*"), edge(col(name))).alias(f"limit_{i}") for i, (_, name, edge, _) in enumerate(sides)]
+    ).first()
+    limits = [(place, way, found[i], kinds[name]) for i, (place, name, _, way) in enumerate(sides) if found[i] is not None]
+    at = lambda value, kind: F.lit(value).cast(kind())
+    return all_of([col(p) >= at(v, k) if way == "ge" else col(p) <= at(v, k) for p, way, v, k in limits])
 
 
 class _ChangeTable:
@@ -44,27 +64,50 @@ class _ChangeTable:
         except_columns: Sequence[str] = (),
         ignore_null_updates: bool = False,
         buckets: int = 64,
-        merge_width: int = 8,
+        compact_every: int = 32,
+        keep_seconds: float = KEEP_SECONDS,
     ):
         self.spark, self.keys = spark, list(keys)
         self.sequence_by, self.delete_when, self.except_columns = sequence_by, delete_when, list(except_columns)
         self.ignore_null_updates, self.buckets = ignore_null_updates, buckets
         settings = {"keys": self.keys, "buckets": buckets, "ignore_null_updates": ignore_null_updates}
-        self.log = DeltaLog(spark, root, self.tables, merge_width, settings)
+        self.compact_every, self.keep_seconds = compact_every, keep_seconds
+        self.store = BatchFolders(spark, root, self.tables, settings)
 
     def _events(self, batch: DataFrame) -> DataFrame:
         return prepare_events(batch, self.keys, self.sequence_by, self.delete_when, self.except_columns)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch; the signature `foreachBatch` expects."""
-        last = self.log.last_step()
+        last = self.store.last_step()
         if batch_id < last:
             raise ValueError(
-                f"{self.log.root} is at batch {last} and was given batch {batch_id}: "
+                f"{self.store.root} is at batch {last} and was given batch {batch_id}: "
                 "this stream's checkpoint does not belong to the table"
             )
         if batch_id > last:
-            self.log.publish(batch_id, self._apply(self._events(batch), batch_id, self.log.folders()))
+            folders = self._apply(self._events(batch), batch_id, self.store.folders())
+            self.store.publish(batch_id, folders)
+            if max(map(len, folders.values())) >= self.compact_every:
+                self.compact()
+
+    def compact(self) -> None:
+        """Rewrite every part that has several folders as one, and delete what has been unused for `keep_seconds`.
+
+        An ordinary job over the table: it runs between batches, after every `compact_every` of them or whenever it is
+        called. Readers see the same rows before and after.
+        """
+        folders, step = self.store.folders(), self.store.last_step()
+        if any(len(several) > 1 for several in folders.values()):
+            for part, (merge, order) in self._merges().items():
+                if len(folders[part]) > 1:
+                    folders[part] = [self.store.write(merge(self.store.read(part, folders[part])), part, step, order)]
+            self.store.publish(step, folders)
+        self.store.remove_unused(self.keep_seconds)
+
+    def _merges(self) -> dict[str, tuple]:
+        """Per part: how rows of several folders become one row each, and the order of rows in a file."""
+        raise NotImplementedError
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         raise NotImplementedError
@@ -78,18 +121,19 @@ class Scd1Table(_ChangeTable):
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         state = scd1_state(events, self.keys, self.ignore_null_updates)
-        written = self.log.write(state.withColumn(BUCKET, bucket_of(self.keys, self.buckets)), "state", batch_id)
-        if not self.log.buckets_in(written):
+        state = state.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        written = self.store.write(state, "state", batch_id, self.keys)
+        if not self.store.buckets_in(written):
             return folders
-        return {"state": self.log.merge_levels("state", [*folders["state"], written], batch_id, self._merge)}
+        return {"state": [*folders["state"], written]}
 
-    def _merge(self, rows: DataFrame, oldest: bool) -> DataFrame:
+    def _merges(self) -> dict[str, tuple]:
         # deletes stay, because an older event may still arrive
-        return merge_scd1(rows.drop(STEP), [*self.keys, BUCKET])
+        return {"state": (lambda rows: merge_scd1(rows.drop(STEP), [*self.keys, BUCKET]), self.keys)}
 
     def read(self) -> DataFrame | None:
         """The current rows; None before the first batch."""
-        states = self.log.read("state", self.log.folders()["state"])
+        states = self.store.read("state", self.store.folders()["state"])
         if states is None:
             return None
         return finish_scd1(merge_scd1(states.drop(STEP, BUCKET), self.keys), self.keys)
@@ -105,7 +149,8 @@ class Scd2Table(_ChangeTable):
 
     Events later than their key's head are folded onto the open version alone: the cost of a batch in order
     is that of the batch and the heads of its buckets, however long the histories are. For late events the
-    stretch of history they can change is taken from the log and folded again.
+    stretch of history they can change is taken from the log and folded again. Only the buckets of late keys are read
+    for it, and of their files only the row groups whose statistics meet the limits of those keys and sequences.
     """
 
     tables = ("events", "versions", "heads")
@@ -122,16 +167,16 @@ class Scd2Table(_ChangeTable):
         super().__init__(*args, **kwargs)
         self.tracking = (track_history, track_history_except, coalesce_unchanged)
         listed = [None if names is None else sorted(names) for names in self.tracking[:2]]
-        self.log.settings |= {"track_history": listed[0], "track_history_except": listed[1], "coalesce_unchanged": coalesce_unchanged}
+        self.store.settings |= {"track_history": listed[0], "track_history_except": listed[1], "coalesce_unchanged": coalesce_unchanged}
         self.hot_rows = hot_rows
 
     def _apply(self, events: DataFrame, batch_id: int, folders: dict[str, list[str]]) -> dict[str, list[str]]:
         events = self._distinct_events(events).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        written = {"events": self.log.write(events, "events", batch_id)}
-        touched = self.log.buckets_in(written["events"])
+        written = {"events": self.store.write(events, "events", batch_id, [*self.keys, SEQ])}
+        touched = self.store.buckets_in(written["events"])
         if not touched:
             return folders
-        new = self.log.read("events", [written["events"]]).drop(STEP)
+        new = self.store.read("events", [written["events"]]).drop(STEP)
         kept: list[DataFrame] = []
 
         def keep(df: DataFrame) -> DataFrame:
@@ -144,12 +189,16 @@ class Scd2Table(_ChangeTable):
             is_late = F.coalesce(F.col(FIRST) <= F.col(HEAD), F.lit(False))
             late = placed.where(is_late).select(*self._named(), FIRST, LAST)
             stretch = None
-            if not late.isEmpty():
-                live = self._live(folders["versions"], touched, late, [END_AT])
+            of_late = late.agg(F.collect_set(bucket_of(self.keys, self.buckets))).first()[0]
+            if of_late:
+                own = {key: key for key in self.keys}
+                near = limits_of(late, own, own)
+                live = self._live(folders["versions"], of_late, late, [END_AT], near)
                 stretch = keep(self._stretches(late, live))
             inside = self._events_in_order(new.drop(BUCKET), placed.where(~is_late), stretch is None)
             if stretch is not None:
-                log = self.log.read("events", [*folders["events"], written["events"]], touched).drop(STEP, BUCKET)
+                log = self.store.read("events", [*folders["events"], written["events"]], of_late)
+                log = log.where(near & limits_of(stretch, {SEQ: LOW}, {SEQ: HIGH})).drop(STEP, BUCKET)
                 inside = keep(inside.unionByName(self._within(log, stretch, F.col(SEQ), closed=True).drop(LOW)))
             delta = self._versions(inside, payload_of(new.drop(BUCKET), self.keys))
             if stretch is not None:
@@ -157,16 +206,19 @@ class Scd2Table(_ChangeTable):
                 gone = replaced.select(*self._named(), START_AT, F.lit(True).alias(GONE))
                 delta = self._newest(delta.unionByName(gone, allowMissingColumns=True), [])
             delta = delta.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-            written["versions"] = self.log.write(delta, "versions", batch_id)
-            heads = self._new_heads(placed, self.log.read("versions", [written["versions"]]), stretch)
-            written["heads"] = self.log.write(heads, "heads", batch_id)
+            written["versions"] = self.store.write(delta, "versions", batch_id, [*self.keys, START_AT])
+            heads = self._new_heads(placed, self.store.read("versions", [written["versions"]]), stretch)
+            written["heads"] = self.store.write(heads, "heads", batch_id, self.keys)
         finally:
             for df in kept:
                 df.unpersist()
-        merges = {"events": self._merge_events, "versions": self._merge_versions, "heads": self._merge_heads}
+        return {part: [*folders[part], written[part]] for part in self.tables}
+
+    def _merges(self) -> dict[str, tuple]:
         return {
-            part: self.log.merge_levels(part, [*folders[part], written[part]], batch_id, merge)
-            for part, merge in merges.items()
+            "events": (self._merge_events, [*self.keys, SEQ]),
+            "versions": (self._merge_versions, [*self.keys, START_AT]),
+            "heads": (self._merge_heads, self.keys),
         }
 
     def _named(self) -> list:
@@ -175,7 +227,7 @@ class Scd2Table(_ChangeTable):
     def _placed(self, new: DataFrame, heads: Sequence[str], touched: Sequence[int]) -> DataFrame:
         """Per key of the batch: its first and last new sequence, and its head so far."""
         spans = new.groupBy(*self._named()).agg(F.min(SEQ).alias(FIRST), F.max(SEQ).alias(LAST))
-        known = self.log.read("heads", heads, touched)
+        known = self.store.read("heads", heads, touched)
         payload = payload_of(new, self.keys)
         stored = [] if known is None else [c for c in payload if c in known.columns]
         blank = {c: F.lit(None).cast(new.schema[c].dataType) for c in payload if c not in stored}
@@ -183,7 +235,7 @@ class Scd2Table(_ChangeTable):
             nothing = F.when(F.lit(False), F.col(FIRST))
             return spans.withColumns({HEAD: nothing, START_AT: nothing, **blank})
         known = join_on(known, spans, self.keys, "left_semi").drop(BUCKET)
-        known = self._merge_heads(known, True) if len(heads) > 1 else known.drop(STEP)
+        known = self._merge_heads(known) if len(heads) > 1 else known.drop(STEP)
         placed = join_on(spans, known, self.keys, "left", [HEAD, START_AT, *stored])
         return placed.withColumns(blank) if blank else placed
 
@@ -263,11 +315,15 @@ class Scd2Table(_ChangeTable):
         touched: Sequence[int] | None = None,
         only: DataFrame | None = None,
         columns: Sequence[str] | None = None,
+        near: Column | None = None,
     ) -> DataFrame | None:
-        """Versions that count; of some keys only, and with some columns beside (keys, start), if so asked."""
-        rows = self.log.read("versions", folders, touched)
+        """Versions that count; of some keys only (`near`: limits of those keys), and with some columns beside
+        (keys, start), if so asked."""
+        rows = self.store.read("versions", folders, touched)
         if rows is None:
             return None
+        if near is not None:
+            rows = rows.where(near)
         if only is not None:
             rows = join_on(rows, only, self.keys, "left_semi")
         if columns is not None:
@@ -275,14 +331,14 @@ class Scd2Table(_ChangeTable):
         rows = self._newest(rows.drop(BUCKET), [F.col(STEP)]) if len(folders) > 1 else rows.drop(BUCKET)
         return rows.where(~F.col(GONE)).drop(GONE, STEP)
 
-    def _merge_events(self, rows: DataFrame, oldest: bool) -> DataFrame:
+    def _merge_events(self, rows: DataFrame) -> DataFrame:
         return self._distinct_events(rows.drop(STEP), [BUCKET])
 
-    def _merge_versions(self, rows: DataFrame, oldest: bool) -> DataFrame:
-        newest = self._newest(rows, [F.col(STEP)]).drop(STEP)
-        return newest.where(~F.col(GONE)) if oldest else newest
+    def _merge_versions(self, rows: DataFrame) -> DataFrame:
+        newest = self._newest(rows.drop(BUCKET), [F.col(STEP)]).drop(STEP).where(~F.col(GONE))
+        return newest.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
 
-    def _merge_heads(self, rows: DataFrame, oldest: bool) -> DataFrame:
+    def _merge_heads(self, rows: DataFrame) -> DataFrame:
         by = [c for c in (*self.keys, BUCKET) if c in rows.columns]
         return latest_by_key(rows, by, [STEP]).drop(STEP)
 
@@ -291,24 +347,35 @@ class Scd2Table(_ChangeTable):
 
         Comes from the heads, one row per key and unmerged step; the history is neither read nor shuffled.
         """
-        folders = self.log.folders()["heads"]
-        heads = self.log.read("heads", folders)
+        folders = self.store.folders()["heads"]
+        heads = self.store.read("heads", folders)
         if heads is None:
             return None
-        heads = self._merge_heads(heads, True) if len(folders) > 1 else heads.drop(STEP)
+        heads = self._merge_heads(heads) if len(folders) > 1 else heads.drop(STEP)
         payload = [c for c in heads.columns if c not in (*self.keys, HEAD, START_AT, BUCKET)]
         ended = F.lit(None).cast(heads.schema[START_AT].dataType).alias(END_AT)
         return heads.where(F.col(START_AT).isNotNull()).select(*self._named(), *map(col, payload), START_AT, ended)
 
     def read(self) -> DataFrame | None:
         """All versions; None before the first batch."""
-        versions = self._live(self.log.folders()["versions"])
+        versions = self._live(self.store.folders()["versions"])
         if versions is None:
             return None
         dates = [START_AT, END_AT]
         return versions.select(*map(col, [c for c in versions.columns if c not in dates]), *dates)
 
 
+class CurrentRows:
+    """The type 1 form of a type 2 table: what its open versions hold, without their dates. Nothing is stored twice."""
+
+    def __init__(self, history: Scd2Table):
+        self.history = history
+
+    def read(self) -> DataFrame | None:
+        rows = self.history.current()
+        return None if rows is None else rows.drop(START_AT, END_AT)
+
+
 def run_changes(
     stream: DataFrame, tables: Sequence[_ChangeTable], checkpoint: str, rules: Rules | None = None, metrics: str | None = None
 ) -> None:

@@ -13,7 +13,7 @@ from tidemark.sinks.paths import child_folders, exists
 from tidemark.sources.files import ingest_json, stream_table
 from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
-from tidemark.streaming.change_tables import Scd1Table, Scd2Table, run_changes
+from tidemark.streaming.change_tables import CurrentRows, Scd1Table, Scd2Table, run_changes
 
 
 @dataclass(frozen=True)
@@ -47,11 +47,12 @@ def run_cdc_family(
     default: TableSpec | None = None,
     max_files_per_trigger: int | None = None,
     chains_at_once: int = 4,
-) -> dict[str, dict[str, Scd1Table | Scd2Table]]:
+) -> dict[str, dict[str, Scd1Table | Scd2Table | CurrentRows]]:
     """Bring every table up to date with its landing folder and return the tables.
 
     Each chain: new JSON files are appended to a raw table as they are (records that do not parse kept in
-    `_rescued_data`); rows that pass the rules are applied to a type 1 and, if wanted, a type 2 table.
+    `_rescued_data`); rows that pass the rules are applied to a type 2 table, whose open versions are the type 1
+    form too, or, without history, to a type 1 table.
     The chains share nothing, so several run side by side and fill the cluster between them. Rows passing and failing
     each rule are kept by batch (`family_metrics`).
 
@@ -62,7 +63,7 @@ def run_cdc_family(
         named = {spec.name for spec in specs}
         specs = [*specs, *[replace(default, name=name) for name in list_tables(spark, landing) if name not in named]]
 
-    def chain(spec: TableSpec) -> dict[str, Scd1Table | Scd2Table]:
+    def chain(spec: TableSpec) -> dict[str, Scd1Table | Scd2Table | CurrentRows]:
         source, base = f"{landing}/{spec.name}", f"{target}/{spec.name}"
         schema = spec.schema or infer_schema(spark, source, "json")
         if spec.schema_hints:
@@ -79,12 +80,13 @@ def run_cdc_family(
             ignore_null_updates=spec.ignore_null_updates,
             **spec.table_options,
         )
-        tables: dict[str, Scd1Table | Scd2Table] = {"scd1": Scd1Table(spark, f"{base}/scd1", **common)}
         if spec.history:
-            tables["scd2"] = Scd2Table(
-                spark, f"{base}/scd2", track_history_except=spec.track_history_except, **common
-            )
-        run_changes(stored, list(tables.values()), f"{base}/checkpoints/changes", spec.rules, f"{base}/metrics")
+            history = Scd2Table(spark, f"{base}/scd2", track_history_except=spec.track_history_except, **common)
+            tables = {"scd1": CurrentRows(history), "scd2": history}
+        else:
+            tables = {"scd1": Scd1Table(spark, f"{base}/scd1", **common)}
+        kept = [table for table in tables.values() if not isinstance(table, CurrentRows)]
+        run_changes(stored, kept, f"{base}/checkpoints/changes", spec.rules, f"{base}/metrics")
         return tables
 
     with ThreadPoolExecutor(chains_at_once) as pool:
