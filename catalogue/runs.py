@@ -712,7 +712,9 @@ def local_rows(spark, folder):
     """A few local rows as a table, joined to a large one."""
     names = spark.createDataFrame([("1-URGENT", "now"), ("2-HIGH", "soon"), ("5-LOW", "later")], "code string, label string")
     orders = fx.table(spark, folder, "orders")
-    return orders.join(names, orders["o_orderpriority"] == names["code"]).groupBy("label").agg(F.count("*").alias("orders"))
+    # rows from Python have no size that Spark knows: unhinted, it would shuffle the large table by its few codes
+    labelled = orders.join(F.broadcast(names), orders["o_orderpriority"] == names["code"])
+    return labelled.groupBy("label").agg(F.count("*").alias("orders"))
 
 
 @query

@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from catalogue import runs
 from helpers import COMMON, rows
 from tidemark.operators.protection import apply_row_filter
 from tidemark.operators.ranges import range_cuts, range_index
@@ -101,3 +102,17 @@ def test_ranges_cut_evenly_and_never_decrease(spark):
 def test_row_filter_takes_no_single_string(spark):
     with pytest.raises(TypeError):
         apply_row_filter(spark.range(1), "id", "abc")
+
+
+def test_rows_from_python_do_not_shuffle_the_table_they_are_joined_to(spark, tmp_path):
+    codes = F.array(*map(F.lit, ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]))
+    orders = spark.range(40).select(F.get(codes, (F.col("id") % 4).cast("int")).alias("o_orderpriority"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table too big to broadcast
+    try:
+        found = runs.local_rows(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(o_orderpriority" not in plan
+    assert sorted(map(tuple, found.collect())) == [("later", 10), ("now", 10), ("soon", 10)]
