@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.sinks.paths import child_files
 from tidemark.sources.landing import list_files, read_csv_files
 from tidemark.sources.schemas import RESCUED, with_rescue
 
@@ -142,3 +143,15 @@ def stream_table(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
+
+
+def files_written_for(spark: SparkSession, table: str, source: str, files: int | None) -> int | None:
+    """How many files of `table` stand, on average, for so many of the folder `source` that it was written from.
+
+    One source file becomes the more files the larger it is, so a limit on source files has to be carried over: taken
+    as it is, it would cut the table into ever more micro-batches as the data grows.
+    """
+    if not files:
+        return None
+    written, given = len(child_files(spark, table)), len(child_files(spark, source))
+    return max(files, -(-written * files // max(1, given)))

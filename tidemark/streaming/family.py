@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.operators.quality import Rules, stored_metrics
 from tidemark.sinks.paths import child_folders, exists
-from tidemark.sources.files import ingest_json, stream_table
+from tidemark.sources.files import files_written_for, ingest_json, stream_table
 from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import CurrentRows, Scd1Table, Scd2Table, run_changes
@@ -54,7 +54,8 @@ def run_cdc_family(
     `_rescued_data`); rows that pass the rules are applied to a type 2 table, whose open versions are the type 1
     form too, or, without history, to a type 1 table.
     The chains share nothing, so several run side by side and fill the cluster between them. Rows passing and failing
-    each rule are kept by batch (`family_metrics`).
+    each rule are kept by batch (`family_metrics`). `max_files_per_trigger` counts landing files: the raw files that so
+    many of them became, on average, are applied together.
 
     With `default`, every folder found under `landing` that no spec names is a table too, read and applied like
     `default`; one that appears later is found by the next run.
@@ -71,7 +72,8 @@ def run_cdc_family(
         raw = ingest_json(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
         run_append(raw, f"{base}/raw", f"{base}/checkpoints/raw")
 
-        stored = stream_table(spark, f"{base}/raw", raw.schema, max_files_per_trigger)
+        files = files_written_for(spark, f"{base}/raw", source, max_files_per_trigger)
+        stored = stream_table(spark, f"{base}/raw", raw.schema, files)
         common = dict(
             keys=spec.keys,
             sequence_by=spec.sequence_by,
