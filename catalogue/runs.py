@@ -27,7 +27,7 @@ from tidemark.sinks.layout import DatasetSpec, write_dataset, write_json
 from tidemark.sinks.paths import replace_file
 from tidemark.sinks.snapshot_table import SnapshotTable
 from tidemark.sources import synthetic
-from tidemark.sources.files import ingest_json, read_csv, read_json, stream_table
+from tidemark.sources.files import files_written_for, ingest_json, read_csv, read_json, stream_table
 from tidemark.sources.landing import append_csv, list_files
 from tidemark.sources.schema_store import SchemaStore
 from tidemark.sources.schemas import RESCUED, infer_schema, merge_schema_hints
@@ -528,8 +528,9 @@ def customer_stream_history(spark, folder):
     source = stream_table(spark, f"{work}/source", max_files_per_trigger=2)
     bronze = customer_plan.bronze_customers(source, ENVIRONMENT, SOURCE_NAME, extra=["changed_at"])
     run_append(bronze, f"{work}/bronze", f"{work}/checkpoints/bronze")
+    files = files_written_for(spark, f"{work}/bronze", f"{work}/source", 4)
     silver = customer_plan.normalize_customers(
-        stream_table(spark, f"{work}/bronze", max_files_per_trigger=4), extra=["changed_at"]
+        stream_table(spark, f"{work}/bronze", max_files_per_trigger=files), extra=["changed_at"]
     )
     history = Scd2Table(
         spark,
