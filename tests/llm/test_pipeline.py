@@ -58,3 +58,14 @@ def test_run_reads_and_writes_whole_tables(spark):
     result = corpus_pipeline.run(spark, folder)
     assert result.columns == ["doc_id", "n_tokens", "ids", "exact"] and result.where(~F.col("exact")).count() == 0
     assert result.count() > 100
+
+
+def test_rows_without_copies_stay_where_they_are(spark, documents):
+    """Texts of rows that neither go nor repeat are not shuffled: their branch has no join."""
+    draw = random.Random(3)
+    rows = [(i, text(draw)) for i in range(50)]
+    docs = documents([*rows, (60, rows[0][1]), (1, rows[1][1])])
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    branches = left._jdf.queryExecution().optimizedPlan().children()
+    assert "Join" not in branches.apply(0).toString() and "Join" in branches.apply(1).toString()
+    assert sorted(r.doc_id for r in left.collect()) == list(range(50))
