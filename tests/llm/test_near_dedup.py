@@ -156,6 +156,13 @@ def test_filter_holds_every_id(spark):
     assert table.where("in").count() < 800
 
 
+def test_plans_do_not_spell_the_filter_out(spark):
+    passes = _may_hold(spark.range(5).withColumnRenamed("id", "node"), "node")
+    kept = spark.range(20).where(passes(F.col("id")) | passes(F.col("id") + 1))
+    assert kept.where("id < 5").count() == 5
+    assert len(kept._jdf.queryExecution().toString()) < 50_000
+
+
 def test_threshold_meets_its_miss():
     least = match_threshold(64, 0.85, 1e-5)
     draws = np.random.default_rng(1).binomial(64, 0.85, 200_000)

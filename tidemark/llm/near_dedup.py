@@ -256,7 +256,11 @@ def _facing(rows: DataFrame, blocks: str, block: str, one: str, two: str) -> Dat
 
 
 def _may_hold(ids: DataFrame, column: str) -> Callable[[Column], Column]:
-    """A filter of 16 bits and more an id (128 KB to 8 MB): true for each of `ids` and, up to 4 million, for few others."""
+    """A filter of 16 bits and more an id (128 KB to 8 MB): true for each of `ids` and, up to 4 million, for few others.
+
+    The bits are the one row of a stored table and enter a plan as a scalar subquery. As a literal they would stand in
+    full in every text of every plan that the driver makes and keeps.
+    """
     least, most = FILTER_BITS
     size = min(most, max(least, 1 << (16 * ids.count()).bit_length()))
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
@@ -264,19 +268,17 @@ def _may_hold(ids: DataFrame, column: str) -> Callable[[Column], Column]:
         ids.select(slot(column).alias("slot"))
         .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
     )
-    found = bytearray(size // 8 + 4096 + 1)
-    for bucket, bits in maps:
-        # bucket n holds the numbers (n - 1) * 32768 + 1 to n * 32768; number 0 is in bucket 0
-        at = bucket * 4096
-        found[at : at + 4096] = bits
-    return lambda c: _bit_set(bytes(found), slot(c))
+    # bucket n holds the numbers (n - 1) * 32768 + 1 to n * 32768; number 0 is in bucket 0
+    every = ids.sparkSession.range(0, size // 32768 + 1, 1, 1).withColumnRenamed("id", "bucket")
+    whole = every.join(maps, "bucket", "left").select("bucket", F.coalesce("bits", F.lit(bytes(4096))).alias("bits"))
+    found = stored(whole.agg(F.expr("listagg(bits) WITHIN GROUP (ORDER BY bucket)").alias("bits")), "filter")
+    return lambda c: _bit_set(found.scalar(), slot(c))
 
 
-def _bit_set(bits: bytes, slot: Column) -> Column:
+def _bit_set(bits: Column, slot: Column) -> Column:
     place = F.bitmap_bucket_number(slot) * 32768 + F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring(F.lit(bits), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return (F.call_function("shiftright", byte, (place % 8).cast("int")) % 2) == 1
 
 
