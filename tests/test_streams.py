@@ -5,16 +5,17 @@ import re
 
 import pytest
 from helpers import COLUMNS, COMMON, random_events, rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark.operators.quality import expect_or_drop, observe_expectations
 from tidemark.operators.scd import fold_scd1, fold_scd2
 from tidemark.sinks.batch_folders import bucket_of
 from tidemark.sinks.layout import write_json
 from tidemark.sinks.paths import child_files
-from tidemark.sources.files import ingest_json, stream_table
+from tidemark.sources.files import ingest_json, read_json, stream_table
 from tidemark.sources.landing import append_csv
 from tidemark.sources.schemas import RESCUED, with_rescue
+from tidemark.streaming import change_tables
 from tidemark.streaming.append import run_append
 from tidemark.streaming.change_tables import Scd1Table, Scd2Table, limits_of, run_changes
 from tidemark.streaming.family import TableSpec, list_tables, run_cdc_family
@@ -300,3 +301,24 @@ def test_family_of_tables(spark, tmp_path):
     shifted = fold_scd1(df, **COMMON).withColumn("id", F.col("id") + 100)
     assert rows(done["second"]["scd1"].read().select(columns)) == rows(shifted)
     assert with_rescue(df.schema).fieldNames()[-1] == RESCUED
+
+
+def test_filters_on_rescued_records_parse_each_text_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "v": "x"}\n{"id": 2, "v": "y", "w": 3}\nnot json\n[1]\n')
+    schema = T.StructType.fromDDL("id long, v string")
+    rows = read_json(spark, str(tmp_path), schema).where("id IS NOT NULL AND v IN ('x', 'y')")
+    assert sorted(map(tuple, rows.collect())) == [(1, "x", None), (2, "y", '{"w":"3"}')]
+    passed = rows.where("_rescued_data IS NULL")
+    assert [tuple(r) for r in passed.collect()] == [(1, "x", None)]
+    assert passed._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+
+
+def test_kept_results_have_as_many_partitions_as_their_size_asks_for(spark):
+    before = spark.conf.get(change_tables.SIZED_CACHE, None)
+    kept = change_tables.persisted(spark.range(100).groupBy((F.col("id") % 10).alias("k")).count())
+    try:
+        assert kept.count() == 10
+        assert kept.select(F.spark_partition_id()).distinct().count() == 1
+        assert spark.conf.get(change_tables.SIZED_CACHE, None) == before
+    finally:
+        kept.unpersist()

@@ -65,16 +65,21 @@ def _unknown(text: Column, kind: T.DataType, options: Mapping[str, str], path: C
 
 
 def _rescued(lines: DataFrame, schema: T.StructType, options: Mapping[str, object]) -> DataFrame:
-    """Records of JSON texts, with the text of everything that `schema` does not take, at any depth."""
+    """Records of JSON texts, with the text of everything that `schema` does not take, at any depth.
+
+    Each text is parsed once for the record and once for the rest, inside a generator: filters on the result would
+    otherwise be pushed below the projection and parse every text again for each of their columns.
+    """
     wanted, line = with_rescue(schema), F.col("value")
     given = {name: str(value) for name, value in options.items() if name.lower() != "multiline"}
     record = F.from_json(line, wanted, {**given, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED})
     strange = _unknown(line, schema, given, F.lit(""))
+    once = F.inline(F.array(F.struct(record.alias("r"), strange.alias("strange"), line.alias("line"))))
     # a line that is no object (a list, a bare value) has no fields to keep, so it is kept whole
-    rest = F.when(F.ltrim(line).startswith("{"), F.when(F.size(strange) > 0, F.to_json(strange))).otherwise(line)
-    parsed = lines.where(F.trim(line) != "").select(record.alias("r"), rest.alias("rest"))
+    rest = F.when(F.ltrim("line").startswith("{"), F.when(F.size("strange") > 0, F.to_json("strange"))).otherwise(F.col("line"))
+    parsed = lines.where(F.trim(line) != "").select(once)
     columns = [F.col("r").getField(name).alias(name) for name in wanted.fieldNames() if name != RESCUED]
-    return parsed.select(*columns, F.coalesce(F.col("r").getField(RESCUED), F.col("rest")).alias(RESCUED))
+    return parsed.select(*columns, F.coalesce(F.col("r").getField(RESCUED), rest).alias(RESCUED))
 
 
 def _texts(reader, path: str, glob: str | None, options: Mapping[str, object]) -> DataFrame:
