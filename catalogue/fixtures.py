@@ -47,11 +47,15 @@ def sparse_feed(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------- trips
 
 
-def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """`lineitem` as raw trips: numbers and times arrive as text, and some do not convert."""
+def trips(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """`lineitem` as raw trips: numbers and times arrive as text, and some do not convert.
+
+    With `parts`, rows are dealt evenly to so many partitions, as the table has them: texts are made behind the shuffle.
+    """
     text = lambda c: F.col(c).cast("string")
     odd = F.when(F.col("l_returnflag") == "R", F.lit("n/a"))
-    return table(spark, folder, "lineitem").select(
+    rows = table(spark, folder, "lineitem")
+    return (rows.repartition(parts) if parts else rows).select(
         F.coalesce(F.when(F.col("l_linenumber") == 7, F.lit("unknown")), text("l_suppkey")).alias("VendorID"),
         text("l_linenumber").alias("RatecodeID"),
         F.col("l_linestatus").alias("store_and_fwd_flag"),

@@ -107,8 +107,9 @@ def trip_daily_summary(spark, folder):
 def trip_stream_medallion(spark, folder):
     """CSV files -> streamed bronze -> streamed silver -> batch gold."""
     work = new_work_folder(spark, "trips")
-    raw = fx.trips(spark, folder)
-    raw.repartition(_files(spark)).write.option("header", "true").option("compression", "gzip").csv(f"{work}/landing")
+    raw = fx.trips(spark, folder, parts=_files(spark))
+    gzip = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    raw.write.options(header="true", **gzip).csv(f"{work}/landing")
     schema = merge_schema_hints(
         T.StructType([T.StructField(name, T.StringType()) for name, _, _ in trip_plan.TRIP_COLUMNS]),
         "tpep_pickup_datetime TIMESTAMP_NTZ, tpep_dropoff_datetime TIMESTAMP_NTZ, trip_distance DOUBLE, "

@@ -1,12 +1,13 @@
 """Values and records at the edges: nothing is lost or changed unseen."""
 
+import datetime
 import json
 import math
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from catalogue import runs
+from catalogue import fixtures as fx, runs
 from helpers import COMMON, rows
 from tidemark.operators.protection import apply_row_filter
 from tidemark.operators.ranges import range_cuts, range_index
@@ -20,6 +21,23 @@ from tidemark.streaming.change_tables import Scd1Table, Scd2Table
 EVENTS = "id int, name string, note string, operation string, seq int"
 
 
+def test_trips_are_dealt_before_their_texts_are_made(spark, tmp_path):
+    kinds = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    day = datetime.datetime(2024, 1, 2, 3, 4, 5)
+    lines = [(i, i % 3, i % 5, i % 8, i / 2, 1.5 * i, 0.25, i % 2 / 4, "RN"[i % 2], "O", day) for i in range(120)]
+    lines += [(None,) * 11, lines[0], lines[0]]
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plain, dealt = fx.trips(spark, str(tmp_path)), fx.trips(spark, str(tmp_path), parts=6)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect())) and dealt.columns == plain.columns
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 6 and max(sizes) - min(sizes) <= 8
+    above, below = dealt._jdf.queryExecution().optimizedPlan().toString().split("Repartition 6")
+    assert "cast(" in above and "cast(" not in below
+
+
 def test_average_sees_every_value(spark):
     cases = {"plain": [1.005, 1.015], "nan": [1.0, float("nan")], "huge": [1.0, 1e30], "infinite": [math.inf, 1.0], "fine": [1e-9, 3e-9], "none": [None, None]}
     table = spark.createDataFrame([(k, v) for k, values in cases.items() for v in values], "k string, v double")
