@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import byte_bpe, mixing, near_dedup, private_terms, quality_rules
 from tidemark.llm.shared_files import stored
+from tidemark.llm.shipping import bound_batches
 
 SHINGLE, SIMILAR, OF = 5, 80, 100
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+REMEMBERED_BYTES = 32 << 20  # by a worker of the last stage, beside a JVM that four stages have filled
 
 
 def _packed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -41,6 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     copies go. Of a group's rows the one of least doc_id, null last, stays; of rows alike in doc_id and text one. Blank
     texts link with nothing and stay. A bit filter tells most rows that neither go nor repeat; only the others are shuffled.
     """
+    bound_batches(spark)
     verdict = stored(near_dedup.near_duplicates(docs, SHINGLE, SIMILAR, OF).select("row_key", "first"), "verdict")
     gone = verdict.where("NOT first").select("row_key").distinct()
     again = verdict.where("first").groupBy("row_key").count().where("count > 1").select("row_key")
@@ -74,7 +77,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Byte-level BPE: doc_id, n_tokens and ids of every row, and whether the ids decode to its text (null: empty)."""
-    return byte_bpe.encode_checked(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
+    bound_batches(spark)
+    return byte_bpe.encode_checked(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY), most=REMEMBERED_BYTES)
 
 
 STAGES = [

@@ -3,9 +3,13 @@
 import random
 
 import corpus_pipeline
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidemark.llm import byte_bpe
 from tidemark.llm.shared_files import stored
+from tidemark.llm.shipping import BATCH_LIMIT, bound_batches
 
 
 def text(draw, count=60):
@@ -69,3 +73,27 @@ def test_rows_without_copies_stay_where_they_are(spark, documents):
     branches = left._jdf.queryExecution().optimizedPlan().children()
     assert "Join" not in branches.apply(0).toString() and "Join" in branches.apply(1).toString()
     assert sorted(r.doc_id for r in left.collect()) == list(range(50))
+
+
+def test_workers_of_the_pipeline_get_small_batches_and_remember_little(spark, documents):
+    def sizes_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    docs = documents([(i, f"a{i} b c " + "word " * 4000) for i in range(600)]).coalesce(1)
+    spark.conf.unset(BATCH_LIMIT)
+    try:
+        result = corpus_pipeline.encode(spark, docs, "")
+        sizes = [r["size"] for r in docs.select("text").mapInArrow(sizes_of, "size long").collect()]
+        assert sum(sizes) > 12_000_000 and max(sizes) < 5_000_000
+        assert result.where("exact AND n_tokens = size(ids)").count() == 600
+        spark.conf.set(BATCH_LIMIT, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_LIMIT) in ("1m", "1048576b")
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+    ranks = public_tokenizers.path(corpus_pipeline.VOCABULARY)
+    encoder = byte_bpe.vocabulary(ranks, public_tokenizers.PATTERN, 8000)
+    text = " ".join(f"word{i}" for i in range(500))
+    assert encoder.decode(encoder.encode(text).tolist()) == text.encode() and len(encoder.pieces) <= 50
+    assert corpus_pipeline.REMEMBERED_BYTES * 2 < byte_bpe.MOST_REMEMBERED_BYTES

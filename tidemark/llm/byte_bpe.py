@@ -84,10 +84,11 @@ class _Irregular(Exception):
 class _Pieces(dict):
     """Ids (uint32 bytes) of the pieces of texts split at single blanks and line ends; bounded."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int | None):
         super().__init__()
         self.encode = encode
         self.held = 0
+        self.most = most or MOST_REMEMBERED_BYTES
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[-1].isspace():
@@ -95,7 +96,7 @@ class _Pieces(dict):
         ids = self.encode(piece if piece[0] == "\n" else " " + piece)
         if len(piece) <= LONGEST_REMEMBERED:
             self.held += ENTRY_BYTES + len(piece) + len(ids)
-            if self.held > MOST_REMEMBERED_BYTES:
+            if self.held > self.most:
                 self.clear()
                 self.held = ENTRY_BYTES + len(piece) + len(ids)
             self[piece] = ids
@@ -103,12 +104,12 @@ class _Pieces(dict):
 
 
 class ByteBPE:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int | None = None):
         self.pairs = ranks
         self.table = RankTable(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
         self.bytes_of = {rank: key for key, rank in ranks.items()}
-        self.pieces = _Pieces(self._chunk)
+        self.pieces = _Pieces(self._chunk, most)
 
     def merge(self, piece: bytes) -> list[int]:
         """Join neighbours of least rank, leftmost first, until no pair is in the vocabulary."""
@@ -175,11 +176,11 @@ class ByteBPE:
 
 
 @functools.lru_cache(maxsize=2)
-def vocabulary(path: str, pattern: str) -> ByteBPE:
-    """The encoder of a rank file; one per Python worker, kept from task to task."""
+def vocabulary(path: str, pattern: str, most: int | None = None) -> ByteBPE:
+    """The encoder of a rank file, which remembers pieces of `most` bytes; one per Python worker, kept from task to task."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(key): int(rank) for key, rank in map(bytes.split, lines)}
-    return ByteBPE(ranks, pattern)
+    return ByteBPE(ranks, pattern, most)
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -226,12 +227,15 @@ def decode(df: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, i
     return kept.mapInArrow(work, T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())]))
 
 
-def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, ids and exact (whether the ids decode to the whole text; null: empty), in one visit to the worker."""
+def encode_checked(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, most: int | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids and exact (whether the ids decode to the whole text; null: empty), in one visit to the worker.
+
+    `most` bounds the bytes of pieces that a worker remembers.
+    """
     ship(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary(path, pattern)
+        encoder = vocabulary(path, pattern, most)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(first, ROWS_OUT)
