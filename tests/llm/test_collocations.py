@@ -126,3 +126,32 @@ def test_wide_keys_rank_alike():
     for factor in (1, 1 << 56):
         order, ranks = col._ranked(keys * factor)
         assert (np.diff(keys[order]) >= 0).all() and ranks.tolist() == np.unique(keys, return_inverse=True)[1].tolist()
+
+
+def test_last_length_follows_the_input(spark, documents, monkeypatch):
+    """Phrases of four words that the result cannot depend on are not counted: rows grow no faster than the text."""
+    plain, made = col._counted, {}
+
+    def counted(folder, length, sieves, *more):
+        made[length] = rows = spark.sparkContext.accumulator(0)
+        work = plain(folder, length, sieves, *more)
+
+        def run(batches):
+            for batch in work(batches):
+                rows.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(col, "_counted", counted)
+    draw = random.Random(2)
+    words = [f"w{i}" for i in range(12)]
+    passages = [" ".join(f"p{i}x{k}" for k in range(6)) for i in range(12)]
+    texts = [" ".join(draw.choices(words, k=12) + [draw.choice(passages)] + draw.choices(words, k=12)) for _ in range(750)]
+    counts = []
+    for n in (150, 750):
+        rows = [(i, text, "en") for i, text in enumerate(texts[:n])]
+        docs = documents([(d, t, lang, "s") for d, t, lang in rows]).repartition(2)
+        assert run(docs, least=4, most=30, words_per_shard=1000) == plain_collocations(rows, 4, 30)
+        counts.append(made[4].value)
+    assert 0 < counts[1] <= 5 * counts[0], counts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ ROWS_OUT = 100_000
 SLICE_BYTES = 1 << 20
 SALTS = 64
 MOST_FILTER_BITS = 1 << 26
+REACHES, COVERED, COVERS = range(3)
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 _BLANK = _ENDS.copy()
@@ -236,11 +237,20 @@ def _may_hold(sieve: tuple[int, bytes], ids: list[np.ndarray]) -> np.ndarray:
     return (np.frombuffer(marks, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
 
-def _counted(folder: str, length: int, sieves: list):
+def _may_decide(sieve: tuple[int, bytes], ids: list[np.ndarray]) -> np.ndarray:
+    """Whether both parts of one word less, without the last and without the first word, carry marks that go together."""
+    marked = lambda kind, at: _may_hold(sieve, [np.full(len(ids[0]), 2 * kind + at), *(ids[1:] if at else ids[:-1])])
+    found = marked(REACHES, 0) & marked(REACHES, 1)
+    found |= marked(COVERED, 0) & marked(COVERS, 1)
+    return found | marked(COVERS, 0) & marked(COVERED, 1)
+
+
+def _counted(folder: str, length: int, sieves: list, deciding=None):
     """Count the phrases of `length` words in every shard, given its frequent words.
 
     Words are extended to the right and to the left in turn, both intervals in step. sieves[i] tells which phrases of
     i + 2 words may be frequent; an extension is followed only if the shorter phrase at its other end may be, too.
+    With `deciding`, marks of the phrases of one word less, phrases of `length` words that cannot decide are not counted.
     """
 
     def counted(shard: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,6 +270,9 @@ def _counted(folder: str, length: int, sieves: list):
                     new = named[word[keep]]
                     rest = [*rest, new] if side == "right" else [new, *rest]
                     keep[keep] = _may_hold(sieves[words - 3].value, rest)
+                if words == length and deciding:
+                    whole, new = [column[phrase[keep]] for column in ids], named[word[keep]]
+                    keep[keep] = _may_decide(deciding.value, [*whole, new] if side == "right" else [new, *whole])
                 return keep
 
             phrase, word, near, far, n = index.extend(side, intervals[side], intervals[other], n, passes)
@@ -293,7 +306,13 @@ def _counted(folder: str, length: int, sieves: list):
 
 
 def phrases(
-    docs: DataFrame, longest: int = 4, least: int = 30, lang: str = "lang", text: str = "text", words_per_shard: int = WORDS_PER_SHARD
+    docs: DataFrame,
+    longest: int = 4,
+    least: int = 30,
+    lang: str = "lang",
+    text: str = "text",
+    words_per_shard: int = WORDS_PER_SHARD,
+    deciding: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(phrases of 1 to `longest` words that occur `least` times in their language, words per language).
 
@@ -308,6 +327,8 @@ def phrases(
     2. Each further word: every shard extends the intervals of its frequent words, to the right and to the left in turn,
        through phrases that may be frequent, and counts are summed over shards. A bit map of bounded size says which may:
        it lets some others pass, whose extensions are too rare to be kept, and never loses one.
+    3. `deciding`, if given, marks phrases of `longest` - 1 words, from all phrases up to these: (kind, w1, w2, ...). Of
+       the phrases of `longest` words those that these marks exclude (`_may_decide`) are then neither counted nor returned.
 
     A shard's intervals are fewer than its words; nothing else is gathered in one task.
     """
@@ -331,7 +352,8 @@ def phrases(
     sieves = []
     for length in range(2, longest + 1):
         ids = [f"w{i}" for i in range(1, length + 1)]
-        counts = state.mapInArrow(_counted(folder, length, sieves), ", ".join(f"{c} long" for c in [*ids, "n"]))
+        marks = spark.sparkContext.broadcast(_sieve(deciding(found))) if deciding and length == longest else None
+        counts = state.mapInArrow(_counted(folder, length, sieves, marks), ", ".join(f"{c} long" for c in [*ids, "n"]))
         frequent = stored(counts.groupBy(*ids).agg(F.sum("n").alias("f")).where(F.col("f") >= least), "frequent")
         sieves = [*sieves, spark.sparkContext.broadcast(_sieve(frequent.drop("f")))]
         first = level.select(F.col("ids").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
@@ -355,29 +377,24 @@ def phrases(
     return found, totals
 
 
-def collocations(
-    docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80, of: int = 100, most: int = 2000, **options
-) -> DataFrame:
-    """The `most` highest scored phrases of each language: lang, rank, phrase, a, l, r, n, score.
+_CUT = (
+    "array_min(transform(sequence(1, length - 1), k -> named_struct('score', CAST(f AS DECIMAL(20, 0)) * 2000000 div"
+    " (heads[k - 1] + tails[k]), 'k', k, 'l', heads[k - 1], 'r', tails[k])))"
+)
 
-    Cutting a phrase of `a` occurrences into a first part (l) and a rest (r) scores floor(2000000 * a / (l + r)); its lowest
-    score counts, of equal ones that of the earliest cut. A phrase goes if a longer one, of at most `longest` words, holds
-    it and of * f(longer) >= covered * a. Since a longer phrase is no more frequent than the ones between, it is enough to
-    look at phrases of one word more. Order: score, then a, descending, then the phrase in byte order. Products are
-    decimals, which hold more than 64 bits. Options are those of `phrases`.
-    """
-    found, totals = phrases(docs, longest, least, **options)
-    found = found.where("length > 1")
+
+def _uncovered(found: DataFrame, covered: int, of: int) -> DataFrame:
+    """The phrases that none of one word more covers."""
     inner = F.array(F.expr("slice(ids, 1, length - 1)"), F.expr("slice(ids, 2, length - 1)"))
     longer = found.where("length > 2").select(F.explode(inner).alias("ids"), "f").groupBy("ids").agg(F.max("f").alias("within"))
-    left = found.join(longer, "ids", "left").where(
+    return found.join(longer, "ids", "left").where(
         F.col("within").isNull() | (F.lit(of) * F.col("within") < F.lit(covered) * F.col("f"))
     )
-    cuts = F.expr(
-        "transform(sequence(1, length - 1), k -> named_struct('score', CAST(f AS DECIMAL(20, 0)) * 2000000 div"
-        " (heads[k - 1] + tails[k]), 'k', k, 'l', heads[k - 1], 'r', tails[k]))"
-    )
-    scored = left.select("lang", "phrase", F.col("f").alias("a"), F.array_min(cuts).alias("cut"))
+
+
+def _best(found: DataFrame, most: int) -> DataFrame:
+    """The `most` highest scored phrases of each language: lang, phrase, a, l, r, score, near, rank."""
+    scored = found.select("lang", "phrase", F.col("f").alias("a"), F.expr(_CUT).alias("cut"))
     scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").alias("score"))
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*best)
@@ -387,6 +404,90 @@ def collocations(
         .where(F.col("near") <= most)
         .withColumn("rank", F.row_number().over(ranked).cast("long"))
         .where(F.col("rank") <= most)
+    )
+
+
+def _deciding(longest: int, least: int, covered: int, of: int, most: int) -> Callable[[DataFrame], DataFrame]:
+    """Marks that tell which phrases of `longest` words the `most` best of a language may depend on.
+
+    Some are settled before: those of up to `longest` - 2 words, and those of a word more whose neighbours are too rare to
+    cover them. Of the phrases of `longest` words, those made of a first part and a rest that share the words between occur
+    f(first part) + f(rest) - f(words between) times at least; the most frequent pair of each such middle is taken with
+    this count. The `most`-th best score of all these is a floor, which
+    a phrase must reach (0 if there are fewer). One of `longest` words, of a occurrences, then matters only if it reaches
+    the floor itself or covers one of a word less that does. Both its parts of a word less occur a times at least, and it
+    scores at most 2000000 * a / (f(word at either end) + a). Per part, as the first (0) or the last (1) of a phrase, looking
+    at all parts that share the words between:
+
+    REACHES: this bound reaches the floor with its own count, and with the highest count of such parts on the other side.
+    COVERED: it reaches the floor, and a part on the other side is frequent enough for both to cover it.
+    COVERS: it is frequent enough to cover such a part on the other side.
+    """
+
+    def marks(found: DataFrame) -> DataFrame:
+        found = found.where("length > 1")
+        ends = found.where(F.col("length") == longest - 1).selectExpr(
+            "*",
+            "inline(array(struct(0 AS at, slice(ids, 2, length - 1) AS middle, heads[0] AS edge),"
+            " struct(1 AS at, slice(ids, 1, length - 1) AS middle, tails[length - 1] AS edge)))",
+        )
+        other = (1 - F.col("at")).alias("at")
+        highest = ends.groupBy(other, "middle").agg(F.max("f").alias("highest"))
+        open_ends = ends.join(highest, ["at", "middle"]).where(F.lit(of) * F.col("highest") >= F.lit(covered) * F.col("f"))
+        sure = found.where(F.col("length") == longest - 1).join(open_ends.select("ids"), "ids", "left_anti")
+        settled = _uncovered(found, covered, of).where(F.col("length") < longest - 1).drop("within").unionByName(sure)
+        part = F.struct("f", "ids", "heads", "tails")
+        pairs = ends.groupBy("lang", "middle").agg(
+            F.max(F.when(F.col("at") == 0, part)).alias("first"), F.max(F.when(F.col("at") == 1, part)).alias("rest")
+        )
+        common = pairs.withColumn("f", F.expr("first.f + rest.f - first.tails[1]")).where(F.col("f") >= max(least, 1))
+        certain = common.selectExpr(
+            "lang", "CAST(middle AS STRING) AS phrase", f"{longest} AS length", "f",
+            "first.heads AS heads", "concat(array(f), rest.tails) AS tails", "middle AS ids",
+        )
+        known = settled.unionByName(certain)
+        floors = _best(known, most).where(F.col("rank") == most).select("lang", F.col("score").alias("floor"))
+        bound = "CAST({0} AS DECIMAL(20, 0)) * 2000000 div (edge + {0}) >= floor"
+        sides = (
+            ends.join(F.broadcast(floors), "lang", "left")
+            .withColumn("floor", F.coalesce("floor", F.lit(0)))
+            .withColumn("stays", F.expr(f"{_CUT}.score >= floor"))
+        )
+        others = sides.groupBy(other, "middle").agg(
+            F.max("f").alias("highest"),
+            F.max(F.when(F.expr(bound.format("f")), F.col("f"))).alias("reaching"),
+            F.min(F.when(F.col("stays"), F.col("f"))).alias("lowest"),
+        )
+        kinds = {
+            REACHES: F.col("reaching").isNotNull() & F.expr(bound.format("least(f, reaching)")),
+            COVERED: F.col("stays") & (F.lit(of) * F.col("highest") >= F.lit(covered) * F.col("f")),
+            COVERS: F.lit(of) * F.col("f") >= F.lit(covered) * F.col("lowest"),
+        }
+        marked = F.array(*[F.when(holds, 2 * F.lit(kind) + F.col("at")).cast("long") for kind, holds in kinds.items()])
+        words = [F.col("ids")[i].alias(f"w{i + 1}") for i in range(longest - 1)]
+        return sides.join(others, ["at", "middle"]).select(F.explode(F.array_compact(marked)).alias("kind"), *words)
+
+    return marks
+
+
+def collocations(
+    docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80, of: int = 100, most: int = 2000, **options
+) -> DataFrame:
+    """The `most` highest scored phrases of each language: lang, rank, phrase, a, l, r, n, score.
+
+    Cutting a phrase of `a` occurrences into a first part (l) and a rest (r) scores floor(2000000 * a / (l + r)); its lowest
+    score counts, of equal ones that of the earliest cut. A phrase goes if a longer one, of at most `longest` words, holds
+    it and of * f(longer) >= covered * a. Since a longer phrase is no more frequent than the ones between, it is enough to
+    look at phrases of one word more. Order: score, then a, descending, then the phrase in byte order. Products are
+    decimals, which hold more than 64 bits. Options are those of `phrases`.
+
+    Phrases of `longest` words are most of the different ones, and with more text ever more of them are frequent. Only
+    those that the result may depend on are counted (`_deciding`).
+    """
+    deciding = _deciding(longest, least, covered, of, most) if longest > 3 else None
+    found, totals = phrases(docs, longest, least, deciding=deciding, **options)
+    return (
+        _best(_uncovered(found.where("length > 1"), covered, of), most)
         .join(totals, "lang")
         .select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
     )
